@@ -193,3 +193,112 @@ SELECT event_id, user_id, CAST(hist_session AS BIGINT) AS hist_session,
 FROM s1
 WINDOW w AS (PARTITION BY user_id, hist_session ORDER BY timestamp_ms, event_id
              ROWS BETWEEN {P.CHECK_LIMIT - 1} PRECEDING AND CURRENT ROW)"""
+
+
+def online_cte(src: str, limit: int, name: str = "onl") -> str:
+    """Features every event sees over its last ``limit`` events of the current history."""
+    return f"""{name}_s0 AS (
+  SELECT *, lag(timestamp_ms) OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id) AS prev FROM {src}),
+{name}_s1 AS (
+  SELECT *, sum(CASE WHEN prev IS NULL OR timestamp_ms - prev >= 86400000 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    AS hist_session FROM {name}_s0),
+{name} AS (
+  SELECT *, (timestamp_ms - prev) / 60000.0 AS gap_minutes,
+    CAST(count(*) OVER w AS DOUBLE) / length(list_distinct(list(coalesce(category, '<null>')) OVER w))
+      AS avg_time_category,
+    CAST(count(*) FILTER (WHERE event_type IN ('click','view')) OVER w AS DOUBLE) AS click_count,
+    CAST(count(*) FILTER (WHERE event_type = 'purchase') OVER w AS DOUBLE) AS purchase_count,
+    (timestamp_ms - max(timestamp_ms) OVER w) / 60000.0 AS recency
+  FROM {name}_s1
+  WINDOW w AS (PARTITION BY user_id, hist_session ORDER BY timestamp_ms, event_id
+               ROWS BETWEEN {limit - 1} PRECEDING AND CURRENT ROW))"""
+
+
+def retry_cte(src: str, failed: str, name: str = "rt") -> str:
+    return f"""{name}_0 AS (
+  SELECT *, {failed} AS failed,
+    row_number() OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id) AS rn FROM {src}),
+{name}_1 AS (
+  SELECT *, rn - coalesce(max(CASE WHEN NOT failed THEN rn END) OVER (PARTITION BY user_id
+    ORDER BY timestamp_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS k FROM {name}_0),
+{name}_2 AS (SELECT *, CASE WHEN failed THEN ((k - 1) % 4) + 1 END AS retry_count FROM {name}_1),
+{name} AS (
+  SELECT *, CASE WHEN NOT failed THEN 'success' WHEN retry_count <= 3 THEN 'retry' ELSE 'dlq' END AS route,
+    CASE WHEN failed AND retry_count <= 3 THEN CAST(1000 * pow(2, retry_count - 1) AS BIGINT) END AS delay_ms
+  FROM {name}_2)"""
+
+
+def cache_cte(src: str, ttl: int, name: str = "cache") -> str:
+    return f"""{name}_o AS (
+  SELECT user_id, event_id, timestamp_ms,
+    row_number() OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id) AS rn FROM {src}),
+{name} AS (
+  SELECT user_id, rn, event_id, timestamp_ms, timestamp_ms AS anchor, false AS hit FROM {name}_o WHERE rn = 1
+  UNION ALL
+  SELECT o.user_id, o.rn, o.event_id, o.timestamp_ms,
+    CASE WHEN o.timestamp_ms - c.anchor < {ttl} THEN c.anchor ELSE o.timestamp_ms END,
+    o.timestamp_ms - c.anchor < {ttl}
+  FROM {name} c JOIN {name}_o o ON o.user_id = c.user_id AND o.rn = c.rn + 1)"""
+
+
+ORACLE["features_online"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + """
+SELECT event_id, user_id, CAST(hist_session AS BIGINT) AS hist_session, round(gap_minutes, 6) AS gap_minutes,
+  round(avg_time_category, 6) AS avg_time_category, round(click_count, 6) AS click_count,
+  round(purchase_count, 6) AS purchase_count, round(recency, 6) AS recency FROM onl"""
+
+ORACLE["retry_route"] = w(EV, retry_cte("ev", "event_type = 'error'")) + """
+SELECT event_id, user_id, failed, CAST(retry_count AS BIGINT) AS retry_count, route FROM rt"""
+
+ORACLE["retry_backoff"] = w(EV, retry_cte("ev", "event_type = 'error'")) + """
+SELECT event_id, CAST(retry_count AS BIGINT) AS retry_count, delay_ms, timestamp_ms + delay_ms AS retry_at_ms
+FROM rt WHERE route = 'retry'"""
+
+_EVENT_JSON = ("json_object('user_id', user_id, 'product_id', product_id, 'category', category, "
+               "'event_type', event_type, 'timestamp_ms', timestamp_ms)::VARCHAR")
+
+ORACLE["sink_fanout"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + f"""
+SELECT 'success' AS lane, event_id, user_id, 'SUCCESS' AS detail FROM rt WHERE route = 'success'
+UNION ALL SELECT 'validation_errors', event_id, user_id, validation_rule FROM verr
+UNION ALL SELECT 'dlq', event_id, user_id,
+  'ScoringError model input out of range for ' || product_id || ' ' || {_EVENT_JSON} FROM rt WHERE route = 'dlq'
+UNION ALL SELECT 'retry', event_id, user_id, CAST(retry_count AS VARCHAR) FROM rt WHERE route = 'retry'"""
+
+ORACLE["event_json"] = w(EV, RAW) + f"SELECT event_id, {_EVENT_JSON} AS original_event FROM raw"
+
+ORACLE["error_trunc"] = VALIDATED + f"""
+SELECT v.event_id, CAST(v.rule_no AS BIGINT) AS rule_no,
+  substring(v.validation_rule || ' in ' || {_EVENT_JSON.replace('user_id,', 'c.user_id,').replace("'timestamp_ms', timestamp_ms", "'timestamp_ms', c.timestamp_ms")}, 1, 100) AS error
+FROM verr v JOIN chk c USING (event_id)"""
+
+ORACLE["feature_asof"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + f"""
+SELECT event_id, user_id, product_id, round({score_sql()}, 6) AS prediction, timestamp_ms AS event_time,
+  timestamp_ms + CAST(trunc(value * 10) AS BIGINT) % 100 AS processing_time FROM onl"""
+
+ORACLE["score_fallback"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + f"""
+SELECT event_id, CASE WHEN value >= 200.0 THEN 0.5 ELSE round({score_sql()}, 6) END AS prediction,
+  value >= 200.0 AS fallback, CASE WHEN value >= 200.0 THEN 'scoring failed' END AS error FROM onl"""
+
+ORACLE["score_success"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+SELECT event_id, user_id, product_id, timestamp_ms, 'SUCCESS' AS status FROM rt WHERE route = 'success'"""
+
+ORACLE["infer_batches"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + f"""
+SELECT event_id, round({score_sql()}, 6) AS prediction FROM onl"""
+
+ORACLE["cache_hits"] = "WITH RECURSIVE " + ",\n".join([EV, cache_cte("ev", P.CACHE_TTL_MS)]) + """
+SELECT event_id, user_id, hit AS cache_hit FROM cache"""
+
+ORACLE["cache_evict"] = "WITH RECURSIVE " + ",\n".join([EV, cache_cte("ev", P.CACHE_TTL_MS)]) + f"""
+SELECT user_id, max(timestamp_ms) AS cached_at_ms FROM cache WHERE NOT hit GROUP BY user_id
+ORDER BY cached_at_ms DESC, user_id LIMIT {P.CACHE_CAP}"""
+
+ORACLE["pred_union"] = w(EV, online_cte("ev", P.CHECK_LIMIT), f"upto AS (SELECT * FROM ev WHERE timestamp_ms <= {P.AS_OF_MS})",
+                         hist_cte("upto", P.AS_OF_MS, P.CHECK_LIMIT), feats_cte("hist", P.AS_OF_MS),
+                         """j AS (
+  SELECT u.user_id, coalesce(f.avg_time_category, 0.0) AS avg_time_category, coalesce(f.click_count, 0.0) AS click_count,
+    coalesce(f.purchase_count, 0.0) AS purchase_count, coalesce(f.recency, 1440.0) AS recency
+  FROM (SELECT DISTINCT user_id FROM upto) u LEFT JOIN feats f USING (user_id))""") + f"""
+SELECT user_id, product_id, round({score_sql()}, 6) AS prediction, timestamp_ms AS event_time,
+  false AS batch_processed FROM onl
+UNION ALL
+SELECT user_id, NULL, round({score_sql()}, 6), NULL, true FROM j"""

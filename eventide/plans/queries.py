@@ -186,3 +186,115 @@ def q_features_online(spark, d):
     f = FE.features_online(ev(spark, d), P.CHECK_LIMIT)
     return round_doubles(f.select("event_id", "user_id", F.col("hist_session").cast("bigint").alias("hist_session"),
                                   "gap_minutes", *FE.FEATURES))
+
+
+# ---------------------------------------------------------------- lanes, retry, fan-out
+
+from ..operators import lanes as LN  # noqa: E402
+from ..operators import score as SC  # noqa: E402
+
+
+def _error_failed():
+    return F.col("event_type") == "error"
+
+
+def _out_of_range():
+    return F.col("value") >= D.FAIL_VALUE
+
+
+@query("retry_route")
+def q_retry_route(spark, d):
+    r = LN.retry_route(ev(spark, d), _error_failed())
+    return r.select("event_id", "user_id", "failed", F.col("retry_count").cast("bigint").alias("retry_count"),
+                    "route")
+
+
+@query("retry_backoff")
+def q_retry_backoff(spark, d):
+    r = LN.retry_route(ev(spark, d), _error_failed()).filter(F.col("route") == "retry")
+    return r.select("event_id", F.col("retry_count").cast("bigint").alias("retry_count"), "delay_ms",
+                    "retry_at_ms")
+
+
+@query("sink_fanout")
+def q_sink_fanout(spark, d):
+    lanes = LN.fanout_lanes(raw(spark, d), _out_of_range())
+    s = lanes["success"].select(F.lit("success").alias("lane"), "event_id", "user_id",
+                                F.col("status").alias("detail"))
+    v = lanes["validation_errors"].select(F.lit("validation_errors").alias("lane"), "event_id", "user_id",
+                                          F.col("validation_rule").alias("detail"))
+    q = lanes["dlq"].select(F.lit("dlq").alias("lane"), "event_id", "user_id",
+                            F.concat_ws(" ", "error_type", "error_message", "original_event").alias("detail"))
+    r = lanes["retry"].select(F.lit("retry").alias("lane"), "event_id", "user_id",
+                              F.col("retry_count").cast("string").alias("detail"))
+    return s.unionByName(v).unionByName(q).unionByName(r)
+
+
+@query("event_json")
+def q_event_json(spark, d):
+    return raw(spark, d).select("event_id", LN.event_json().alias("original_event"))
+
+
+@query("error_trunc")
+def q_error_trunc(spark, d):
+    c = checked(spark, d).withColumn("original_event", LN.event_json())
+    v = (V.validation_errors(c.filter(F.size("errors") > 0))
+         .join(c.select("event_id", "original_event"), "event_id"))
+    text = F.concat(F.col("validation_rule"), F.lit(" in "), F.col("original_event"))
+    return v.select("event_id", F.col("rule_no").cast("bigint").alias("rule_no"), LN.error_trunc(text).alias("error"))
+
+
+# ---------------------------------------------------------------- scoring
+
+def _online(spark, d, limit=P.CHECK_LIMIT):
+    return FE.features_online(ev(spark, d), limit)
+
+
+@query("feature_asof")
+def q_feature_asof(spark, d):
+    """Every event scored with the features it sees (ml_predictions lane)."""
+    o = FE.score_users(_online(spark, d)).withColumn("processing_time", D.processing_ms())
+    return round_doubles(o.select("event_id", "user_id", "product_id", "prediction",
+                                  F.col("timestamp_ms").alias("event_time"), "processing_time"))
+
+
+@query("score_fallback")
+def q_score_fallback(spark, d):
+    o = _online(spark, d)
+    s = SC.score_with_fallback(o, X.score_linear(*FE.FEATURES), _out_of_range())
+    return round_doubles(s.select("event_id", "prediction", "fallback", "error"))
+
+
+@query("score_success")
+def q_score_success(spark, d):
+    lanes = LN.fanout_lanes(raw(spark, d), _out_of_range())
+    return lanes["success"]
+
+
+@query("infer_batches")
+def q_infer_batches(spark, d):
+    o = SC.batched_scores(_online(spark, d), batch_size=32)
+    return round_doubles(o.select("event_id", "prediction"))
+
+
+@query("cache_hits")
+def q_cache_hits(spark, d):
+    h = SC.cache_hits(ev(spark, d), P.CACHE_TTL_MS)
+    return h.select("event_id", "user_id", "cache_hit")
+
+
+@query("cache_evict")
+def q_cache_evict(spark, d):
+    h = SC.cache_hits(ev(spark, d), P.CACHE_TTL_MS)
+    return SC.cache_contents(h, P.CACHE_CAP)
+
+
+@query("pred_union")
+def q_pred_union(spark, d):
+    """Per-event predictions and per-user batch predictions on one output."""
+    single = FE.score_users(_online(spark, d)).select(
+        "user_id", "product_id", "prediction", F.col("timestamp_ms").alias("event_time"))
+    batch = (user_scores_plan(ev(spark, d), P.AS_OF_MS, P.CHECK_LIMIT)
+             .select("user_id", "prediction", F.lit(True).alias("batch_processed")))
+    u = single.unionByName(batch, allowMissingColumns=True)
+    return round_doubles(u.withColumn("batch_processed", F.coalesce("batch_processed", F.lit(False))))
