@@ -302,3 +302,140 @@ SELECT user_id, product_id, round({score_sql()}, 6) AS prediction, timestamp_ms
   false AS batch_processed FROM onl
 UNION ALL
 SELECT user_id, NULL, round({score_sql()}, 6), NULL, true FROM j"""
+
+
+MON = """mon AS (
+  SELECT *, timestamp_ms + CASE WHEN is_late THEN (300 + (event_id * 37) % 301) * 1000 ELSE 0 END AS arrival_ms,
+    timestamp_ms + CAST(trunc(value * 10) AS BIGINT) % 100 AS processing_time,
+    CASE WHEN event_id % 10 <= 5 THEN 'normal_load' WHEN event_id % 10 <= 8 THEN 'peak_load' ELSE 'late_data' END
+      AS load_scenario
+  FROM ev),
+mon2 AS (
+  SELECT *, processing_time - timestamp_ms AS latency_ms, arrival_ms - timestamp_ms > 300000 AS is_late_arrival
+  FROM mon),
+rec AS (SELECT * FROM mon2 WHERE event_id % 97 <> 0)"""
+
+ORACLE["tumble"] = w(EV) + """
+SELECT user_id, timestamp_ms - timestamp_ms % 60000 AS window_start_ms, timestamp_ms - timestamp_ms % 60000 + 60000 AS window_end_ms,
+  count(*) AS n_events FROM ev GROUP BY ALL"""
+
+ORACLE["session_events"] = w(EV) + """
+SELECT user_id, timestamp_ms - timestamp_ms % 60000 AS window_start_ms, timestamp_ms - timestamp_ms % 60000 + 60000 AS window_end_ms,
+  string_agg(category || ':' || event_type, ',' ORDER BY timestamp_ms, event_id) AS items FROM ev GROUP BY ALL"""
+
+ORACLE["sessions"] = w(EV, """s AS (
+  SELECT *, lag(timestamp_ms) OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id) AS prev FROM ev)""",
+                       """s2 AS (SELECT *, sum(CASE WHEN prev IS NULL OR timestamp_ms - prev > """ + str(P.SESSION_GAP_MS) + """ THEN 1 ELSE 0 END)
+  OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sn FROM s)""") + f"""
+SELECT user_id, min(timestamp_ms) AS session_start_ms, max(timestamp_ms) + {P.SESSION_GAP_MS} AS session_end_ms,
+  count(*) AS n_events FROM s2 GROUP BY user_id, sn"""
+
+ORACLE["late_split"] = w(EV, MON, """m AS (
+  SELECT *, max(timestamp_ms) OVER (ORDER BY arrival_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+  FROM mon2)""") + f"""
+SELECT event_id, CASE WHEN seen IS NULL OR timestamp_ms >= seen - {P.LATE_LANE_MS} THEN 'on_time'
+  WHEN timestamp_ms >= seen - {P.LATE_LANE_MS + P.ALLOWED_LATENESS_MS} THEN 'allowed' ELSE 'too_late' END AS lane,
+  seen - {P.LATE_LANE_MS} AS watermark_ms FROM m"""
+
+ORACLE["count_window"] = w(EV, MON, """g AS (
+  SELECT *, row_number() OVER (ORDER BY arrival_ms, event_id) - 1 AS gidx FROM mon2)""") + """
+SELECT CAST(gidx // 100 AS BIGINT) AS chunk, count(*) AS n, min(event_id) AS first_event_id,
+  max(event_id) AS last_event_id, count(*) FILTER (WHERE is_late_arrival) AS n_late FROM g GROUP BY 1"""
+
+ORACLE["dedup_events"] = w(EV, MON, """dup AS (
+  SELECT * FROM mon2 UNION ALL SELECT * REPLACE (arrival_ms + 90000 AS arrival_ms) FROM mon2 WHERE event_id % 7 = 0)""",
+                           """once AS (SELECT * FROM dup QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrival_ms) = 1)""") + """
+SELECT user_id, count(*) AS n_events, max(arrival_ms) AS last_arrival_ms FROM once GROUP BY user_id"""
+
+ORACLE["latency_ms"] = w(EV, MON) + "SELECT event_id, latency_ms FROM mon2"
+
+ORACLE["is_late"] = w(EV, MON) + "SELECT event_id, arrival_ms - timestamp_ms AS delay_ms, is_late_arrival AS is_late FROM mon2"
+
+ORACLE["latency_band"] = w(EV, MON) + """
+SELECT event_type, CASE WHEN latency_ms > 30 THEN 'high' WHEN latency_ms > 15 THEN 'medium' ELSE 'low' END AS band,
+  count(*) AS n FROM mon2 GROUP BY ALL"""
+
+ORACLE["late_rate"] = w(EV, MON) + f"""
+SELECT timestamp_ms - timestamp_ms % {P.HOUR_MS} AS window_start_ms, count(*) AS n,
+  count(*) FILTER (WHERE is_late_arrival) AS n_late,
+  round(count(*) FILTER (WHERE is_late_arrival) * 100.0 / count(*), 6) AS late_rate FROM mon2 GROUP BY 1"""
+
+_LAT = """count(latency_ms) AS n, round(avg(latency_ms), 6) AS mean, round(quantile_cont(latency_ms, 0.5), 6) AS p50,
+  round(quantile_cont(latency_ms, 0.95), 6) AS p95, round(quantile_cont(latency_ms, 0.99), 6) AS p99,
+  round(CAST(min(latency_ms) AS DOUBLE), 6) AS min, round(CAST(max(latency_ms) AS DOUBLE), 6) AS max"""
+
+ORACLE["latency_stats"] = w(EV, MON) + f"SELECT event_type, {_LAT} FROM rec GROUP BY event_type"
+
+ORACLE["latency_sla"] = w(EV, MON) + """
+SELECT load_scenario, count(*) FILTER (WHERE latency_ms > 0) AS n_positive,
+  round(quantile_cont(latency_ms, 0.95) FILTER (WHERE latency_ms > 0), 6) AS p95,
+  CASE WHEN count(*) FILTER (WHERE latency_ms > 0) > 0
+       THEN quantile_cont(latency_ms, 0.95) FILTER (WHERE latency_ms > 0) < 75 END AS sla_pass
+FROM rec GROUP BY load_scenario"""
+
+_SAMPLE = f"smp AS (SELECT * FROM rec ORDER BY event_id LIMIT {P.SAMPLE_N})"
+
+ORACLE["sample_first_n"] = w(EV, MON, _SAMPLE) + "SELECT event_id, user_id, is_late FROM smp"
+
+ORACLE["late_check"] = w(EV, MON, _SAMPLE) + """
+SELECT count(*) AS n, count(*) FILTER (WHERE is_late) AS n_late,
+  round(count(*) FILTER (WHERE is_late) / count(*), 6) AS late_share, count(*) FILTER (WHERE is_late) > 0 AS passed FROM smp"""
+
+_LOSS = """loss AS (
+  SELECT count(*) AS sent, (SELECT count(DISTINCT event_id) FROM rec) AS received,
+    count(*) FILTER (WHERE event_id NOT IN (SELECT event_id FROM rec)) AS lost FROM mon2)"""
+
+ORACLE["data_loss"] = w(EV, MON, _LOSS) + """
+SELECT sent, received, lost, round((sent - received) * 100.0 / sent, 6) AS loss_pct,
+  (sent - received) * 100.0 / sent <= 1.0 AS passed FROM loss"""
+
+ORACLE["verdict"] = w(EV, MON, _SAMPLE, _LOSS, """c AS (
+  SELECT (SELECT CASE WHEN count(*) FILTER (WHERE latency_ms > 0) > 0
+            THEN quantile_cont(latency_ms, 0.95) FILTER (WHERE latency_ms > 0) < 75 END FROM rec) AS latency_ok,
+         (SELECT count(*) FILTER (WHERE is_late) > 0 FROM smp) AS late_ok,
+         (SELECT (sent - received) * 100.0 / sent <= 1.0 FROM loss) AS loss_ok)""") + """
+SELECT latency_ok, late_ok, loss_ok,
+  coalesce(latency_ok, true) AND coalesce(late_ok, true) AND coalesce(loss_ok, true) AS overall FROM c"""
+
+ORACLE["scenario_counts"] = w(EV, MON) + "SELECT load_scenario, count(*) AS n_events FROM mon2 GROUP BY 1"
+
+_PHASE = f"""ph AS (SELECT *, CASE WHEN timestamp_ms < {P.DRIFT_SPLIT_MS} THEN 'before' ELSE 'after' END AS phase
+  FROM rec)"""
+
+ORACLE["before_after"] = w(EV, MON, _PHASE, """st AS (
+  SELECT phase, avg(latency_ms) AS mean, quantile_cont(latency_ms, 0.5) AS p50, quantile_cont(latency_ms, 0.95) AS p95,
+    quantile_cont(latency_ms, 0.99) AS p99, CAST(min(latency_ms) AS DOUBLE) AS min, CAST(max(latency_ms) AS DOUBLE) AS max
+  FROM ph WHERE latency_ms > 0 GROUP BY phase)""", """lng AS (
+  UNPIVOT st ON p50, p95, p99, mean, min, max INTO NAME statistic VALUE v)""") + """
+SELECT statistic, round(max(v) FILTER (WHERE phase = 'before'), 6) AS before,
+  round(max(v) FILTER (WHERE phase = 'after'), 6) AS after,
+  round(CASE WHEN max(v) FILTER (WHERE phase = 'before') <> 0 THEN
+    (max(v) FILTER (WHERE phase = 'before') - max(v) FILTER (WHERE phase = 'after'))
+    / max(v) FILTER (WHERE phase = 'before') * 100 END, 6) AS improvement_pct
+FROM lng GROUP BY statistic"""
+
+ORACLE["throughput"] = w(EV, MON) + """
+SELECT load_scenario, count(*) AS n, round((max(timestamp_ms) - min(timestamp_ms)) / 1000.0, 6) AS elapsed_s,
+  round(avg(latency_ms) FILTER (WHERE latency_ms > 0), 6) AS mean_latency_ms,
+  round(count(*) / ((max(timestamp_ms) - min(timestamp_ms)) / 1000.0), 6) AS events_per_s,
+  round(1000.0 / avg(latency_ms) FILTER (WHERE latency_ms > 0), 6) AS model_rps
+FROM mon2 GROUP BY load_scenario"""
+
+ORACLE["latency_hist"] = w(EV, MON, _PHASE, """p AS (SELECT * FROM ph WHERE latency_ms > 0)""",
+                           """rng AS (SELECT phase, CAST(min(latency_ms) AS DOUBLE) AS lo, CAST(max(latency_ms) AS DOUBLE) AS hi FROM p GROUP BY phase)""",
+                           """cnt AS (
+  SELECT p.phase, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((latency_ms - lo) / ((hi - lo) / 30)), 29) END AS BIGINT) AS bin,
+    count(*) AS n FROM p JOIN rng USING (phase) GROUP BY ALL)""") + """
+SELECT r.phase, CAST(b.bin AS BIGINT) AS bin, round(lo + (hi - lo) / 30 * b.bin, 6) AS bin_lo,
+  round(lo + (hi - lo) / 30 * (b.bin + 1), 6) AS bin_hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM rng r CROSS JOIN range(30) b(bin) LEFT JOIN cnt c ON c.phase = r.phase AND c.bin = b.bin"""
+
+ORACLE["dlq_share"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + f"""
+SELECT e.day_ms, e.n_messages, coalesce(q.n_dlq, 0) AS n_dlq, round(coalesce(q.n_dlq, 0) / e.n_messages, 6) AS dlq_share
+FROM (SELECT timestamp_ms - timestamp_ms % {P.DAY_MS} AS day_ms, count(*) AS n_messages FROM ev GROUP BY 1) e
+LEFT JOIN (SELECT timestamp_ms - timestamp_ms % {P.DAY_MS} AS day_ms, count(*) AS n_dlq FROM rt WHERE route = 'dlq' GROUP BY 1) q
+USING (day_ms)"""
+
+ORACLE["error_counters"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+SELECT 'validation_errors_total' AS counter, field AS label_a, validation_rule AS label_b, count(*) AS n FROM verr GROUP BY ALL
+UNION ALL SELECT 'dlq_messages_total', 'ScoringError', NULL, count(*) FROM rt WHERE route = 'dlq' HAVING count(*) > 0"""

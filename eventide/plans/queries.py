@@ -298,3 +298,176 @@ def q_pred_union(spark, d):
              .select("user_id", "prediction", F.lit(True).alias("batch_processed")))
     u = single.unionByName(batch, allowMissingColumns=True)
     return round_doubles(u.withColumn("batch_processed", F.coalesce("batch_processed", F.lit(False))))
+
+
+# ---------------------------------------------------------------- windows, late data, dedup
+
+from ..operators import slo as SL  # noqa: E402
+from ..operators import windows as WN  # noqa: E402
+
+
+def mon(spark, d):
+    """Events with arrival, processing time, scenario and the late flag."""
+    m = D.monitored(ev(spark, d))
+    return (m.withColumn("latency_ms", X.latency_ms())
+             .withColumn("is_late_arrival", X.is_late("arrival_ms")))
+
+
+@query("tumble")
+def q_tumble(spark, d):
+    return WN.tumble_counts(ev(spark, d), WN.MINUTE_MS)
+
+
+@query("session_events")
+def q_session_events(spark, d):
+    return WN.session_events(ev(spark, d), WN.MINUTE_MS)
+
+
+@query("sessions")
+def q_sessions(spark, d):
+    s = WN.sessions(ev(spark, d), P.SESSION_GAP_MS)
+    return s.select("user_id", "session_start_ms", "session_end_ms", "n_events")
+
+
+@query("late_split")
+def q_late_split(spark, d):
+    lanes = WN.late_lanes(mon(spark, d), bound_ms=P.LATE_LANE_MS, allowed_ms=P.ALLOWED_LATENESS_MS)
+    return lanes.select("event_id", "lane", "watermark_ms")
+
+
+@query("count_window")
+def q_count_window(spark, d):
+    c = WN.count_windows(mon(spark, d), ["arrival_ms", "event_id"], 100)
+    return (c.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"),
+                                   F.max("event_id").alias("last_event_id"),
+                                   F.count_if("is_late_arrival").alias("n_late")))
+
+
+@query("dedup_events")
+def q_dedup_events(spark, d):
+    dup = WN.redeliveries(mon(spark, d))
+    once = WN.dedup(dup)
+    return once.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"),
+                                       F.max("arrival_ms").alias("last_arrival_ms"))
+
+
+# ---------------------------------------------------------------- latency, loss, run checks
+
+@query("latency_ms")
+def q_latency_ms(spark, d):
+    return mon(spark, d).select("event_id", "latency_ms")
+
+
+@query("is_late")
+def q_is_late(spark, d):
+    m = mon(spark, d)
+    return m.select("event_id", (F.col("arrival_ms") - F.col("timestamp_ms")).alias("delay_ms"),
+                    F.col("is_late_arrival").alias("is_late"))
+
+
+@query("latency_band")
+def q_latency_band(spark, d):
+    m = mon(spark, d).withColumn("band", X.latency_band("latency_ms"))
+    return m.groupBy("event_type", "band").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("late_rate")
+def q_late_rate(spark, d):
+    m = WN.tumble(mon(spark, d), P.HOUR_MS)
+    return round_doubles(SL.late_rate(m, ["window_start_ms"]))
+
+
+@query("latency_stats")
+def q_latency_stats(spark, d):
+    return round_doubles(SL.latency_stats(D.received(mon(spark, d)), ["event_type"]))
+
+
+@query("latency_sla")
+def q_latency_sla(spark, d):
+    return round_doubles(SL.latency_sla(D.received(mon(spark, d)), ["load_scenario"]))
+
+
+def _sample(spark, d):
+    return SL.first_n(D.received(mon(spark, d)), P.SAMPLE_N)
+
+
+@query("sample_first_n")
+def q_sample_first_n(spark, d):
+    return _sample(spark, d).select("event_id", "user_id", "is_late")
+
+
+@query("late_check")
+def q_late_check(spark, d):
+    return round_doubles(SL.late_check(_sample(spark, d)))
+
+
+@query("data_loss")
+def q_data_loss(spark, d):
+    m = mon(spark, d)
+    return round_doubles(SL.data_loss(m, D.received(m)))
+
+
+@query("verdict")
+def q_verdict(spark, d):
+    """A10: overall = every non-null verdict is true (a null verdict is ignored)."""
+    m = mon(spark, d)
+    rec = D.received(m)
+    sla = SL.latency_sla(rec.withColumn("all", F.lit("all")), ["all"]).select(
+        F.lit("latency").alias("check"), F.col("sla_pass").alias("ok"))
+    late = SL.late_check(_sample(spark, d)).select(F.lit("late_data").alias("check"), F.col("passed").alias("ok"))
+    loss = SL.data_loss(m, rec).select(F.lit("loss").alias("check"), F.col("passed").alias("ok"))
+    checks = sla.unionByName(late).unionByName(loss)
+    return checks.agg(F.max(F.when(F.col("check") == "latency", F.col("ok"))).alias("latency_ok"),
+                      F.max(F.when(F.col("check") == "late_data", F.col("ok"))).alias("late_ok"),
+                      F.max(F.when(F.col("check") == "loss", F.col("ok"))).alias("loss_ok"),
+                      F.every("ok").alias("overall"))
+
+
+@query("scenario_counts")
+def q_scenario_counts(spark, d):
+    return mon(spark, d).groupBy("load_scenario").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def _phase(m):
+    return m.withColumn("phase", F.when(F.col("timestamp_ms") < P.DRIFT_SPLIT_MS, "before").otherwise("after"))
+
+
+@query("before_after")
+def q_before_after(spark, d):
+    return round_doubles(SL.before_after(_phase(D.received(mon(spark, d))), "phase"))
+
+
+@query("throughput")
+def q_throughput(spark, d):
+    return round_doubles(SL.throughput(mon(spark, d), ["load_scenario"]))
+
+
+@query("latency_hist")
+def q_latency_hist(spark, d):
+    m = _phase(D.received(mon(spark, d))).filter(F.col("latency_ms") > 0)
+    return round_doubles(SL.histogram(m, "phase", "latency_ms"))
+
+
+@query("dlq_share")
+def q_dlq_share(spark, d):
+    """Dead letters / all messages per day."""
+    lanes = LN.fanout_lanes(raw(spark, d), _out_of_range())
+    day = F.col("timestamp_ms") - F.pmod(F.col("timestamp_ms"), F.lit(P.DAY_MS))
+    dlq = lanes["dlq"].withColumnRenamed("timestamp", "timestamp_ms").select(day.alias("day_ms"), F.lit(1).alias("_d"))
+    allm = ev(spark, d).select(day.alias("day_ms"), F.lit(0).alias("_d"))
+    out = allm.unionByName(dlq).groupBy("day_ms").agg(
+        F.count_if(F.col("_d") == 0).alias("n_messages"), F.count_if(F.col("_d") == 1).alias("n_dlq"))
+    return round_doubles(out.withColumn("dlq_share", F.col("n_dlq") / F.col("n_messages")))
+
+
+@query("error_counters")
+def q_error_counters(spark, d):
+    """A5: validation errors by (field, rule) and dead letters by error type."""
+    lanes = LN.fanout_lanes(raw(spark, d), _out_of_range())
+    v = lanes["validation_errors"].groupBy("field", "validation_rule").agg(F.count(F.lit(1)).alias("n"))
+    v = v.select(F.lit("validation_errors_total").alias("counter"), F.col("field").alias("label_a"),
+                 F.col("validation_rule").alias("label_b"), "n")
+    q = lanes["dlq"].groupBy("error_type").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("dlq_messages_total").alias("counter"), F.col("error_type").alias("label_a"),
+        F.lit(None).cast("string").alias("label_b"), "n")
+    return v.unionByName(q)
