@@ -66,7 +66,21 @@ def error_array() -> Column:
     items.append(F.when(~is_missing("event_type") & ~et.isin(*VALID_EVENT_TYPES), F.struct(
         F.lit(7).alias("rule"), F.lit("event_type").alias("field"), et.alias("value"),
         F.concat(F.lit(MSG_TYPE), et).alias("message"))))
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+    # flatten(array(when(rule, [error]) else [])) keeps whole-stage codegen
+    # (a lambda filter would fall back to interpreted evaluation)
+    empty = F.array().cast(f"array<{ERROR_STRUCT}>")
+    return F.flatten(F.array(*[F.when(F.coalesce(i.isNotNull(), F.lit(False)), F.array(i)).otherwise(empty)
+                               for i in items]))
+
+
+def is_valid() -> Column:
+    """True when no rule is broken (a small boolean form of :func:`error_array`,
+    so filters pushed to the scan stay compact and code-generated)."""
+    ts = F.col("timestamp_ms").cast("string")
+    v = ts_value(ts)
+    present = [~is_missing(f) for f in REQUIRED_FIELDS]
+    ok = present[0] & present[1] & present[2] & present[3]
+    return ok & ts_is_int(ts) & v.between(0, MAX_TIMESTAMP_MS) & F.col("event_type").isin(*VALID_EVENT_TYPES)
 
 
 def with_errors(raw: DataFrame) -> DataFrame:
@@ -76,16 +90,22 @@ def with_errors(raw: DataFrame) -> DataFrame:
 
 def valid_only(checked: DataFrame) -> DataFrame:
     """Rows without broken rules, with timestamp_ms parsed to BIGINT."""
-    return (checked.filter(F.size("errors") == 0).drop("errors")
+    return (checked.filter(is_valid()).drop("errors")
             .withColumn("timestamp_ms", ts_value(F.col("timestamp_ms").cast("string"))))
 
 
 def validation_errors(checked: DataFrame) -> DataFrame:
-    """One row per broken rule: the validation_errors lane."""
+    """One row per broken rule: the validation_errors lane.
+
+    ``explode_outer`` + a null filter above it: a plain ``explode`` makes the
+    optimizer infer ``size(errors) > 0`` and push it to the scan, copying the
+    whole rule tree into the filter.
+    """
     ts = F.col("timestamp_ms").cast("string")
-    return (checked.filter(F.size("errors") > 0)
+    return (checked
             .select("event_id", "user_id", ts_value(ts).alias("timestamp"),
-                    F.explode("errors").alias("e"))
+                    F.explode_outer("errors").alias("e"))
+            .filter(F.col("e").isNotNull())
             .select("event_id", "user_id", F.col("e.field").alias("field"),
                     F.col("e.value").alias("value"), F.col("e.message").alias("validation_rule"),
                     "timestamp", F.col("e.rule").alias("rule_no")))

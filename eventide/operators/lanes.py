@@ -60,7 +60,7 @@ def classify(raw: DataFrame, failed: Column, key: str = "user_id") -> DataFrame:
     retry / dlq and the validation ``errors`` array.
     """
     chk = V.with_errors(raw)
-    bad = chk.filter(F.size("errors") > 0).withColumn("lane", F.lit("validation_error"))
+    bad = chk.withColumn("lane", F.lit("validation_error"))
     ok = V.valid_only(chk)
     routed = retry_route(ok, failed, key).withColumn("lane", F.col("route"))
     return routed, bad

@@ -238,7 +238,7 @@ def q_event_json(spark, d):
 @query("error_trunc")
 def q_error_trunc(spark, d):
     c = checked(spark, d).withColumn("original_event", LN.event_json())
-    v = (V.validation_errors(c.filter(F.size("errors") > 0))
+    v = (V.validation_errors(c)
          .join(c.select("event_id", "original_event"), "event_id"))
     text = F.concat(F.col("validation_rule"), F.lit(" in "), F.col("original_event"))
     return v.select("event_id", F.col("rule_no").cast("bigint").alias("rule_no"), LN.error_trunc(text).alias("error"))
