@@ -439,3 +439,118 @@ USING (day_ms)"""
 ORACLE["error_counters"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
 SELECT 'validation_errors_total' AS counter, field AS label_a, validation_rule AS label_b, count(*) AS n FROM verr GROUP BY ALL
 UNION ALL SELECT 'dlq_messages_total', 'ScoringError', NULL, count(*) FROM rt WHERE route = 'dlq' HAVING count(*) > 0"""
+
+
+ORACLE["top_items"] = w(EV, """pop AS (SELECT category, product_id, count(*) AS n FROM ev GROUP BY ALL)""") + f"""
+SELECT * FROM (SELECT category, row_number() OVER (PARTITION BY category ORDER BY n DESC, product_id) AS rank,
+  product_id, n FROM pop) WHERE rank <= {P.TOP_K}"""
+
+ORACLE["cold_start"] = w(EV, f"""bef AS (SELECT * FROM ev WHERE timestamp_ms < {P.COLD_AS_OF_MS})""",
+                         f"""aft AS (SELECT * FROM ev WHERE timestamp_ms >= {P.COLD_AS_OF_MS}
+  AND user_id NOT IN (SELECT user_id FROM bef))""",
+                         """fst AS (SELECT user_id, category FROM aft
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id) = 1)""",
+                         """pop AS (SELECT category, product_id, count(*) AS n FROM bef GROUP BY category, product_id)""",
+                         f"""top AS (SELECT * FROM (SELECT category, product_id, n,
+  row_number() OVER (PARTITION BY category ORDER BY n DESC, product_id) AS rank FROM pop)
+  WHERE rank <= {P.TOP_K})""") + """
+SELECT f.user_id, f.category, t.rank, t.product_id, t.n FROM fst f JOIN top t USING (category)"""
+
+ORACLE["ctr"] = w(EV, """g AS (SELECT category, count(*) FILTER (WHERE event_type = 'click') AS clicks,
+  count(*) FILTER (WHERE event_type = 'view') AS views FROM ev GROUP BY category)""") + """
+SELECT category, clicks, views, round(CASE WHEN views > 0 THEN clicks / views END, 6) AS ctr,
+  round(CASE WHEN views > 0 THEN clicks / views END / (sum(clicks) OVER () / sum(views) OVER ()), 6) AS lift FROM g"""
+
+
+def _feat_sql(where: str, as_of: str, by: str = "") -> str:
+    return f"""SELECT {by} user_id,
+    CAST(count(*) AS DOUBLE) / count(DISTINCT coalesce(category, '<null>')) AS avg_time_category,
+    CAST(count(*) FILTER (WHERE event_type IN ('click','view')) AS DOUBLE) AS click_count,
+    CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS purchase_count,
+    CAST(({as_of} - max(timestamp_ms)) / 60000.0 AS DOUBLE) AS recency
+  FROM ev WHERE {where} GROUP BY ALL"""
+
+
+DRIFT = [EV,
+         f"fr AS ({_feat_sql(f'timestamp_ms < {P.DRIFT_SPLIT_MS}', str(P.DRIFT_SPLIT_MS))})",
+         f"fc AS ({_feat_sql(f'timestamp_ms >= {P.DRIFT_SPLIT_MS} AND timestamp_ms <= {P.AS_OF_MS}', str(P.AS_OF_MS))})",
+         """rl AS (UNPIVOT fr ON avg_time_category, click_count, purchase_count, recency INTO NAME "column" VALUE value)""",
+         """cl AS (UNPIVOT fc ON avg_time_category, click_count, purchase_count, recency INTO NAME "column" VALUE value)""",
+         """edges AS (SELECT "column", quantile_cont(value, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS edges
+  FROM rl GROUP BY 1)""",
+         """rb AS (SELECT "column", CAST(len(list_filter(edges, lambda e: e < value)) AS BIGINT) AS bin, count(*) AS n
+  FROM rl JOIN edges USING ("column") GROUP BY ALL)""",
+         """cb AS (SELECT "column", CAST(len(list_filter(edges, lambda e: e < value)) AS BIGINT) AS bin, count(*) AS n
+  FROM cl JOIN edges USING ("column") GROUP BY ALL)""",
+         """cdf0 AS (
+  SELECT "column", value, coalesce(r.rn, 0) AS rn, coalesce(c.cn, 0) AS cn FROM
+  (SELECT "column", value, count(*) AS rn FROM rl GROUP BY ALL) r
+  FULL JOIN (SELECT "column", value, count(*) AS cn FROM cl GROUP BY ALL) c USING ("column", value))""",
+         """cdf AS (
+  SELECT *, sum(rn) OVER (PARTITION BY "column" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      / sum(rn) OVER (PARTITION BY "column") AS fr,
+    sum(cn) OVER (PARTITION BY "column" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      / sum(cn) OVER (PARTITION BY "column") AS fc,
+    lead(value) OVER (PARTITION BY "column" ORDER BY value) AS next_value FROM cdf0)""",
+         """ws AS (
+  SELECT d."column", d.wasserstein, d.wasserstein / s.sd AS wasserstein_norm FROM
+  (SELECT "column", sum(abs(fr - fc) * (next_value - value)) AS wasserstein FROM cdf GROUP BY 1) d
+  JOIN (SELECT "column", greatest(stddev_pop(value), 0.001) AS sd FROM rl GROUP BY 1) s USING ("column"))"""]
+
+
+def psi_sql(cur_bins: str, by: str) -> str:
+    """PSI per (by, column) with the reference-bins decomposition."""
+    sep = ", " if by else ""
+    return f"""rs AS (SELECT "column", bin, n / sum(n) OVER (PARTITION BY "column") AS r FROM rb),
+base AS (SELECT "column", sum((0.0001 - r) * ln(0.0001 / r)) AS b FROM rs GROUP BY 1),
+cs AS (SELECT {by}{sep}"column", bin, greatest(n / sum(n) OVER (PARTITION BY {by}{sep}"column"), 0.0001) AS c FROM {cur_bins}),
+pd AS (SELECT {by}{sep}cs."column",
+    sum(CASE WHEN rs.r IS NULL THEN (c - 0.0001) * ln(c / 0.0001)
+             ELSE (c - rs.r) * ln(c / rs.r) - (0.0001 - rs.r) * ln(0.0001 / rs.r) END) AS d
+  FROM cs LEFT JOIN rs ON cs."column" = rs."column" AND cs.bin = rs.bin GROUP BY ALL),
+psi AS (SELECT {by}{sep}pd."column", b + d AS psi FROM pd JOIN base ON pd."column" = base."column")"""
+
+
+ORACLE["drift_psi"] = w(*DRIFT, psi_sql("cb", "")) + 'SELECT "column", round(psi, 6) AS psi FROM psi'
+
+ORACLE["drift_align"] = w(*DRIFT) + """
+SELECT "column", bin, coalesce(rb.n, 0) AS ref_count, coalesce(cb.n, 0) AS cur_count
+FROM rb FULL JOIN cb USING ("column", bin)"""
+
+ORACLE["drift_ks"] = w(*DRIFT) + 'SELECT "column", round(max(abs(fr - fc)), 6) AS ks FROM cdf GROUP BY 1'
+
+ORACLE["drift_chi2"] = w(*DRIFT, """x0 AS (
+  SELECT "column", value, coalesce(r.rn, 0) AS rn, coalesce(c.cn, 0) AS cn FROM
+  (SELECT "column", value, count(*) AS rn FROM rl WHERE "column" IN ('click_count','purchase_count') GROUP BY ALL) r
+  FULL JOIN (SELECT "column", value, count(*) AS cn FROM cl WHERE "column" IN ('click_count','purchase_count') GROUP BY ALL) c
+  USING ("column", value))""", """x1 AS (
+  SELECT *, greatest(rn / sum(rn) OVER (PARTITION BY "column"), 0.0001) * sum(cn) OVER (PARTITION BY "column") AS expected
+  FROM x0)""") + """
+SELECT "column", round(sum(pow(cn - expected, 2) / expected), 6) AS chi2, count(*) AS n_values FROM x1 GROUP BY 1"""
+
+ORACLE["drift_wasserstein"] = w(*DRIFT) + """
+SELECT "column", round(wasserstein, 6) AS wasserstein, round(wasserstein_norm, 6) AS wasserstein_norm FROM ws"""
+
+ORACLE["drift_dataset"] = w(*DRIFT) + """
+SELECT count(*) AS n_columns, count(*) FILTER (WHERE wasserstein_norm >= 0.1) AS n_drifted,
+  round(count(*) FILTER (WHERE wasserstein_norm >= 0.1) / count(*), 6) AS drift_share,
+  count(*) FILTER (WHERE wasserstein_norm >= 0.1) / count(*) >= 0.5 AS dataset_drift,
+  round(CASE WHEN count(*) FILTER (WHERE wasserstein_norm >= 0.1) / count(*) >= 0.5 THEN max(wasserstein_norm)
+        ELSE 0.0 END, 6) AS drift_score FROM ws"""
+
+ORACLE["max_drift"] = w(*DRIFT) + """
+SELECT arg_max("column", wasserstein_norm) AS "column", round(max(wasserstein_norm), 6) AS score FROM ws"""
+
+ORACLE["drift_alert"] = w(*DRIFT,
+                          f"""ed AS (SELECT *, timestamp_ms - timestamp_ms % {P.DAY_MS} AS day_ms FROM ev
+  WHERE timestamp_ms >= {P.DRIFT_SPLIT_MS} AND timestamp_ms <= {P.AS_OF_MS})""",
+                          f"""fd AS (SELECT day_ms, user_id,
+    CAST(count(*) AS DOUBLE) / count(DISTINCT coalesce(category, '<null>')) AS avg_time_category,
+    CAST(count(*) FILTER (WHERE event_type IN ('click','view')) AS DOUBLE) AS click_count,
+    CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS purchase_count,
+    CAST((day_ms + {P.DAY_MS} - max(timestamp_ms)) / 60000.0 AS DOUBLE) AS recency
+  FROM ed GROUP BY day_ms, user_id)""",
+                          """dl AS (UNPIVOT fd ON avg_time_category, click_count, purchase_count, recency INTO NAME "column" VALUE value)""",
+                          """db AS (SELECT day_ms, "column", CAST(len(list_filter(edges, lambda e: e < value)) AS BIGINT) AS bin, count(*) AS n
+  FROM dl JOIN edges USING ("column") GROUP BY ALL)""", psi_sql("db", "day_ms")) + """
+SELECT day_ms, round(max(psi), 6) AS drift_score, max(psi) > 0.2 AS alert FROM psi GROUP BY day_ms"""

@@ -471,3 +471,98 @@ def q_error_counters(spark, d):
         F.lit("dlq_messages_total").alias("counter"), F.col("error_type").alias("label_a"),
         F.lit(None).cast("string").alias("label_b"), "n")
     return v.unionByName(q)
+
+
+# ---------------------------------------------------------------- recommendations
+
+from ..operators import drift as DR  # noqa: E402
+from ..operators import recommend as RC  # noqa: E402
+
+
+@query("top_items")
+def q_top_items(spark, d):
+    return RC.top_items(ev(spark, d), P.TOP_K).select("category", F.col("rank").cast("bigint").alias("rank"),
+                                                      "product_id", "n")
+
+
+@query("cold_start")
+def q_cold_start(spark, d):
+    c = RC.cold_start(ev(spark, d), P.COLD_AS_OF_MS, P.TOP_K)
+    return c.select("user_id", "category", F.col("rank").cast("bigint").alias("rank"), "product_id", "n")
+
+
+@query("ctr")
+def q_ctr(spark, d):
+    return round_doubles(RC.ctr(ev(spark, d)))
+
+
+@query("recs_topk")
+def q_recs_topk(spark, d):
+    return RC.als_topk(ev(spark, d), P.TOP_K)
+
+
+# ---------------------------------------------------------------- drift
+
+def _period_features(spark, d):
+    e = ev(spark, d)
+    ref = (e.filter(F.col("timestamp_ms") < P.DRIFT_SPLIT_MS).groupBy("user_id")
+           .agg(*FE.feature_aggs(F.lit(P.DRIFT_SPLIT_MS))))
+    cur = (e.filter((F.col("timestamp_ms") >= P.DRIFT_SPLIT_MS) & (F.col("timestamp_ms") <= P.AS_OF_MS))
+           .groupBy("user_id").agg(*FE.feature_aggs(F.lit(P.AS_OF_MS))))
+    return DR.to_long(ref, FE.FEATURES), DR.to_long(cur, FE.FEATURES)
+
+
+@query("drift_psi")
+def q_drift_psi(spark, d):
+    ref, cur = _period_features(spark, d)
+    return round_doubles(DR.psi(ref, cur))
+
+
+@query("drift_align")
+def q_drift_align(spark, d):
+    ref, cur = _period_features(spark, d)
+    return DR.aligned_bins(ref, cur)
+
+
+@query("drift_ks")
+def q_drift_ks(spark, d):
+    ref, cur = _period_features(spark, d)
+    return round_doubles(DR.ks(ref, cur))
+
+
+@query("drift_chi2")
+def q_drift_chi2(spark, d):
+    ref, cur = _period_features(spark, d)
+    few = F.col("column").isin("click_count", "purchase_count")
+    return round_doubles(DR.chi2(ref.filter(few), cur.filter(few)))
+
+
+@query("drift_wasserstein")
+def q_drift_wasserstein(spark, d):
+    ref, cur = _period_features(spark, d)
+    return round_doubles(DR.wasserstein(ref, cur))
+
+
+@query("drift_dataset")
+def q_drift_dataset(spark, d):
+    ref, cur = _period_features(spark, d)
+    return round_doubles(DR.dataset_drift(DR.wasserstein(ref, cur)))
+
+
+@query("max_drift")
+def q_max_drift(spark, d):
+    ref, cur = _period_features(spark, d)
+    return round_doubles(DR.max_drift(DR.wasserstein(ref, cur)))
+
+
+@query("drift_alert")
+def q_drift_alert(spark, d):
+    """Daily PSI of each day's user features against the reference; alert above 0.2."""
+    ref, _ = _period_features(spark, d)
+    e = ev(spark, d).filter((F.col("timestamp_ms") >= P.DRIFT_SPLIT_MS) & (F.col("timestamp_ms") <= P.AS_OF_MS))
+    e = e.withColumn("day_ms", F.col("timestamp_ms") - F.pmod(F.col("timestamp_ms"), F.lit(P.DAY_MS)))
+    daily = e.groupBy("day_ms", "user_id").agg(*FE.feature_aggs(F.col("day_ms") + P.DAY_MS))
+    cur = DR.to_long(daily, FE.FEATURES, by=["day_ms"])
+    p = DR.psi(ref, cur, by=["day_ms"])
+    out = p.groupBy("day_ms").agg(F.max("psi").alias("drift_score"))
+    return round_doubles(out.withColumn("alert", F.col("drift_score") > DR.ALERT_SCORE))
