@@ -554,3 +554,157 @@ ORACLE["drift_alert"] = w(*DRIFT,
                           """db AS (SELECT day_ms, "column", CAST(len(list_filter(edges, lambda e: e < value)) AS BIGINT) AS bin, count(*) AS n
   FROM dl JOIN edges USING ("column") GROUP BY ALL)""", psi_sql("db", "day_ms")) + """
 SELECT day_ms, round(max(psi), 6) AS drift_score, max(psi) > 0.2 AS alert FROM psi GROUP BY day_ms"""
+
+
+_W = 604800000
+_RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+METRICS = [EV, RAW, CHK, MON, retry_cte("valid", "value >= 200.0"),
+           "mh AS (SELECT *, timestamp_ms - timestamp_ms % 3600000 + 3600000 AS ts_ms FROM mon2)",
+           "et AS (SELECT event_type, ts_ms, count(*) AS inc FROM mh GROUP BY event_type, ts_ms)",
+           """ve AS (SELECT v.field, e.timestamp_ms - e.timestamp_ms % 3600000 + 3600000 AS ts_ms, count(*) AS inc
+  FROM verr v JOIN ev e ON v.event_id = e.event_id GROUP BY 1, 2)""",
+           """dq AS (SELECT timestamp_ms - timestamp_ms % 3600000 + 3600000 AS ts_ms, count(*) AS inc
+  FROM rt WHERE route = 'dlq' GROUP BY 1)""",
+           """hb AS (SELECT ts_ms, count(*) FILTER (WHERE latency_ms <= 10) AS le_10, count(*) FILTER (WHERE latency_ms <= 20) AS le_20,
+  count(*) FILTER (WHERE latency_ms <= 50) AS le_50, count(*) FILTER (WHERE latency_ms <= 100) AS le_100,
+  count(*) AS le_inf, sum(latency_ms) AS lsum FROM mh GROUP BY ts_ms)""",
+           """bk AS (SELECT ts_ms, '10' AS le, le_10 AS inc FROM hb UNION ALL SELECT ts_ms, '20', le_20 FROM hb
+  UNION ALL SELECT ts_ms, '50', le_50 FROM hb UNION ALL SELECT ts_ms, '100', le_100 FROM hb
+  UNION ALL SELECT ts_ms, '+Inf', le_inf FROM hb)""",
+           """hg AS (SELECT ts_ms, max(arrival_ms - timestamp_ms) AS emit_lag, quantile_cont(latency_ms, 0.95) AS p95,
+  count(*) FILTER (WHERE event_id % 2 = 0) AS n0, count(*) FILTER (WHERE event_id % 2 = 1) AS n1,
+  coalesce(sum(latency_ms) FILTER (WHERE event_id % 2 = 0), 0) AS busy0,
+  coalesce(sum(latency_ms) FILTER (WHERE event_id % 2 = 1), 0) AS busy1 FROM mh GROUP BY ts_ms)""",
+           """inst AS (SELECT ts_ms, 'tm-0' AS instance, n0 AS n, busy0 AS busy_ms FROM hg
+  UNION ALL SELECT ts_ms, 'tm-1', n1, busy1 FROM hg)""",
+           """lagt AS (SELECT event_id % 3 AS part, ts_ms, count(*) FILTER (WHERE arrival_ms > ts_ms) AS v FROM mh GROUP BY 1, 2)""",
+           f"""metrics AS (
+  SELECT 'events_total' AS metric, 'events_total{{event_type=' || event_type || '}}' AS series, NULL AS lab, ts_ms,
+    CAST(sum(inc) OVER (PARTITION BY event_type, floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) AS DOUBLE) AS value FROM et
+  UNION ALL SELECT 'validation_errors_total', 'validation_errors_total{{field=' || field || '}}', field, ts_ms,
+    CAST(sum(inc) OVER (PARTITION BY field, floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) AS DOUBLE) FROM ve
+  UNION ALL SELECT 'dlq_messages_total', 'dlq_messages_total', NULL, ts_ms,
+    CAST(sum(inc) OVER (PARTITION BY floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) AS DOUBLE) FROM dq
+  UNION ALL SELECT 'ml_latency_bucket', 'ml_latency_bucket{{le=' || le || '}}', le, ts_ms,
+    CAST(sum(inc) OVER (PARTITION BY le, floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) AS DOUBLE) FROM bk
+  UNION ALL SELECT 'ml_latency_sum', 'ml_latency_sum', NULL, ts_ms,
+    CAST(sum(lsum) OVER (PARTITION BY floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) AS DOUBLE) FROM hb
+  UNION ALL SELECT 'ml_latency_count', 'ml_latency_count', NULL, ts_ms,
+    CAST(sum(le_inf) OVER (PARTITION BY floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) AS DOUBLE) FROM hb
+  UNION ALL SELECT 'kafka_consumergroup_lag',
+    'kafka_consumergroup_lag{{consumergroup=recs,partition=' || CAST(part AS VARCHAR) || ',topic=user_events}}',
+    CAST(part AS VARCHAR), ts_ms, CAST(v AS DOUBLE) FROM lagt
+  UNION ALL SELECT 'flink_taskmanager_job_task_operator_currentEmitEventTimeLag',
+    'flink_taskmanager_job_task_operator_currentEmitEventTimeLag{{operator_name=score}}', NULL, ts_ms,
+    CAST(emit_lag AS DOUBLE) FROM hg
+  UNION ALL SELECT 'ml_inference_latency_p95', 'ml_inference_latency_p95', NULL, ts_ms, p95 FROM hg
+  UNION ALL SELECT 'up', 'up{{instance=' || instance || ',job=flink}}', instance, ts_ms,
+    CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END FROM inst
+  UNION ALL SELECT 'node_cpu_seconds_total', 'node_cpu_seconds_total{{instance=' || instance || ',mode=idle}}', instance, ts_ms,
+    sum(3600.0 - busy_ms / 1000.0) OVER (PARTITION BY instance, floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) FROM inst
+  UNION ALL SELECT 'node_memory_MemTotal_bytes', 'node_memory_MemTotal_bytes{{instance=' || instance || '}}', instance,
+    ts_ms, 8589934592.0 FROM inst
+  UNION ALL SELECT 'node_memory_MemAvailable_bytes', 'node_memory_MemAvailable_bytes{{instance=' || instance || '}}',
+    instance, ts_ms, 8589934592.0 - n * 134217728.0 FROM inst)""",
+           f"""dl AS (SELECT *, CASE WHEN lag(value) OVER s IS NULL THEN 0.0 WHEN value < lag(value) OVER s THEN value
+    ELSE value - lag(value) OVER s END AS dlt FROM metrics WINDOW s AS (PARTITION BY series ORDER BY ts_ms))""",
+           f"""inc AS (SELECT *, sum(dlt) OVER (PARTITION BY series ORDER BY ts_ms
+    RANGE BETWEEN {P.METRIC_RANGE_MS - 1} PRECEDING AND CURRENT ROW) AS increase,
+    sum(dlt) OVER (PARTITION BY series ORDER BY ts_ms RANGE BETWEEN {P.METRIC_RANGE_MS - 1} PRECEDING AND CURRENT ROW)
+      / {P.METRIC_RANGE_MS / 1000.0} AS rate FROM dl)""",
+           """lat AS (SELECT metric, series, lab, max(ts_ms) AS ts_ms, arg_max(value, ts_ms) AS value FROM metrics GROUP BY ALL)""",
+           """cpu AS (SELECT ts_ms, lab AS instance, 100.0 - avg(rate) * 100 AS value FROM inc
+  WHERE metric = 'node_cpu_seconds_total' GROUP BY ts_ms, lab)""",
+           """mem AS (SELECT ts_ms, lab AS instance,
+  (max(value) FILTER (WHERE metric = 'node_memory_MemTotal_bytes') - max(value) FILTER (WHERE metric = 'node_memory_MemAvailable_bytes'))
+  / max(value) FILTER (WHERE metric = 'node_memory_MemTotal_bytes') * 100 AS value
+  FROM metrics WHERE metric IN ('node_memory_MemTotal_bytes', 'node_memory_MemAvailable_bytes') GROUP BY ts_ms, lab)"""]
+
+ORACLE["m_threshold"] = w(*METRICS) + """
+SELECT metric, series, ts_ms, round(value, 6) AS value,
+  CASE WHEN metric = 'ml_inference_latency_p95' THEN value > 75.0 ELSE value > 1000.0 END AS firing
+FROM lat WHERE metric IN ('kafka_consumergroup_lag', 'flink_taskmanager_job_task_operator_currentEmitEventTimeLag',
+  'ml_inference_latency_p95')"""
+
+ORACLE["m_increase"] = w(*METRICS) + "SELECT series, ts_ms, round(increase, 6) AS increase FROM inc WHERE metric = 'events_total'"
+
+ORACLE["m_up"] = w(*METRICS) + "SELECT series, ts_ms, value, value = 0.0 AS firing FROM lat WHERE metric = 'up'"
+
+ORACLE["m_rate"] = w(*METRICS) + """
+SELECT series, ts_ms, round(rate, 6) AS rate FROM inc WHERE metric IN ('dlq_messages_total', 'events_total')"""
+
+ORACLE["m_sum_by"] = w(*METRICS) + """
+SELECT lab AS field, round(sum(value), 6) AS value FROM lat WHERE metric = 'validation_errors_total' GROUP BY lab"""
+
+ORACLE["m_hist_quantile"] = w(*METRICS, """hq0 AS (
+  SELECT ts_ms, lab AS le, sum(rate) AS c, CASE WHEN lab = '+Inf' THEN 'inf'::DOUBLE ELSE CAST(lab AS DOUBLE) END AS bound
+  FROM inc WHERE metric = 'ml_latency_bucket' GROUP BY ts_ms, lab)""", """hq1 AS (
+  SELECT *, coalesce(lag(bound) OVER w, 0.0) AS prev_bound, coalesce(lag(c) OVER w, 0.0) AS prev_c,
+    max(CASE WHEN le = '+Inf' THEN c END) OVER (PARTITION BY ts_ms) AS total,
+    max(CASE WHEN le <> '+Inf' THEN bound END) OVER (PARTITION BY ts_ms) AS max_finite
+  FROM hq0 WINDOW w AS (PARTITION BY ts_ms ORDER BY bound))""", """hq2 AS (
+  SELECT * FROM hq1 WHERE c >= total * 0.95 AND total > 0
+  QUALIFY row_number() OVER (PARTITION BY ts_ms ORDER BY bound) = 1)""") + """
+SELECT ts_ms, round(CASE WHEN bound = 'inf'::DOUBLE THEN max_finite
+  ELSE prev_bound + (bound - prev_bound) * (total * 0.95 - prev_c) / (c - prev_c) END, 6) AS quantile FROM hq2"""
+
+ORACLE["m_avg_latency"] = w(*METRICS) + """
+SELECT ts_ms, round(CASE WHEN sum(rate) FILTER (WHERE metric = 'ml_latency_count') > 0 THEN
+  sum(rate) FILTER (WHERE metric = 'ml_latency_sum') / sum(rate) FILTER (WHERE metric = 'ml_latency_count') END, 6) AS value
+FROM inc WHERE metric IN ('ml_latency_sum', 'ml_latency_count') GROUP BY ts_ms"""
+
+ORACLE["m_cpu"] = w(*METRICS) + "SELECT ts_ms, instance, round(value, 6) AS value, value > 80.0 AS firing FROM cpu"
+
+ORACLE["m_mem"] = w(*METRICS) + "SELECT ts_ms, instance, round(value, 6) AS value, value > 90.0 AS firing FROM mem"
+
+ORACLE["m_series"] = w(*METRICS) + """
+SELECT ts_ms, 'recs' AS consumergroup, lab AS partition, round(value, 6) AS value FROM metrics
+WHERE metric = 'kafka_consumergroup_lag'"""
+
+_RULES = """rules AS (SELECT * FROM (VALUES
+  ('HighKafkaLag', 'kafka_consumergroup_lag', '>', 1000.0, 5, 'critical'),
+  ('KafkaUnderReplicatedPartitions', 'kafka_topic_partition_under_replicated_partition', '>', 0.0, 2, 'warning'),
+  ('HighFlinkProcessingLatency', 'flink_taskmanager_job_task_operator_currentEmitEventTimeLag', '>', 1000.0, 1, 'warning'),
+  ('FlinkCheckpointFailures', 'increase:flink_jobmanager_job_numberOfFailedCheckpoints', '>', 0.0, 2, 'critical'),
+  ('FlinkTaskManagerDown', 'up', '==', 0.0, 1, 'critical'),
+  ('FlinkBackpressure', 'flink_taskmanager_job_task_backPressuredTimeMsPerSecond', '>', 500.0, 2, 'warning'),
+  ('HighMLInferenceLatency', 'ml_inference_latency_p95', '>', 75.0, 5, 'warning'),
+  ('MLModelPredictionDrift', 'data_drift_score', '>', 0.2, 10, 'warning'),
+  ('HighDLQRate', 'rate:dlq_messages_total', '>', 0.1, 5, 'warning'),
+  ('HighMemoryUsage', 'memory_used_pct', '>', 90.0, 5, 'warning'),
+  ('HighCPUUsage', 'cpu_busy_pct', '>', 80.0, 5, 'warning')) t(alert, expr, op, bound, for_min, severity))"""
+
+ORACLE["alerts"] = w(*METRICS, _RULES, """ri AS (
+  SELECT metric AS expr, series, ts_ms, value FROM metrics
+  UNION ALL SELECT 'increase:' || metric, series, ts_ms, increase FROM inc
+    WHERE metric IN ('dlq_messages_total', 'flink_jobmanager_job_numberOfFailedCheckpoints')
+  UNION ALL SELECT 'rate:' || metric, series, ts_ms, rate FROM inc
+    WHERE metric IN ('dlq_messages_total', 'flink_jobmanager_job_numberOfFailedCheckpoints')
+  UNION ALL SELECT 'cpu_busy_pct', 'cpu{instance=' || instance || '}', ts_ms, value FROM cpu
+  UNION ALL SELECT 'memory_used_pct', 'memory{instance=' || instance || '}', ts_ms, value FROM mem)""", """ct AS (
+  SELECT r.alert, r.severity, i.series, i.ts_ms, r.for_min FROM ri i JOIN rules r ON i.expr = r.expr
+  WHERE CASE WHEN r.op = '>' THEN i.value > r.bound WHEN r.op = '==' THEN i.value = r.bound ELSE i.value < r.bound END)""",
+                     """isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts_ms - prev > 3600000 THEN 1 ELSE 0 END)
+  OVER (PARTITION BY alert, severity, series ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k
+  FROM (SELECT *, lag(ts_ms) OVER (PARTITION BY alert, severity, series ORDER BY ts_ms) AS prev FROM ct))""") + """
+SELECT alert, severity, series, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, min(ts_ms) + any_value(for_min) * 60000 AS fires_from_ms,
+  max(ts_ms) >= min(ts_ms) + any_value(for_min) * 60000 AS fired FROM isl GROUP BY alert, severity, series, k"""
+
+ORACLE["alert_for"] = w(*METRICS, """ct AS (SELECT series, ts_ms FROM metrics WHERE metric = 'ml_inference_latency_p95' AND value > 75.0)""",
+                        """isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts_ms - prev > 3600000 THEN 1 ELSE 0 END)
+  OVER (PARTITION BY series ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k
+  FROM (SELECT *, lag(ts_ms) OVER (PARTITION BY series ORDER BY ts_ms) AS prev FROM ct))""") + """
+SELECT series, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, min(ts_ms) + 300000 AS fires_from_ms,
+  max(ts_ms) >= min(ts_ms) + 300000 AS fired FROM isl GROUP BY series, k"""
+
+ORACLE["m_bands"] = w(*METRICS, """bands AS (SELECT * FROM (VALUES
+  ('kafka_consumergroup_lag', 0.0, 'green'), ('kafka_consumergroup_lag', 500.0, 'yellow'), ('kafka_consumergroup_lag', 1000.0, 'red'),
+  ('ml_inference_latency_p95', 0.0, 'green'), ('ml_inference_latency_p95', 50.0, 'yellow'), ('ml_inference_latency_p95', 75.0, 'red'),
+  ('cpu_busy_pct', 0.0, 'green'), ('cpu_busy_pct', 70.0, 'yellow'), ('cpu_busy_pct', 90.0, 'red'),
+  ('memory_used_pct', 0.0, 'green'), ('memory_used_pct', 70.0, 'yellow'), ('memory_used_pct', 90.0, 'red')) t(bmetric, bound, band))""",
+                       """vals AS (
+  SELECT metric, series, value FROM lat WHERE metric IN ('kafka_consumergroup_lag', 'ml_inference_latency_p95')
+  UNION ALL SELECT 'cpu_busy_pct', 'cpu_busy_pct{instance=' || instance || '}', arg_max(value, ts_ms) FROM cpu GROUP BY instance
+  UNION ALL SELECT 'memory_used_pct', 'memory_used_pct{instance=' || instance || '}', arg_max(value, ts_ms) FROM mem GROUP BY instance)""") + """
+SELECT metric, series, round(value, 6) AS value, arg_max(band, bound) AS band
+FROM vals JOIN bands ON metric = bmetric WHERE bound <= value GROUP BY metric, series, value"""

@@ -566,3 +566,110 @@ def q_drift_alert(spark, d):
     p = DR.psi(ref, cur, by=["day_ms"])
     out = p.groupBy("day_ms").agg(F.max("psi").alias("drift_score"))
     return round_doubles(out.withColumn("alert", F.col("drift_score") > DR.ALERT_SCORE))
+
+
+# ---------------------------------------------------------------- metrics and alerts
+
+from ..operators import metrics as MT  # noqa: E402
+
+
+def metric_samples(spark, d):
+    c = checked(spark, d)
+    verr = (c.select("sent_ms", F.explode_outer("errors").alias("e")).filter(F.col("e").isNotNull())
+            .select("sent_ms", F.col("e.field").alias("field")))
+    dlq = (LN.fanout_lanes(raw(spark, d), _out_of_range())["dlq"]
+           .select(F.col("timestamp").alias("timestamp_ms")))
+    return MT.metric_table(mon(spark, d), verr, dlq)
+
+
+@query("m_threshold")
+def q_m_threshold(spark, d):
+    m = metric_samples(spark, d)
+    parts = [MT.threshold(m, "kafka_consumergroup_lag", ">", 1000.0),
+             MT.threshold(m, "flink_taskmanager_job_task_operator_currentEmitEventTimeLag", ">", 1000.0),
+             MT.threshold(m, "ml_inference_latency_p95", ">", 75.0)]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return round_doubles(out.select("metric", "series", "ts_ms", "value", "firing"))
+
+
+@query("m_increase")
+def q_m_increase(spark, d):
+    m = metric_samples(spark, d).filter(F.col("metric") == "events_total")
+    return round_doubles(MT.increase(m, P.METRIC_RANGE_MS).select("series", "ts_ms", "increase"))
+
+
+@query("m_up")
+def q_m_up(spark, d):
+    return MT.threshold(metric_samples(spark, d), "up", "==", 0.0).select("series", "ts_ms", "value", "firing")
+
+
+@query("m_rate")
+def q_m_rate(spark, d):
+    m = metric_samples(spark, d).filter(F.col("metric").isin("dlq_messages_total", "events_total"))
+    return round_doubles(MT.rate(m, P.METRIC_RANGE_MS).select("series", "ts_ms", "rate"))
+
+
+@query("m_sum_by")
+def q_m_sum_by(spark, d):
+    return round_doubles(MT.sum_by(metric_samples(spark, d), "validation_errors_total", "field"))
+
+
+@query("m_hist_quantile")
+def q_m_hist_quantile(spark, d):
+    return round_doubles(MT.histogram_quantile(metric_samples(spark, d), 0.95, "ml_latency_bucket",
+                                               P.METRIC_RANGE_MS))
+
+
+@query("m_avg_latency")
+def q_m_avg_latency(spark, d):
+    return round_doubles(MT.ratio_of_rates(metric_samples(spark, d), "ml_latency_sum", "ml_latency_count",
+                                           P.METRIC_RANGE_MS))
+
+
+@query("m_cpu")
+def q_m_cpu(spark, d):
+    c = MT.cpu_busy(metric_samples(spark, d), P.METRIC_RANGE_MS)
+    return round_doubles(c.withColumn("firing", F.col("value") > 80.0))
+
+
+@query("m_mem")
+def q_m_mem(spark, d):
+    c = MT.memory_used(metric_samples(spark, d))
+    return round_doubles(c.withColumn("firing", F.col("value") > 90.0))
+
+
+@query("m_series")
+def q_m_series(spark, d):
+    m = metric_samples(spark, d).filter(F.col("metric") == "kafka_consumergroup_lag")
+    return round_doubles(m.select("ts_ms", F.col("labels")["consumergroup"].alias("consumergroup"),
+                                  F.col("labels")["partition"].alias("partition"), "value"))
+
+
+@query("alerts")
+def q_alerts(spark, d):
+    return MT.alerts(metric_samples(spark, d), P.METRIC_RANGE_MS).select(
+        "alert", "severity", "series", "start_ms", "end_ms", "fires_from_ms", "fired")
+
+
+@query("alert_for")
+def q_alert_for(spark, d):
+    """W11 alone: p95 latency above 75 ms for 5 minutes, on hourly samples."""
+    m = metric_samples(spark, d).filter(F.col("metric") == "ml_inference_latency_p95")
+    c = m.withColumn("cond", F.col("value") > 75.0).withColumn("_for", F.lit(5 * 60000).cast("long"))
+    return MT.alert_for(c, P.HOUR_MS, ["series"], F.col("_for")).select(
+        "series", "start_ms", "end_ms", "fires_from_ms", "fired")
+
+
+@query("m_bands")
+def q_m_bands(spark, d):
+    m = metric_samples(spark, d)
+    lt = MT.latest(m.filter(F.col("metric").isin("kafka_consumergroup_lag", "ml_inference_latency_p95")))
+    vals = lt.select("metric", "series", "value")
+    cpu = MT.cpu_busy(m, P.METRIC_RANGE_MS)
+    mem = MT.memory_used(m)
+    last = lambda x, name: (x.groupBy("instance").agg(F.max_by("value", "ts_ms").alias("value"))
+                            .select(F.lit(name).alias("metric"),
+                                    F.concat(F.lit(name + "{instance="), "instance", F.lit("}")).alias("series"),
+                                    "value"))
+    vals = vals.unionByName(last(cpu, "cpu_busy_pct")).unionByName(last(mem, "memory_used_pct"))
+    return round_doubles(MT.bands(vals))

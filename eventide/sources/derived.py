@@ -84,4 +84,4 @@ def raw_events(df: DataFrame) -> DataFrame:
     cat = F.when(r == 14, F.lit(None).cast("string")).otherwise(F.col("category"))
     return df.select("event_id", user.alias("user_id"), product.alias("product_id"),
                      cat.alias("category"), etype.alias("event_type"), ts.alias("timestamp_ms"),
-                     "is_late", "value")
+                     "is_late", "value", F.col("timestamp_ms").alias("sent_ms"))
