@@ -708,3 +708,43 @@ ORACLE["m_bands"] = w(*METRICS, """bands AS (SELECT * FROM (VALUES
   UNION ALL SELECT 'memory_used_pct', 'memory_used_pct{instance=' || instance || '}', arg_max(value, ts_ms) FROM mem GROUP BY instance)""") + """
 SELECT metric, series, round(value, 6) AS value, arg_max(band, bound) AS band
 FROM vals JOIN bands ON metric = bmetric WHERE bound <= value GROUP BY metric, series, value"""
+
+
+ORACLE["src_multi_topic"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+SELECT 'user_events' AS topic, count(*) AS n_messages, count(DISTINCT user_id) AS n_users FROM ev
+UNION ALL SELECT 'ml_predictions_success', count(*), count(DISTINCT user_id) FROM rt WHERE route = 'success'
+UNION ALL SELECT 'validation_errors', count(*), count(DISTINCT user_id) FROM verr
+UNION ALL SELECT 'dlq_fatal_errors', count(*), count(DISTINCT user_id) FROM rt WHERE route = 'dlq' HAVING count(*) > 0"""
+
+ORACLE["route_topic"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+SELECT 'ml_predictions_success' AS topic, event_id FROM rt WHERE route = 'success'"""
+
+ORACLE["sink_json"] = w(EV) + """
+SELECT json_object('user_id', user_id, 'event_count', count(*))::VARCHAR AS value, user_id, count(*) AS event_count
+FROM ev GROUP BY user_id"""
+
+ORACLE["hist_store"] = w(EV, hist_cte("ev", P.AS_OF_MS, 100)) + """
+SELECT user_id, pos, event_id,
+  json_object('event_type', event_type, 'category', category, 'timestamp_ms', timestamp_ms)::VARCHAR AS entry FROM hist"""
+
+ORACLE["parse_tolerant"] = w(EV, f"""m AS (SELECT user_id, event_id,
+  CASE WHEN event_id % 13 = 0 THEN substring({_EVENT_JSON}, 1, length({_EVENT_JSON}) - 1) ELSE {_EVENT_JSON} END AS v
+  FROM ev)""") + """
+SELECT user_id, count(*) AS n_messages, count(*) FILTER (WHERE json_valid(v)) AS n_parsed,
+  count(*) FILTER (WHERE NOT json_valid(v)) AS n_corrupt FROM m GROUP BY user_id"""
+
+ORACLE["defaults"] = w(EV, f"upto AS (SELECT * FROM ev WHERE timestamp_ms <= {P.COLD_AS_OF_MS})",
+                       hist_cte("upto", P.COLD_AS_OF_MS, 100), feats_cte("hist", P.COLD_AS_OF_MS),
+                       """j AS (
+  SELECT u.user_id, coalesce(h.category, 'unknown') AS last_category, f.avg_time_category IS NOT NULL AS has_history,
+    coalesce(f.avg_time_category, 0.0) AS avg_time_category, coalesce(f.click_count, 0.0) AS click_count,
+    coalesce(f.purchase_count, 0.0) AS purchase_count, coalesce(f.recency, 1440.0) AS recency
+  FROM (SELECT DISTINCT user_id FROM ev) u LEFT JOIN feats f USING (user_id)
+  LEFT JOIN (SELECT user_id, category FROM hist WHERE pos = 1) h USING (user_id))""") + f"""
+SELECT user_id, last_category, has_history, round(avg_time_category, 6) AS avg_time_category,
+  round(click_count, 6) AS click_count, round(purchase_count, 6) AS purchase_count, round(recency, 6) AS recency,
+  round(CASE WHEN has_history THEN {score_sql()} ELSE 0.5 END, 6) AS prediction FROM j"""
+
+ORACLE["assemble"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + """
+SELECT event_id, round(avg_time_category, 6) AS f0, round(click_count, 6) AS f1, round(purchase_count, 6) AS f2,
+  round(recency, 6) AS f3 FROM onl"""

@@ -673,3 +673,137 @@ def q_m_bands(spark, d):
                                     "value"))
     vals = vals.unionByName(last(cpu, "cpu_busy_pct")).unionByName(last(mem, "memory_used_pct"))
     return round_doubles(MT.bands(vals))
+
+
+# ---------------------------------------------------------------- remaining sources and sinks
+
+TOPICS = ["user_events", "ml_predictions_success", "validation_errors", "dlq_fatal_errors"]
+
+
+def topic_stream(spark, d) -> DataFrame:
+    """S2 input: four topics as one record stream (topic, event_id, value JSON)."""
+    lanes = LN.fanout_lanes(raw(spark, d), _out_of_range())
+    user_events = ev(spark, d).select(F.lit("user_events").alias("topic"), "event_id",
+                                      LN.event_json().alias("value"))
+    succ = lanes["success"].select(F.lit("ml_predictions_success").alias("topic"), "event_id",
+                                   F.to_json(F.struct("user_id", "product_id", "status")).alias("value"))
+    verr = lanes["validation_errors"].select(F.lit("validation_errors").alias("topic"), "event_id",
+                                             F.to_json(F.struct("user_id", "field", "validation_rule")).alias("value"))
+    dlq = lanes["dlq"].select(F.lit("dlq_fatal_errors").alias("topic"), "event_id",
+                              F.to_json(F.struct("user_id", "error_type")).alias("value"))
+    return user_events.unionByName(succ).unionByName(verr).unionByName(dlq)
+
+
+@query("src_multi_topic")
+def q_src_multi_topic(spark, d):
+    """One stream of four topics, dispatched on the topic name."""
+    s = topic_stream(spark, d)
+    return s.groupBy("topic").agg(F.count(F.lit(1)).alias("n_messages"),
+                                  F.count_distinct(F.get_json_object("value", "$.user_id")).alias("n_users"))
+
+
+@query("route_topic")
+def q_route_topic(spark, d):
+    """Keep the records of the prediction topics."""
+    s = topic_stream(spark, d)
+    return s.filter(F.col("topic").isin("ml_predictions", "optimized_predictions", "ml_predictions_success")) \
+            .select("topic", "event_id")
+
+
+@query("sink_json")
+def q_sink_json(spark, d):
+    """S3: user_recommendations rows serialized as JSON, then read back."""
+    out = to_json_value(FE.user_counts(ev(spark, d)))
+    back = out.select("value", F.from_json("value", "user_id string, event_count bigint").alias("r"))
+    return back.select("value", "r.user_id", "r.event_count")
+
+
+@query("hist_store")
+def q_hist_store(spark, d):
+    """The history store's content at the end (newest first, 100 kept, 24 h expiry)."""
+    h = FE.history_as_of(ev(spark, d), P.AS_OF_MS)
+    return h.select("user_id", F.col("pos").cast("bigint").alias("pos"), "event_id",
+                    LN.event_json(["event_type", "category", "timestamp_ms"]).alias("entry"))
+
+
+@query("parse_tolerant")
+def q_parse_tolerant(spark, d):
+    """Every 13th stored entry is truncated; malformed entries are skipped."""
+    msgs = ev(spark, d).select("user_id", "event_id", LN.event_json().alias("value"))
+    msgs = msgs.withColumn("value", F.when(F.col("event_id") % 13 == 0,
+                                           F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value")))
+    parsed = parse_events(msgs, "value", keep=["event_id"]).withColumnRenamed("user_id", "parsed_user")
+    j = msgs.select("event_id", "user_id").join(parsed, "event_id")
+    return j.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_messages"),
+                                    F.count_if(F.col("_corrupt_record").isNull()).alias("n_parsed"),
+                                    F.count_if(F.col("_corrupt_record").isNotNull()).alias("n_corrupt"))
+
+
+@query("defaults")
+def q_defaults(spark, d):
+    """Cold-start defaults as of the second day: unknown label, default
+    features, fallback score 0.5 for users without history."""
+    e = ev(spark, d)
+    upto = e.filter(F.col("timestamp_ms") <= P.COLD_AS_OF_MS)
+    hist = FE.history_as_of(upto, P.COLD_AS_OF_MS)
+    feats = FE.user_features(hist, P.COLD_AS_OF_MS)
+    last_cat = (hist.filter(F.col("pos") == 1).select("user_id", F.col("category").alias("last_category")))
+    users = e.select("user_id").distinct()
+    j = FE.with_defaults(users, feats).join(last_cat, "user_id", "left")
+    j = j.withColumn("last_category", F.coalesce("last_category", F.lit(X.UNKNOWN)))
+    j = j.withColumn("prediction", F.when(F.col("has_history"), X.score_linear(*FE.FEATURES))
+                     .otherwise(F.lit(X.FALLBACK_SCORE)))
+    return round_doubles(j.select("user_id", "last_category", "has_history", *FE.FEATURES, "prediction"))
+
+
+# ---------------------------------------------------------------- trained model
+
+_MODELS: dict = {}
+
+
+def training_rows(spark, d):
+    o = FE.features_online(ev(spark, d))
+    return SC.label_next_purchase(o, P.DAY_MS).withColumn("is_train", SC.split_flag("event_id"))
+
+
+def _model(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        _MODELS[key] = SC.train_forest(training_rows(spark, d).filter("is_train"))
+    return _MODELS[key]
+
+
+@query("split")
+def q_split(spark, d):
+    t = training_rows(spark, d)
+    return t.groupBy(F.when(F.col("is_train"), "train").otherwise("test").alias("split")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("assemble")
+def q_assemble(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    a = SC.assemble(FE.features_online(ev(spark, d), P.CHECK_LIMIT))
+    arr = vector_to_array("features")
+    return round_doubles(a.select("event_id", *[arr[i].alias(f"f{i}") for i in range(4)]))
+
+
+@query("train")
+def q_train(spark, d):
+    m = _model(spark, d)
+    return spark.createDataFrame([(m.getNumTrees, m.getOrDefault("maxDepth"), m.totalNumNodes)],
+                                 "num_trees int, max_depth int, total_nodes int")
+
+
+@query("score")
+def q_score(spark, d):
+    t = training_rows(spark, d).filter(~F.col("is_train"))
+    return round_doubles(SC.score_model(_model(spark, d), t).select("event_id", "user_id", "score", "target"))
+
+
+@query("accuracy")
+def q_accuracy(spark, d):
+    t = training_rows(spark, d).filter(~F.col("is_train"))
+    s = SC.score_model(_model(spark, d), t)
+    return round_doubles(s.agg(F.count(F.lit(1)).alias("n_test"),
+                               F.avg((F.col("prediction") == F.col("target")).cast("double")).alias("accuracy")))
