@@ -748,3 +748,12 @@ SELECT user_id, last_category, has_history, round(avg_time_category, 6) AS avg_t
 ORACLE["assemble"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + """
 SELECT event_id, round(avg_time_category, 6) AS f0, round(click_count, 6) AS f1, round(purchase_count, 6) AS f2,
   round(recency, 6) AS f3 FROM onl"""
+
+
+ORACLE["watermark"] = ORACLE["user_counts"]
+
+ORACLE["retry_state"] = w(EV, retry_cte("ev", "event_type = 'error'")) + """
+SELECT event_id, user_id, route, CAST(retry_count AS BIGINT) AS retry_count FROM rt"""
+
+ORACLE["retry_replay"] = w(EV, retry_cte("ev", "event_type = 'error'")) + """
+SELECT user_id, 'replay_success' AS route, count(*) AS n FROM rt WHERE route = 'retry' GROUP BY user_id"""

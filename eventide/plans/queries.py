@@ -807,3 +807,62 @@ def q_accuracy(spark, d):
     s = SC.score_model(_model(spark, d), t)
     return round_doubles(s.agg(F.count(F.lit(1)).alias("n_test"),
                                F.avg((F.col("prediction") == F.col("target")).cast("double")).alias("accuracy")))
+
+
+# ---------------------------------------------------------------- streaming forms (run to completion)
+
+import uuid  # noqa: E402
+
+from ..session import checkpoint_dir  # noqa: E402
+from ..streaming import jobs as ST  # noqa: E402
+
+
+def _stream_dir(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local one)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/eventide-stream/{name}-{uuid.uuid4().hex}"
+
+
+def _event_files(spark, d, base: str) -> str:
+    """The test events as newline-JSON messages (written by Spark), the stream's input."""
+    path = f"{base}/input"
+    e = ev(spark, d).withColumn("timestamp_ms", F.col("timestamp_ms").cast("string"))
+    e.drop("value").write.json(path)
+    return path
+
+
+@query("watermark")
+def q_watermark(spark, d):
+    """X1 + E1: running counts over the event stream with a 5-minute watermark;
+    the last emitted count per user equals the batch count."""
+    base = _stream_dir(spark, "watermark")
+    src = _event_files(spark, d, base)
+    counts = ST.running_counts(ST.with_event_time(ST.file_events(spark, src)))
+    ST.run_available(counts, None, f"{base}/ck", mode="update",
+                     foreach=ST.idempotent_writer(f"{base}/out", lane_col=None))
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy("user_id").agg(F.max("event_count").alias("event_count"))
+
+
+def _retry_run(spark, d):
+    base = _stream_dir(spark, "retry")
+    src = _event_files(spark, d, base)
+    s = ST.with_event_time(ST.file_events(spark, src))
+    s = s.withColumn("timestamp_ms", F.col("timestamp_ms").cast("bigint")).withColumn(
+        "failed", F.col("event_type") == "error")
+    ST.run_available(ST.retry_stream(s), f"{base}/out", f"{base}/ck")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("retry_state")
+def q_retry_state(spark, d):
+    """The retry counter as keyed state (transformWithState), new events only."""
+    r = _retry_run(spark, d).filter(F.col("attempt") == 0)
+    return r.select("event_id", "user_id", "route", F.col("retry_count").cast("bigint").alias("retry_count"))
+
+
+@query("retry_replay")
+def q_retry_replay(spark, d):
+    """Retried events re-run when their back-off timer fires (transient
+    failures: the replay succeeds); replays per user."""
+    r = _retry_run(spark, d).filter(F.col("route").startswith("replay"))
+    return r.groupBy("user_id", "route").agg(F.count(F.lit(1)).alias("n"))
