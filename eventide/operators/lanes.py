@@ -30,27 +30,47 @@ def error_trunc(text: Column) -> Column:
 
 
 def retry_route(events: DataFrame, failed: Column, key: str = "user_id",
-                max_retries: int = MAX_RETRIES) -> DataFrame:
+                max_retries: int = MAX_RETRIES, ranges: int | None = None) -> DataFrame:
     """W6 + W7 in batch form: ``retry_count``, ``route`` and back-off per attempt.
 
-    k = position inside the current run of consecutive failures (row number minus
-    the row number of the user's last success); retry_count = ((k-1) % (max+1)) + 1.
+    k = position inside the current run of consecutive failures = row number
+    minus the row number of the user's last success before it;
+    retry_count = ((k-1) % (max+1)) + 1.
+
+    Skew-safe: rows are cut into global event-time ranges (see
+    ``features.running_count``); a small (key, range) table carries each
+    range's row offset and the last success position before it, so the
+    per-row window only spans one (key, range) piece.
     """
-    w = Window.partitionBy(key).orderBy("timestamp_ms", "event_id")
-    rn = F.row_number().over(w)
-    df = events.withColumn("failed", failed).withColumn("_rn", rn)
-    last_ok = F.max(F.when(~F.col("failed"), F.col("_rn"))).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    k = F.col("_rn") - F.coalesce(last_ok, F.lit(0))
+    from .windows import order_bucket
+    df = events.withColumn("failed", failed)
+    b = df.withColumn("_rng", order_bucket(df, "timestamp_ms", ranges))
+    w = Window.partitionBy(key, "_rng").orderBy("timestamp_ms", "event_id")
+    local = (b.withColumn("_lrn", F.row_number().over(w))
+              .withColumn("_lok", F.max(F.when(~F.col("failed"), F.col("_lrn"))).over(
+                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    per = b.groupBy(key, "_rng").agg(F.count(F.lit(1)).alias("_n"),
+                                     F.max(F.when(~F.col("failed"), F.lit(1))).alias("_has_ok"))
+    prior = Window.partitionBy(key).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0)))
+    # the last success of a range sits at its offset + local position; only ranges with a success count
+    last_in = F.when(F.col("_has_ok") == 1, F.col("_off") + F.col("_last_local"))
+    lok_local = (local.groupBy(key, "_rng").agg(F.max("_lok").alias("_last_local")))
+    per = per.join(lok_local, [key, "_rng"])
+    per = per.withColumn("_ok_before", F.max(last_in).over(prior)).select(key, "_rng", "_off", "_ok_before")
+    j = local.join(per, [key, "_rng"])
+    rn = F.col("_off") + F.col("_lrn")
+    last_ok = F.greatest(F.col("_ok_before"), F.col("_off") + F.col("_lok"))
+    k = rn - F.coalesce(last_ok, F.lit(0))
     cnt = F.when(F.col("failed"), ((k - 1) % (max_retries + 1)) + 1)
-    df = df.withColumn("retry_count", cnt.cast("int")).drop("_rn")
+    out = j.withColumn("retry_count", cnt.cast("int")).drop("_rng", "_lrn", "_lok", "_off", "_ok_before")
     route = (F.when(~F.col("failed"), F.lit("success"))
              .when(F.col("retry_count") <= max_retries, F.lit("retry"))
              .otherwise(F.lit("dlq")))
     delay = F.when(route == "retry",
                    (F.lit(BASE_DELAY_MS) * F.pow(F.lit(2), F.col("retry_count") - 1)).cast("bigint"))
-    return (df.withColumn("route", route).withColumn("delay_ms", delay)
-              .withColumn("retry_at_ms", F.col("timestamp_ms") + F.col("delay_ms")))
+    return (out.withColumn("route", route).withColumn("delay_ms", delay)
+               .withColumn("retry_at_ms", F.col("timestamp_ms") + F.col("delay_ms")))
 
 
 def classify(raw: DataFrame, failed: Column, key: str = "user_id") -> DataFrame:
