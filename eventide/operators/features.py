@@ -115,28 +115,41 @@ def category_counts(events: DataFrame, key: str = "user_id") -> DataFrame:
 
 def ttl_sessions(events: DataFrame, ttl_ms: int = HISTORY_TTL_MS, key: str = "user_id") -> DataFrame:
     """Online form of W2: ``hist_session`` numbers each run of a user's events
-    whose neighbours are less than ``ttl_ms`` apart; ``gap_minutes`` to the previous event."""
-    w = Window.partitionBy(key).orderBy("timestamp_ms", "event_id")
-    prev = F.lag("timestamp_ms").over(w)
-    starts = (prev.isNull() | (F.col("timestamp_ms") - prev >= ttl_ms)).cast("int")
-    return (events.withColumn("gap_minutes", ((F.col("timestamp_ms") - prev) / MS_PER_MIN).cast("double"))
-                  .withColumn("_s", starts)
-                  .withColumn("hist_session", F.sum("_s").over(
-                      w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                  .drop("_s"))
+    whose neighbours are less than ``ttl_ms`` apart; ``gap_minutes`` to the
+    previous event; ``pos`` = position of the event in its user (1-based).
+    Built by :func:`windows.keyed_order` (no whole-user window)."""
+    from .windows import keyed_order
+    s = keyed_order(events, key, "timestamp_ms", ttl_ms, inclusive=True)
+    return (s.withColumn("gap_minutes", ((F.col("timestamp_ms") - F.col("_prev_ts")) / MS_PER_MIN).cast("double"))
+             .withColumnRenamed("_sess", "hist_session").withColumnRenamed("_pos", "pos").drop("_prev_ts"))
+
+
+FRAME_BLOCK = 1 << 16
 
 
 def features_online(events: DataFrame, limit: int = HISTORY_LIMIT, ttl_ms: int = HISTORY_TTL_MS,
-                    key: str = "user_id") -> DataFrame:
+                    key: str = "user_id", block: int = FRAME_BLOCK) -> DataFrame:
     """The features every event sees: its user's last ``limit`` events
-    of the current history, the event itself included (store, then read)."""
-    s = ttl_sessions(events, ttl_ms, key)
-    w = (Window.partitionBy(key, "hist_session").orderBy("timestamp_ms", "event_id")
+    of the current history, the event itself included (store, then read).
+
+    Skew-safe frame: events are grouped in blocks of ``block`` consecutive
+    events of a user; each block also receives the previous block's last
+    ``limit - 1`` events as context rows, so the ``limit``-row frame is exact
+    while no window partition holds more than ``block + limit - 1`` rows.
+    Context rows exist only for users with more than one block of events.
+    """
+    block = max(block, limit)
+    s = ttl_sessions(events, ttl_ms, key).withColumn("_blk", F.floor((F.col("pos") - 1) / block))
+    ctx = (s.filter(F.pmod(F.col("pos") - 1, F.lit(block)) >= block - (limit - 1))
+            .withColumn("_blk", F.col("_blk") + 1).withColumn("_ctx", F.lit(True)))
+    both = s.withColumn("_ctx", F.lit(False)).unionByName(ctx)
+    w = (Window.partitionBy(key, "_blk", "hist_session").orderBy("timestamp_ms", "event_id")
          .rowsBetween(-(limit - 1), Window.currentRow))
     n = F.count(F.lit(1)).over(w)
     n_cat = F.size(F.collect_set(F.coalesce(F.col("category"), F.lit(NULL_CATEGORY))).over(w))
-    return (s.withColumn("avg_time_category", (n / n_cat).cast("double"))
-             .withColumn("click_count", F.sum(is_click().cast("int")).over(w).cast("double"))
-             .withColumn("purchase_count", F.sum(is_purchase().cast("int")).over(w).cast("double"))
-             .withColumn("recency", ((F.col("timestamp_ms") - F.max("timestamp_ms").over(w))
-                                     / MS_PER_MIN).cast("double")))
+    out = (both.withColumn("avg_time_category", (n / n_cat).cast("double"))
+               .withColumn("click_count", F.sum(is_click().cast("int")).over(w).cast("double"))
+               .withColumn("purchase_count", F.sum(is_purchase().cast("int")).over(w).cast("double"))
+               .withColumn("recency", ((F.col("timestamp_ms") - F.max("timestamp_ms").over(w))
+                                       / MS_PER_MIN).cast("double")))
+    return out.filter(~F.col("_ctx")).drop("_ctx", "_blk")

@@ -26,8 +26,9 @@ def cold_start(events: DataFrame, as_of_ms: int, k: int = TOP_K, key: str = "use
     before = events.filter(F.col("timestamp_ms") < as_of_ms)
     after = events.filter(F.col("timestamp_ms") >= as_of_ms)
     cold = after.join(before.select(key).distinct(), key, "left_anti")
-    w = Window.partitionBy(key).orderBy("timestamp_ms", "event_id")
-    first = cold.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).select(key, "category")
+    # first later event per user: an aggregate (map-side partial), not a window
+    first = cold.groupBy(key).agg(
+        F.min_by("category", F.struct("timestamp_ms", "event_id")).alias("category"))
     top = top_items(before, k)
     return first.join(top, "category").select(key, "category", "rank", "product_id", "n")
 

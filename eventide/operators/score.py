@@ -104,9 +104,8 @@ def cache_misses(events: DataFrame, ttl_ms: int = CACHE_TTL_MS, key: str = "user
         if nxt.isEmpty():
             break
         levels.append(nxt)
-    first = Window.partitionBy(key).orderBy("timestamp_ms", "event_id")
-    marked = (events.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1)
-              .select("event_id"))
+    marked = (events.groupBy(key).agg(F.min_by("event_id", F.struct("timestamp_ms", "event_id"))
+                                      .alias("event_id")).select("event_id"))
     for lv in reversed(levels):
         step = marked.join(lv, "event_id").select(F.col("nxt").alias("event_id"))
         marked = marked.unionByName(step).checkpoint()

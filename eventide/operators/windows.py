@@ -69,6 +69,56 @@ def prior_max(df: DataFrame, order: list[str], value: str, n: int | None = None,
                   .drop("_b", "_in", "_carry"))
 
 
+def keyed_order(df: DataFrame, key: str = "user_id", ts: str = "timestamp_ms", gap_ms: int | None = None,
+                inclusive: bool = False, ranges: int | None = None) -> DataFrame:
+    """Per-key position and gap sessions without a per-key window.
+
+    Adds ``_pos`` (1-based position of the row in its key, by ts then
+    event_id), ``_prev_ts`` (the key's previous event time) and, with
+    ``gap_ms``, ``_sess`` (1-based session number; a session breaks when the gap
+    to the previous row is > gap_ms, or >= with ``inclusive``).
+
+    Rows are cut into global ts ranges (quantile bounds, so a key holding a
+    third of all rows is split into about ``ranges`` pieces). One window over
+    (key, range) gives local positions and breaks; a small (key, range) table
+    gives each range its row offset, the previous range's last ts and the
+    breaks before it.
+    """
+    b = df.withColumn("_rng", order_bucket(df, ts, ranges))
+    w = Window.partitionBy(key, "_rng").orderBy(ts, "event_id")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev = F.lag(ts).over(w)
+
+    def brk(gap: Column) -> Column:
+        return (gap >= gap_ms) if inclusive else (gap > gap_ms)
+
+    local = b.withColumn("_lpos", F.row_number().over(w)).withColumn("_lprev", prev)
+    if gap_ms is not None:
+        local = local.withColumn("_lb", F.when(F.col("_lprev").isNotNull() & brk(F.col(ts) - F.col("_lprev")), 1)
+                                 .otherwise(0))
+        local = local.withColumn("_lcum", F.sum("_lb").over(run))
+    aggs = [F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last")]
+    if gap_ms is not None:
+        aggs.append(F.max("_lcum").alias("_inner"))
+    per = local.groupBy(key, "_rng").agg(*aggs)
+    ordr = Window.partitionBy(key).orderBy("_rng")
+    before = ordr.rowsBetween(Window.unboundedPreceding, -1)
+    per = (per.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .withColumn("_prev_last", F.lag("_last").over(ordr)))
+    keep = [key, "_rng", "_off", "_prev_last"]
+    if gap_ms is not None:
+        fb = F.when(F.col("_prev_last").isNull() | brk(F.col("_first") - F.col("_prev_last")), 1).otherwise(0)
+        per = per.withColumn("_fb", fb).withColumn(
+            "_boff", F.coalesce(F.sum(F.col("_fb") + F.col("_inner")).over(before), F.lit(0)))
+        keep += ["_fb", "_boff"]
+    j = local.join(per.select(*keep), [key, "_rng"])
+    j = (j.withColumn("_pos", F.col("_off") + F.col("_lpos"))
+          .withColumn("_prev_ts", F.coalesce(F.col("_lprev"), F.col("_prev_last"))))
+    if gap_ms is not None:
+        j = j.withColumn("_sess", F.col("_boff") + F.col("_fb") + F.col("_lcum"))
+    return j.drop("_rng", "_lpos", "_lprev", "_lb", "_lcum", "_off", "_prev_last", "_fb", "_boff")
+
+
 def count_windows(df: DataFrame, order: list[str], size: int = 100) -> DataFrame:
     """Consecutive chunks of ``size`` rows in ``order`` (``chunk`` = gidx // size)."""
     return global_index(df, order).withColumn("chunk", F.floor(F.col("gidx") / size).cast("bigint"))
@@ -111,12 +161,10 @@ def session_events(df: DataFrame, size_ms: int = MINUTE_MS, key: str = "user_id"
 def sessions(df: DataFrame, gap_ms: int, key: str = "user_id", ts: str = "timestamp_ms") -> DataFrame:
     """Gap sessions per key. Events exactly ``gap_ms`` apart stay in one
     session; a session ends ``gap_ms`` after its last event (the semantics of
-    ``session_window``, expressed on the batch table)."""
-    w = Window.partitionBy(key).orderBy(ts, "event_id")
-    prev = F.lag(ts).over(w)
-    brk = F.when(prev.isNull() | (F.col(ts) - prev > gap_ms), 1).otherwise(0)
-    s = df.withColumn("_b", brk).withColumn(
-        "session_no", F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ``session_window``, expressed on the batch table). Session numbers come
+    from :func:`keyed_order`, and the per-session aggregate combines map-side,
+    so a hot key is never one task."""
+    s = keyed_order(df, key, ts, gap_ms, inclusive=False).withColumnRenamed("_sess", "session_no")
     return (s.groupBy(key, "session_no")
             .agg(F.min(ts).alias("session_start_ms"), (F.max(ts) + gap_ms).alias("session_end_ms"),
                  F.count(F.lit(1)).alias("n_events")))
@@ -131,10 +179,15 @@ def sessions_streaming(df: DataFrame, gap: str, key: str = "user_id") -> DataFra
 
 
 def dedup(df: DataFrame, id_col: str = "event_id", order: str = "arrival_ms") -> DataFrame:
-    """Keep the first delivery of each id. The shuffle is by id, so a hot
-    user does not concentrate work; first = earliest arrival."""
-    w = Window.partitionBy(id_col).orderBy(order)
-    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    """Keep the first delivery of each id (earliest ``order``, then the
+    smallest remaining columns, so the choice is deterministic).
+
+    An aggregate, not a window: ``min(struct(order, ...))`` combines map-side,
+    so even an id delivered millions of times ships one row per map partition.
+    """
+    rest = [c for c in df.columns if c not in (id_col, order)]
+    first = F.min(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_first")
+    return df.groupBy(id_col).agg(first).select(id_col, "_first.*").select(*df.columns)
 
 
 def redeliveries(df: DataFrame, every: int = 7, delay_ms: int = 90_000) -> DataFrame:

@@ -174,6 +174,76 @@ def retry_stream(events: DataFrame, max_retries: int = 3, time_mode: str = "Even
     return cols.groupBy("user_id").transformWithState(proc, RETRY_OUT, "Append", time_mode)
 
 
+FEATURE_OUT = T.StructType([
+    T.StructField("user_id", T.StringType()), T.StructField("event_id", T.LongType()),
+    T.StructField("product_id", T.StringType()), T.StructField("timestamp_ms", T.LongType()),
+    T.StructField("gap_minutes", T.DoubleType()), T.StructField("avg_time_category", T.DoubleType()),
+    T.StructField("click_count", T.DoubleType()), T.StructField("purchase_count", T.DoubleType()),
+    T.StructField("recency", T.DoubleType()),
+])
+
+
+class FeatureProcessor(StatefulProcessor):
+    """W3 / J2 online: per user, the newest ``limit`` events of the current
+    history in list state (an idle gap >= ``ttl_ms`` clears it); every event is
+    stored, then the four features are read over the stored list."""
+
+    def __init__(self, limit: int = 100, ttl_ms: int = 24 * 3600 * 1000):
+        self.limit = limit
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getListState("recent", "ts long, category string, event_type string")
+        self.last = handle.getValueState("last_ts", "ts long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        uid = key[0]
+        hist = list(self.recent.get()) if self.recent.exists() else []
+        last = self.last.get()[0] if self.last.exists() else None
+        for r in sorted(rows, key=lambda x: (x.timestamp_ms, x.event_id)):
+            gap = None if last is None else r.timestamp_ms - last
+            if gap is not None and gap >= self.ttl_ms:
+                hist = []
+            hist.append((r.timestamp_ms, r.category, r.event_type))
+            hist = hist[-self.limit:]
+            last = r.timestamp_ms
+            n = len(hist)
+            cats = {("\u0000null" if c is None else c) for _, c, _ in hist}
+            clicks = sum(1 for _, _, t in hist if t in ("click", "view"))
+            buys = sum(1 for _, _, t in hist if t == "purchase")
+            newest = max(t for t, _, _ in hist)
+            yield Row(user_id=uid, event_id=r.event_id, product_id=r.product_id, timestamp_ms=r.timestamp_ms,
+                      gap_minutes=None if gap is None else gap / 60000.0,
+                      avg_time_category=n / len(cats), click_count=float(clicks),
+                      purchase_count=float(buys), recency=(r.timestamp_ms - newest) / 60000.0)
+        self.recent.clear()
+        if hist:
+            self.recent.put(hist)
+        if last is not None:
+            self.last.update((last,))
+
+    def close(self) -> None:
+        pass
+
+
+def features_stream(events: DataFrame, limit: int = 100, ttl_ms: int = 24 * 3600 * 1000) -> DataFrame:
+    """Online features of validated events (user_id, event_id, product_id,
+    category, event_type, timestamp_ms as BIGINT)."""
+    use_rocksdb(events.sparkSession)
+    cols = events.select("user_id", "event_id", "product_id", "category", "event_type", "timestamp_ms")
+    return cols.groupBy("user_id").transformWithState(FeatureProcessor(limit, ttl_ms), FEATURE_OUT,
+                                                      "Append", "None")
+
+
+def score_stream(raw: DataFrame, limit: int = 100) -> DataFrame:
+    """E2 online: validate -> online features -> score (ml_predictions rows)."""
+    from ..functions.expr import score_linear
+    ok = V.valid_only(V.with_errors(raw))
+    f = features_stream(ok, limit)
+    return f.withColumn("prediction", score_linear("avg_time_category", "click_count", "purchase_count",
+                                                   "recency"))
+
+
 def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
                   fmt: str = "parquet", foreach=None):
     """Run a streaming DataFrame over everything available now and stop (X7:

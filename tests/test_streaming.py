@@ -95,3 +95,19 @@ def test_dedup_within_watermark(spark, scratch):
     assert got.count() == len(pdf)
     assert got.select("event_id").distinct().count() == len(pdf)
     _ = FE
+
+
+def test_feature_stream_equals_batch(spark, scratch):
+    src = os.path.join(scratch, "in")
+    _write_files(spark, src, n_files=3)
+    scored = S.score_stream(S.file_events(spark, src, max_files=1), limit=20)
+    out = os.path.join(scratch, "out")
+    S.run_available(scored, out, os.path.join(scratch, "ck"))
+    got = spark.read.parquet(out)
+    from eventide.functions import validation as V
+    raw = events_from_tables(spark, SF_SMALL).withColumn("timestamp_ms", F.col("timestamp_ms").cast("string"))
+    want = FE.features_online(V.valid_only(V.with_errors(raw)), 20)
+    cols = ["event_id"] + FE.FEATURES
+    a = sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in got.select(*cols).collect())
+    b = sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in want.select(*cols).collect())
+    assert a == b
