@@ -83,17 +83,17 @@ def score_users(feats: DataFrame) -> DataFrame:
     return feats.withColumn("prediction", score_linear(*FEATURES))
 
 
-def running_count(events: DataFrame, key: str = "user_id", ranges: int | None = None) -> DataFrame:
+def running_count(events: DataFrame, key: str = "user_id", range_ms: int = 60_000) -> DataFrame:
     """A1: every event emits its key's updated count (event-time order, event_id tie-break).
 
-    Skew-safe form: rows are cut into global event-time ranges (quantiles of
-    all rows, so a key holding a third of the data is cut into about as many
-    pieces as there are ranges). Counts per (key, range) give each piece its
-    offset, a small table; the running number is then a window partitioned by
-    (key, range) plus that offset, so no single task holds a whole hot key.
+    Skew-safe form: rows are cut into fixed event-time ranges of ``range_ms``
+    (a key holding a third of the data is cut into one piece per range).
+    Counts per (key, range) give each piece its offset; the running number is
+    then a window partitioned by (key, range) plus that offset, so no single
+    task holds a whole hot key.
     """
-    from .windows import order_bucket  # local import: windows imports nothing from here
-    b = events.withColumn("_rng", order_bucket(events, "timestamp_ms", ranges))
+    from .windows import time_bucket  # local import: windows imports nothing from here
+    b = events.withColumn("_rng", time_bucket("timestamp_ms", range_ms))
     sizes = b.groupBy(key, "_rng").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select(key, "_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -30,21 +30,21 @@ def error_trunc(text: Column) -> Column:
 
 
 def retry_route(events: DataFrame, failed: Column, key: str = "user_id",
-                max_retries: int = MAX_RETRIES, ranges: int | None = None) -> DataFrame:
+                max_retries: int = MAX_RETRIES, range_ms: int = 60_000) -> DataFrame:
     """W6 + W7 in batch form: ``retry_count``, ``route`` and back-off per attempt.
 
     k = position inside the current run of consecutive failures = row number
     minus the row number of the user's last success before it;
     retry_count = ((k-1) % (max+1)) + 1.
 
-    Skew-safe: rows are cut into global event-time ranges (see
-    ``features.running_count``); a small (key, range) table carries each
-    range's row offset and the last success position before it, so the
-    per-row window only spans one (key, range) piece.
+    Skew-safe: rows are cut into fixed event-time ranges (see
+    ``features.running_count``); a (key, range) table carries each range's row
+    offset and the last success position before it, so the per-row window
+    only spans one (key, range) piece.
     """
-    from .windows import order_bucket
+    from .windows import time_bucket
     df = events.withColumn("failed", failed)
-    b = df.withColumn("_rng", order_bucket(df, "timestamp_ms", ranges))
+    b = df.withColumn("_rng", time_bucket("timestamp_ms", range_ms))
     w = Window.partitionBy(key, "_rng").orderBy("timestamp_ms", "event_id")
     local = (b.withColumn("_lrn", F.row_number().over(w))
               .withColumn("_lok", F.max(F.when(~F.col("failed"), F.col("_lrn"))).over(

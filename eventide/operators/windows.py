@@ -38,6 +38,16 @@ def order_bucket(df: DataFrame, col: str, n: int | None = None, rel_err: float =
     return F.size(F.filter(arr, lambda b: b <= F.col(col).cast("double")))
 
 
+KEYED_RANGE_MS = 60_000
+
+
+def time_bucket(col: str, width_ms: int = KEYED_RANGE_MS) -> Column:
+    """Fixed-width event-time bucket: a pure column expression (no job, no extra
+    pass). Used to cut a key's rows into ordered pieces: a key holding a third
+    of all rows is split into one piece per ``width_ms`` of event time."""
+    return F.floor(F.col(col) / width_ms).cast("long")
+
+
 def global_index(df: DataFrame, order: list[str], n: int | None = None, out: str = "gidx") -> DataFrame:
     """0-based position of every row in ``order`` (W9's global row number).
 
@@ -70,7 +80,7 @@ def prior_max(df: DataFrame, order: list[str], value: str, n: int | None = None,
 
 
 def keyed_order(df: DataFrame, key: str = "user_id", ts: str = "timestamp_ms", gap_ms: int | None = None,
-                inclusive: bool = False, ranges: int | None = None) -> DataFrame:
+                inclusive: bool = False, range_ms: int = KEYED_RANGE_MS) -> DataFrame:
     """Per-key position and gap sessions without a per-key window.
 
     Adds ``_pos`` (1-based position of the row in its key, by ts then
@@ -78,13 +88,13 @@ def keyed_order(df: DataFrame, key: str = "user_id", ts: str = "timestamp_ms", g
     ``gap_ms``, ``_sess`` (1-based session number; a session breaks when the gap
     to the previous row is > gap_ms, or >= with ``inclusive``).
 
-    Rows are cut into global ts ranges (quantile bounds, so a key holding a
-    third of all rows is split into about ``ranges`` pieces). One window over
-    (key, range) gives local positions and breaks; a small (key, range) table
-    gives each range its row offset, the previous range's last ts and the
-    breaks before it.
+    Rows are cut into fixed event-time ranges of ``range_ms`` (see
+    :func:`time_bucket`), so a key holding a third of all rows is split into
+    one piece per range. One window over (key, range) gives local positions
+    and breaks; a (key, range) table gives each range its row offset, the
+    previous range's last ts and the breaks before it.
     """
-    b = df.withColumn("_rng", order_bucket(df, ts, ranges))
+    b = df.withColumn("_rng", time_bucket(ts, range_ms))
     w = Window.partitionBy(key, "_rng").orderBy(ts, "event_id")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev = F.lag(ts).over(w)

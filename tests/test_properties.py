@@ -25,14 +25,14 @@ def test_blocked_frame_equals_single_block(spark):
 def test_keyed_order_independent_of_ranges(spark):
     ev = events_from_tables(spark, SF_SMALL)
     cols = ["event_id", "_pos", "_prev_ts", "_sess"]
-    one = WN.keyed_order(ev, gap_ms=6 * 3600 * 1000, ranges=1)
-    many = WN.keyed_order(ev, gap_ms=6 * 3600 * 1000, ranges=37)
+    one = WN.keyed_order(ev, gap_ms=6 * 3600 * 1000, range_ms=10**13)
+    many = WN.keyed_order(ev, gap_ms=6 * 3600 * 1000, range_ms=3_600_000)
     assert _rows(one, cols) == _rows(many, cols)
 
 
 def test_running_count_last_equals_user_counts(spark):
     ev = events_from_tables(spark, SF_SMALL)
-    last = FE.running_count(ev, ranges=13).groupBy("user_id").agg(F.max("event_count").alias("event_count"))
+    last = FE.running_count(ev, range_ms=3_600_000).groupBy("user_id").agg(F.max("event_count").alias("event_count"))
     assert _rows(last, ["user_id", "event_count"]) == _rows(FE.user_counts(ev), ["user_id", "event_count"])
 
 
@@ -40,7 +40,7 @@ def test_retry_route_independent_of_ranges(spark):
     ev = events_from_tables(spark, SF_SMALL)
     f = F.col("event_type") == "error"
     cols = ["event_id", "retry_count", "route"]
-    assert _rows(LN.retry_route(ev, f, ranges=1), cols) == _rows(LN.retry_route(ev, f, ranges=29), cols)
+    assert _rows(LN.retry_route(ev, f, range_ms=10**13), cols) == _rows(LN.retry_route(ev, f, range_ms=600_000), cols)
 
 
 def test_lanes_partition_the_input(spark):
