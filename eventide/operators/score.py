@@ -66,21 +66,38 @@ def batched_scores(df: DataFrame, batch_size: int = 32) -> DataFrame:
 
 # ---------------------------------------------------------------- W4 / W5: prediction cache
 
-def next_expiry(events: DataFrame, ttl_ms: int, key: str = "user_id") -> DataFrame:
+def next_expiry(events: DataFrame, ttl_ms: int, key: str = "user_id", range_ms: int = 60_000) -> DataFrame:
     """For each event the first later event of its key at least ``ttl_ms`` later
-    (the event that would miss if this one filled the cache): column ``nxt``."""
+    (the event that would miss if this one filled the cache): column ``nxt``.
+
+    A probe at ts + ttl looks for the first real event at or after it. Probes
+    and events are cut into fixed time pieces per key: the answer is found
+    inside the probe's own piece (a window over one (key, piece)), or else it
+    is the first event of the key's next non-empty piece, read from a
+    (key, piece) table. No window spans a whole key.
+    """
+    from .windows import time_bucket
     probes = events.select(key, (F.col("timestamp_ms") + ttl_ms).alias("timestamp_ms"),
                            F.col("event_id").alias("src"), F.lit(0).alias("_real"))
     reals = events.select(key, "timestamp_ms", F.lit(None).cast("bigint").alias("src"),
                           F.lit(1).alias("_real"), F.col("event_id").alias("_eid"))
-    both = reals.unionByName(probes, allowMissingColumns=True)
-    # newest first; real events sort before a probe of the same time (>= picks
-    # them) and, among equal times, the lowest event id comes last
-    w = (Window.partitionBy(key).orderBy(F.col("timestamp_ms").desc(), F.col("_real").desc(),
-                                         F.col("_eid").desc())
+    both = reals.unionByName(probes, allowMissingColumns=True).withColumn(
+        "_rng", time_bucket("timestamp_ms", range_ms))
+    # newest first inside a piece; real events sort before a probe of the same
+    # time (>= picks them) and, among equal times, the lowest event id comes last
+    w = (Window.partitionBy(key, "_rng").orderBy(F.col("timestamp_ms").desc(), F.col("_real").desc(),
+                                                 F.col("_eid").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = both.withColumn("nxt", F.last(F.when(F.col("_real") == 1, F.col("_eid")), ignorenulls=True).over(w))
-    return found.filter(F.col("_real") == 0).select(F.col("src").alias("event_id"), "nxt")
+    found = both.withColumn("_in", F.last(F.when(F.col("_real") == 1, F.col("_eid")), ignorenulls=True).over(w))
+    # first event of each piece, and for every piece seen (by events or probes)
+    # the first event of the nearest later piece that has events
+    firsts = (both.groupBy(key, "_rng").agg(
+        F.min_by(F.when(F.col("_real") == 1, F.col("_eid")),
+                 F.when(F.col("_real") == 1, F.struct("timestamp_ms", "_eid"))).alias("_first")))
+    later = Window.partitionBy(key).orderBy(F.col("_rng").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    nxt_piece = firsts.withColumn("_next", F.last("_first", ignorenulls=True).over(later)).select(key, "_rng", "_next")
+    return (found.filter(F.col("_real") == 0).join(nxt_piece, [key, "_rng"])
+            .select(F.col("src").alias("event_id"), F.coalesce("_in", "_next").alias("nxt")))
 
 
 def cache_misses(events: DataFrame, ttl_ms: int = CACHE_TTL_MS, key: str = "user_id") -> DataFrame:

@@ -51,3 +51,12 @@ def test_lanes_partition_the_input(spark):
     all_ids = {r.event_id for r in raw.select("event_id").collect()}
     assert routed.isdisjoint(invalid)
     assert routed | invalid == all_ids
+
+
+def test_next_expiry_independent_of_pieces(spark):
+    from eventide.operators import score as SC
+    ev = events_from_tables(spark, SF_SMALL)
+    ttl = 12 * 3600 * 1000
+    a = SC.next_expiry(ev, ttl, range_ms=10**13)       # one piece per user
+    b = SC.next_expiry(ev, ttl, range_ms=3_600_000)    # hourly pieces
+    assert _rows(a, ["event_id", "nxt"]) == _rows(b, ["event_id", "nxt"])

@@ -111,3 +111,33 @@ def test_feature_stream_equals_batch(spark, scratch):
     a = sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in got.select(*cols).collect())
     b = sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in want.select(*cols).collect())
     assert a == b
+
+
+def test_state_ttl_expires_idle_counter(spark, scratch):
+    """With a state TTL the retry counter of an idle user expires, so the
+    next failure counts 1 again (processing-time mode, stopped by hand)."""
+    import time as _t
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    rows = lambda eid: pd.DataFrame([{"user_id": "u1", "product_id": "p", "category": "c",
+                                      "event_type": "error", "timestamp_ms": str(1700000000000 + eid),
+                                      "event_id": eid}])
+    stream = S.file_events(spark, src).withColumn("timestamp_ms", F.col("timestamp_ms").cast("bigint")) \
+              .withColumn("failed", F.col("event_type") == "error")
+    routed = S.retry_stream(stream, time_mode="ProcessingTime", ttl_ms=2000)
+    q = (routed.writeStream.format("memory").queryName("ttl_test").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).start())
+    try:
+        rows(1).to_json(os.path.join(src, "a.json"), orient="records", lines=True)
+        q.processAllAvailable()
+        rows(2).to_json(os.path.join(src, "b.json"), orient="records", lines=True)
+        q.processAllAvailable()
+        _t.sleep(4)                       # idle longer than the TTL
+        rows(3).to_json(os.path.join(src, "c.json"), orient="records", lines=True)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.event_id: r.retry_count for r in spark.sql("SELECT * FROM ttl_test WHERE attempt = 0").collect()}
+    assert got[1] == 1 and got[2] == 2    # consecutive failures count up
+    assert got[3] == 1                    # the counter expired while idle
