@@ -33,14 +33,13 @@ def last_n(events: DataFrame, limit: int = HISTORY_LIMIT, key: str = "user_id")
                   .filter(F.col("pos") <= limit))
 
 
-def history_as_of(events: DataFrame, as_of_ms: int, limit: int = HISTORY_LIMIT,
-                  ttl_ms: int = HISTORY_TTL_MS, key: str = "user_id") -> DataFrame:
-    """W1 + W2: the stored history of each user at ``as_of_ms``.
-
-    Keeps events up to ``as_of``, the newest ``limit`` per user, then only the
-    current run (a gap >= ttl between neighbours ends it), and nothing when the
-    newest event is ``ttl`` or more before ``as_of``.
-    """
+def mark_history(events: DataFrame, as_of_ms: int, limit: int = HISTORY_LIMIT,
+                 ttl_ms: int = HISTORY_TTL_MS, key: str = "user_id") -> DataFrame:
+    """The newest ``limit`` events per user up to ``as_of``, each flagged
+    ``in_hist``: part of the stored history at ``as_of`` (the current run, a gap
+    >= ttl between neighbours ends it; nothing when the newest event is ``ttl``
+    or more before ``as_of``). Every user keeps at least its newest row, so a
+    user whose history expired is still present (flag false)."""
     recent = last_n(events.filter(F.col("timestamp_ms") <= as_of_ms), limit, key)
     w = _newest_first(key)
     older = F.lead("timestamp_ms").over(w)
@@ -50,10 +49,44 @@ def history_as_of(events: DataFrame, as_of_ms: int, limit: int = HISTORY_LIMIT,
     first_start = F.min(F.when(F.col("_starts"), F.col("pos"))).over(Window.partitionBy(key))
     newest = F.max("timestamp_ms").over(Window.partitionBy(key))
     return (flagged.withColumn("_cut", first_start).withColumn("_newest", newest)
-            .filter((F.col("pos") <= F.col("_cut")) & (F.lit(as_of_ms) - F.col("_newest") < ttl_ms))
+            .withColumn("in_hist", (F.col("pos") <= F.col("_cut")) & (F.lit(as_of_ms) - F.col("_newest") < ttl_ms))
             .drop("_starts", "_cut", "_newest"))
 
 
+def history_as_of(events: DataFrame, as_of_ms: int, limit: int = HISTORY_LIMIT,
+                  ttl_ms: int = HISTORY_TTL_MS, key: str = "user_id") -> DataFrame:
+    """W1 + W2: the stored history of each user at ``as_of_ms``."""
+    return mark_history(events, as_of_ms, limit, ttl_ms, key).filter("in_hist").drop("in_hist")
+
+
+def scored_users(events: DataFrame, as_of_ms: int, limit: int = HISTORY_LIMIT,
+                 ttl_ms: int = HISTORY_TTL_MS, key: str = "user_id") -> DataFrame:
+    """Flagship in one exchange: every user seen up to ``as_of`` with its
+    features over the stored history (defaults without history) and its score.
+    Conditional aggregates over :func:`mark_history` replace a second scan
+    for the user list and the join back."""
+    m = mark_history(events, as_of_ms, limit, ttl_ms, key)
+    h = F.col("in_hist")
+    n = F.count_if(h)
+    n_cat = F.count_distinct(F.when(h, F.coalesce(F.col("category"), F.lit(NULL_CATEGORY))))
+    g = m.groupBy(key).agg(
+        n.alias("_n"), n_cat.alias("_ncat"),
+        F.count_if(h & is_click()).cast("double").alias("click_count"),
+        F.count_if(h & is_purchase()).cast("double").alias("purchase_count"),
+        F.max(F.when(h, F.col("timestamp_ms"))).alias("_newest"))
+    has = F.col("_n") > 0
+    d = dict(zip(FEATURES, DEFAULT_FEATURES))
+    out = (g.withColumn("has_history", has)
+            .withColumn("avg_time_category", F.when(has, (F.col("_n") / F.col("_ncat")).cast("double"))
+                        .otherwise(F.lit(d["avg_time_category"])))
+            .withColumn("click_count", F.when(has, F.col("click_count")).otherwise(F.lit(d["click_count"])))
+            .withColumn("purchase_count", F.when(has, F.col("purchase_count"))
+                        .otherwise(F.lit(d["purchase_count"])))
+            .withColumn("recency", F.when(has, ((F.lit(as_of_ms) - F.col("_newest")) / MS_PER_MIN).cast("double"))
+                        .otherwise(F.lit(d["recency"]))))
+    return score_users(out.drop("_n", "_ncat", "_newest"))
+
+
 def feature_aggs(as_of: Column) -> list[Column]:
     n = F.count(F.lit(1))
     n_cat = F.count_distinct(F.coalesce(F.col("category"), F.lit(NULL_CATEGORY)))

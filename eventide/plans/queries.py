@@ -57,11 +57,7 @@ def round_doubles(df: DataFrame) -> DataFrame:
 
 def user_scores_plan(events: DataFrame, as_of_ms: int, limit: int) -> DataFrame:
     """validate -> newest ``limit`` per user -> TTL -> features -> score, one row per user."""
-    upto = events.filter(F.col("timestamp_ms") <= as_of_ms)
-    hist = FE.history_as_of(upto, as_of_ms, limit)
-    feats = FE.user_features(hist, as_of_ms)
-    users = upto.select("user_id").distinct()
-    scored = FE.score_users(FE.with_defaults(users, feats))
+    scored = FE.scored_users(events, as_of_ms, limit)
     return round_doubles(scored.select("user_id", "has_history", *FE.FEATURES, "prediction"))
 
 
