@@ -64,6 +64,20 @@ def running_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(F.count(F.lit(1)).alias("event_count"))
 
 
+def tumble_stream(events: DataFrame, size: str = "1 minute", key: str = "user_id") -> DataFrame:
+    """X2 online: event-time tumbling counts per key with window start/end in epoch ms."""
+    return (events.groupBy(key, F.window("event_time", size).alias("w"))
+            .agg(F.count(F.lit(1)).alias("n_events"))
+            .select(key, F.unix_millis(F.col("w.start")).alias("window_start_ms"),
+                    F.unix_millis(F.col("w.end")).alias("window_end_ms"), "n_events"))
+
+
+def session_stream(events: DataFrame, gap: str = "30 minutes", key: str = "user_id") -> DataFrame:
+    """X4 online: ``session_window`` per key (events exactly one gap apart merge)."""
+    from ..operators.windows import sessions_streaming
+    return sessions_streaming(events, gap, key)
+
+
 def dedup_stream(events: DataFrame, id_col: str = "event_id") -> DataFrame:
     """U2 online: drop redeliveries of an id within the watermark delay."""
     return events.dropDuplicatesWithinWatermark([id_col])
