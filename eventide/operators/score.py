@@ -8,12 +8,11 @@ RandomForest; its score is P(class 1) read from the probability vector.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import FALLBACK_SCORE, score_linear
+from ..functions.expr import FALLBACK_SCORE
 from ..session import checkpoint_dir
 from .features import FEATURES
 
@@ -181,7 +180,3 @@ def label_next_purchase(online: DataFrame, horizon_ms: int, key: str = "user_id"
     nxt_e = F.lead("event_type").over(w)
     return online.withColumn("target", F.when((nxt_t - F.col("timestamp_ms") <= horizon_ms)
                                               & (nxt_e == "purchase"), 1.0).otherwise(0.0))
-
-
-__all__ = ["score_linear", "score_with_fallback", "with_status", "batched_scores", "cache_hits",
-           "cache_contents", "train_forest", "score_model", "split_flag", "assemble", "pd"]

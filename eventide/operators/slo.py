@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import latency_band, latency_ms  # noqa: F401
-
 SLA_P95_MS = 75.0
 LOSS_TOLERANCE_PCT = 1.0
 HIST_BINS = 30
