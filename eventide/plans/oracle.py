@@ -757,3 +757,10 @@ SELECT event_id, user_id, route, CAST(retry_count AS BIGINT) AS retry_count FROM
 
 ORACLE["retry_replay"] = w(EV, retry_cte("ev", "event_type = 'error'")) + """
 SELECT user_id, 'replay_success' AS route, count(*) AS n FROM rt WHERE route = 'retry' GROUP BY user_id"""
+
+
+ORACLE["feature_lookup"] = w(EV, hist_cte("ev", P.DRIFT_SPLIT_MS, 100), feats_cte("hist", P.DRIFT_SPLIT_MS)) + f"""
+SELECT e.event_id, e.user_id, f.avg_time_category IS NOT NULL AS has_history,
+  round(coalesce(f.avg_time_category, 0.0), 6) AS avg_time_category, round(coalesce(f.click_count, 0.0), 6) AS click_count,
+  round(coalesce(f.purchase_count, 0.0), 6) AS purchase_count, round(coalesce(f.recency, 1440.0), 6) AS recency
+FROM ev e LEFT JOIN feats f USING (user_id) WHERE e.timestamp_ms > {P.DRIFT_SPLIT_MS}"""

@@ -895,3 +895,16 @@ def q_retry_replay(spark, d):
     failures: the replay succeeds); replays per user."""
     r = _retry_run(spark, d).filter(F.col("route").startswith("replay"))
     return r.groupBy("user_id", "route").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("feature_lookup")
+def q_feature_lookup(spark, d):
+    """Each event of the second half looks up its user's features as of
+    the split (stored history at that time); users without history get the
+    cold-start vector. A left join on user_id: the feature side has one row per
+    user; a hot user's events are split by AQE's skew-join handling."""
+    e = ev(spark, d)
+    feats = FE.user_features(FE.history_as_of(e, P.DRIFT_SPLIT_MS), P.DRIFT_SPLIT_MS)
+    later = e.filter(F.col("timestamp_ms") > P.DRIFT_SPLIT_MS).select("event_id", "user_id")
+    j = FE.with_defaults(later, feats)
+    return round_doubles(j.select("event_id", "user_id", "has_history", *FE.FEATURES))
