@@ -7,6 +7,7 @@ Computed doubles are rounded to 6 decimals so both engines compare exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,18 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import validation as V
+from ..operators import drift as DR
 from ..operators import features as FE
+from ..operators import lanes as LN
+from ..operators import metrics as MT
+from ..operators import recommend as RC
+from ..operators import score as SC
+from ..operators import slo as SL
+from ..operators import windows as WN
+from ..session import checkpoint_dir
 from ..sources import derived as D
 from ..sources.events import events_from_tables, parse_events, to_json_value
+from ..streaming import jobs as ST
 from . import params as P
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +87,28 @@ def round_doubles(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def _error_failed():
+    return F.col("event_type") == "error"
+
+
+def _out_of_range():
+    return F.col("value") >= D.FAIL_VALUE
+
+
+@shared_plan
+def mon(spark, d):
+    """Events with arrival, processing time, scenario and the late flag."""
+    m = D.monitored(ev(spark, d))
+    return (m.withColumn("latency_ms", X.latency_ms())
+             .withColumn("is_late_arrival", X.is_late("arrival_ms")))
+
+
+@shared_plan
+def fanout(spark, d):
+    """The E3 lanes of the fault-injected raw events (scoring fails when value >= 200)."""
+    return LN.fanout_lanes(raw(spark, d), _out_of_range())
+
+
 # ---------------------------------------------------------------- flagship
 
 def user_scores_plan(events: DataFrame, as_of_ms: int, limit: int) -> DataFrame:
@@ -210,17 +242,6 @@ def q_features_online(spark, d):
 
 # ---------------------------------------------------------------- lanes, retry, fan-out
 
-from ..operators import lanes as LN  # noqa: E402
-from ..operators import score as SC  # noqa: E402
-
-
-def _error_failed():
-    return F.col("event_type") == "error"
-
-
-def _out_of_range():
-    return F.col("value") >= D.FAIL_VALUE
-
 
 @query("retry_route")
 def q_retry_route(spark, d):
@@ -322,17 +343,6 @@ def q_pred_union(spark, d):
 
 # ---------------------------------------------------------------- windows, late data, dedup
 
-from ..operators import slo as SL  # noqa: E402
-from ..operators import windows as WN  # noqa: E402
-
-
-@shared_plan
-def mon(spark, d):
-    """Events with arrival, processing time, scenario and the late flag."""
-    m = D.monitored(ev(spark, d))
-    return (m.withColumn("latency_ms", X.latency_ms())
-             .withColumn("is_late_arrival", X.is_late("arrival_ms")))
-
 
 @query("tumble")
 def q_tumble(spark, d):
@@ -496,9 +506,6 @@ def q_error_counters(spark, d):
 
 # ---------------------------------------------------------------- recommendations
 
-from ..operators import drift as DR  # noqa: E402
-from ..operators import recommend as RC  # noqa: E402
-
 
 @query("top_items")
 def q_top_items(spark, d):
@@ -592,14 +599,6 @@ def q_drift_alert(spark, d):
 
 # ---------------------------------------------------------------- metrics and alerts
 
-from ..operators import metrics as MT  # noqa: E402
-
-
-@shared_plan
-def fanout(spark, d):
-    """The E3 lanes of the fault-injected raw events (scoring fails when value >= 200)."""
-    return LN.fanout_lanes(raw(spark, d), _out_of_range())
-
 
 @shared_plan
 def metric_samples(spark, d):
@@ -839,11 +838,6 @@ def q_accuracy(spark, d):
 
 # ---------------------------------------------------------------- streaming forms (run to completion)
 
-import uuid  # noqa: E402
-
-from ..session import checkpoint_dir  # noqa: E402
-from ..streaming import jobs as ST  # noqa: E402
-
 
 def _stream_dir(spark, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a machine-local one)."""
