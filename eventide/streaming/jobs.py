@@ -258,6 +258,19 @@ def score_stream(raw: DataFrame, limit: int = 100) -> DataFrame:
                                                    "recency"))
 
 
+def fanout_stream(raw: DataFrame, failed, watermark: str = WATERMARK) -> DataFrame:
+    """S4 / E3 online: one tagged stream of the lanes (validation_errors,
+    success, retry, dlq) for :func:`idempotent_writer`; validation rows come
+    straight from the rules, valid rows go through the retry state."""
+    chk = V.with_errors(raw)
+    verr = V.validation_errors(chk).select(F.col("validation_rule").alias("detail"), "event_id", "user_id",
+                                           F.lit("validation_errors").alias("lane"))
+    ok = with_event_time(V.valid_only(chk), watermark).withColumn("failed", failed)
+    routed = retry_stream(ok).filter(F.col("attempt") == 0).select(
+        F.col("retry_count").cast("string").alias("detail"), "event_id", "user_id", F.col("route").alias("lane"))
+    return verr.unionByName(routed)
+
+
 def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
                   fmt: str = "parquet", foreach=None):
     """Run a streaming DataFrame over everything available now and stop (X7:
