@@ -22,20 +22,27 @@ def _parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def order_bucket(df: DataFrame, col: str, n: int | None = None, rel_err: float = 0.001) -> Column:
-    """Deterministic range bucket of ``col``: the number of quantile bounds <= value.
+def order_bucket(df: DataFrame, col: str, n: int | None = None, rel_err: float = 0.001,
+                 out: str = "_b") -> DataFrame:
+    """Adds ``out``: the deterministic range bucket of ``col`` (number of
+    quantile bounds <= value).
 
     The bounds come from ``approxQuantile`` (one small driver-side list of
     ``n - 1`` numbers); the bucket is a pure function of the row, so every
     recomputation (a lost executor, a second branch of the plan) agrees on it.
+    The lookup is MLlib's ``Bucketizer`` (a binary search in the JVM).
     """
+    from pyspark.ml.feature import Bucketizer
     n = _parts(df, n)
     qs = [i / n for i in range(1, n)]
     bounds = sorted(set(df.approxQuantile(col, qs, rel_err))) if n > 1 else []
     if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= F.col(col).cast("double")))
+        return df.withColumn(out, F.lit(0))
+    splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
+    tmp = df.withColumn("_bv", F.col(col).cast("double"))
+    # right-closed at each bound, so a value equal to a bound goes above it
+    return (Bucketizer(splits=splits, inputCol="_bv", outputCol=out, handleInvalid="keep").transform(tmp)
+            .withColumn(out, F.col(out).cast("int")).drop("_bv"))
 
 
 KEYED_RANGE_MS = 60_000
@@ -56,7 +63,7 @@ def global_index(df: DataFrame, order: list[str], n: int | None = None, out: str
     running total of the sizes of the buckets before (a table with one row per
     bucket, broadcast).
     """
-    b = df.withColumn("_b", order_bucket(df, order[0], n))
+    b = order_bucket(df, order[0], n)
     local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1)
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
@@ -68,7 +75,7 @@ def global_index(df: DataFrame, order: list[str], n: int | None = None, out: str
 def prior_max(df: DataFrame, order: list[str], value: str, n: int | None = None,
               out: str = "prior_max") -> DataFrame:
     """Max of ``value`` over all rows strictly before each row in ``order``."""
-    b = df.withColumn("_b", order_bucket(df, order[0], n))
+    b = order_bucket(df, order[0], n)
     per = b.groupBy("_b").agg(F.max(value).alias("_pmax"))
     before = per.select("_b", F.max("_pmax").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
