@@ -271,11 +271,26 @@ def fanout_stream(raw: DataFrame, failed, watermark: str = WATERMARK) -> DataFra
     return verr.unionByName(routed)
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions for a new streaming query: twice the cluster's task
+    slots (fixed in the checkpoint at the first start, so size it for the
+    cluster, not for a test session's shuffle default)."""
+    return max(2, 2 * spark.sparkContext.defaultParallelism)
+
+
 def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
-                  fmt: str = "parquet", foreach=None):
+                  fmt: str = "parquet", foreach=None, partitions: int | None = None):
     """Run a streaming DataFrame over everything available now and stop (X7:
-    restarting with the same checkpoint resumes where it stopped)."""
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    q = w.foreachBatch(foreach).start() if foreach else w.format(fmt).start(sink)
+    restarting with the same checkpoint resumes where it stopped). The state
+    partition count is set for the start of this query only."""
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        q = w.foreachBatch(foreach).start() if foreach else w.format(fmt).start(sink)
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     return q
