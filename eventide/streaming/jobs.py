@@ -272,10 +272,11 @@ def fanout_stream(raw: DataFrame, failed, watermark: str = WATERMARK) -> DataFra
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """State partitions for a new streaming query: twice the cluster's task
-    slots (fixed in the checkpoint at the first start, so size it for the
-    cluster, not for a test session's shuffle default)."""
-    return max(2, 2 * spark.sparkContext.defaultParallelism)
+    """State partitions for a new streaming query: one per task slot of the
+    cluster (fixed in the checkpoint at the first start, so size it for the
+    cluster, not for a test session's shuffle default; each stateful Python
+    partition also holds a worker, so more partitions than slots only queue)."""
+    return max(2, spark.sparkContext.defaultParallelism)
 
 
 def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
