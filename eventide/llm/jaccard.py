@@ -12,8 +12,9 @@ sets. The work is done on distinct sets; equal sets share their answers.
    only. A set linked to a leader takes over the leader's component, so a family
    of thousands of near copies costs a few comparisons a set, not all pairs.
 4. What is left are pairs of sets of different components that share a list.
-   Lists are read in blocks by size; size, position and a 256-bit map of the set
-   (an exact bound on the overlap) skip most, and the rest is compared in full.
+   Lists are read in blocks by size; size and position skip most of them.
+Before full sets are compared, bit maps of the sets (a bit or two a shingle, an
+exact bound on the overlap) drop the pairs that cannot link.
 
 Sets are named by 64-bit digests of 64-bit shingle hashes.
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -36,52 +37,65 @@ from .words import LOWER, SPACE_WORDS, mix, shingle_hashes, span_hashes, text_ch
 
 #: Buckets of the count sketch (2 ** 18 counts of 8 bytes are 2 MB, whatever the corpus).
 SKETCH_BITS = 18
-#: Bits of the map that tells which sets stand in any list of two or more (512 kB).
+#: Bits of the map that tells which sets stand in any pair to be compared (512 kB).
 MARK_BITS = 22
 LEADERS = 6
+ROUNDS = 1
 BLOCK = 1024
 SHARE = (3, 4)  # 0.75
 
 
 def _sets(col: pa.Array, k: int):
-    """(first row, [distinct shingle hashes of each row]) of runs of texts."""
+    """(first row, distinct shingle hashes of all rows, ascending in each row, row
+    offsets, names of the sets) of runs of texts. Empty sets are named 0."""
     for lo, hi, data, off in text_chunks(col):
         start, end, first = word_spans(data, off, SPACE_WORDS)
-        words = span_hashes(LOWER[data], start, end)
-        yield lo, [np.unique(shingle_hashes(words[first[i]:first[i + 1]], k)) for i in range(hi - lo)]
-
-
-def _digest(s: np.ndarray) -> int:
-    """Name of a set: a signed 64-bit integer."""
-    h = np.array([mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(s))], dtype=np.uint64)
-    return int(mix(h).view(np.int64)[0])
+        flat, at = shingle_hashes(span_hashes(LOWER[data], start, end), first, k)
+        for i in range(hi - lo):
+            flat[at[i]:at[i + 1]].sort()
+        fresh = np.ones(len(flat), dtype=bool)
+        fresh[1:] = flat[1:] != flat[:-1]
+        fresh[at[:-1][at[:-1] < len(flat)]] = True
+        at = np.concatenate(([0], np.cumsum(fresh)))[at]
+        flat = flat[fresh]
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)))
+        size = np.diff(at).astype(np.uint64)
+        name = mix(total[at[1:]] - total[at[:-1]] + size).view(np.int64)
+        yield lo, flat, at, np.where(size > 0, name, 0)
+
+
+def _firsts(name: np.ndarray) -> list[int]:
+    """Rows with a set that no earlier row of the run has."""
+    _, at = np.unique(name, return_index=True)
+    return np.sort(at[name[at] != 0]).tolist()
 
 
 def _survey(docs: DataFrame, k: int, bits: int) -> DataFrame:
-    """Rows (doc_id, n, cls) of all documents, and rows (part, counts) of the
-    sketch: one set of parts a task."""
+    """Rows (doc_id, n, cls, bits) of all documents (the bit map once a run of
+    texts for each set), and rows (part, counts) of the sketch: one set a task."""
     part = 1 << min(14, bits)
+    columns = ["doc_id", "n", "cls", "bits", "part", "counts"]
 
     def run(batches):
         counts = np.zeros(1 << bits, dtype=np.uint32)
         nothing = pa.nulls
         for b in batches:
-            for lo, sets in _sets(b.column(1), k):
-                for s in sets:
-                    np.add.at(counts, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
-                m = len(sets)
+            for lo, flat, at, name in _sets(b.column(1), k):
+                counts += np.bincount((flat >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+                m = len(name)
+                maps: list[bytes | None] = [None] * m
+                for i in _firsts(name):
+                    maps[i] = set_bits(flat[at[i]:at[i + 1]])
                 yield pa.record_batch(
-                    [b.column(0).slice(lo, m), pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
-                     nothing(m, pa.int32()), nothing(m, pa.binary())], ["doc_id", "n", "cls", "part", "counts"])
+                    [b.column(0).slice(lo, m), pa.array(np.diff(at).astype(np.int32)), pa.array(name, mask=name == 0),
+                     pa.array(maps, pa.binary()), nothing(m, pa.int32()), nothing(m, pa.binary())], columns)
         if counts.any():
             cut = counts.reshape(-1, part)
             m = len(cut)
-            yield pa.record_batch([nothing(m, pa.int64()), nothing(m, pa.int32()), nothing(m, pa.int64()),
-                                   pa.array(np.arange(m, dtype=np.int32)), pa.array([c.tobytes() for c in cut], pa.binary())],
-                                  ["doc_id", "n", "cls", "part", "counts"])
+            yield pa.record_batch([nothing(m, pa.int64()), nothing(m, pa.int32()), nothing(m, pa.int64()), nothing(m, pa.binary()),
+                                   pa.array(np.arange(m, dtype=np.int32)), pa.array([c.tobytes() for c in cut], pa.binary())], columns)
 
-    return docs.mapInArrow(run, "doc_id long, n int, cls long, part int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, n int, cls long, bits binary, part int, counts binary")
 
 
 def _sketch(survey: DataFrame, bits: int) -> np.ndarray:
@@ -112,34 +126,32 @@ def prefix_size(n: int) -> int:
 def _index(docs: DataFrame, k: int, sketch, bits: int) -> DataFrame:
     """token, cls, n, pos of the prefixes; equal sets once a run of texts."""
     def run(batches):
-        counts = sketch.value
+        counts = np.minimum(sketch.value, np.uint64((1 << 20) - 1)) << np.uint64(44)
         for b in batches:
-            for _, sets in _sets(b.column(1), k):
-                out, seen = [], set()
-                for s in sets:
-                    if not len(s) or (c := _digest(s)) in seen:
-                        continue
-                    seen.add(c)
-                    p = prefix_size(len(s))
-                    order = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))[:p]
-                    out.append((s[order], c, len(s)))
-                if not out:
+            for _, flat, at, name in _sets(b.column(1), k):
+                # rarest bucket first, then by hash: rows are ascending, so a stable sort settles ties alike everywhere
+                order = counts[(flat >> np.uint64(64 - bits)).astype(np.int64)] | (flat >> np.uint64(20))
+                rows = _firsts(name)
+                if not rows:
                     continue
-                size = np.array([len(x[0]) for x in out])
+                n = np.diff(at)[rows]
+                size = np.array([prefix_size(int(x)) for x in n])
+                token = np.concatenate([flat[at[i]:at[i + 1]][np.argsort(order[at[i]:at[i + 1]], kind="stable")[:p]]
+                                        for i, p in zip(rows, size)])
                 yield pa.record_batch(
-                    [pa.array(np.concatenate([x[0] for x in out]).view(np.int64)),
-                     pa.array(np.repeat(np.array([x[1] for x in out], np.int64), size)),
-                     pa.array(np.repeat(np.array([x[2] for x in out], np.int32), size)),
+                    [pa.array(token.view(np.int64)), pa.array(np.repeat(name[rows], size)),
+                     pa.array(np.repeat(n.astype(np.int32), size)),
                      pa.array(np.concatenate([np.arange(p, dtype=np.int32) for p in size]))],
                     ["token", "cls", "n", "pos"])
 
     return docs.mapInArrow(run, "token long, cls long, n int, pos int")
 
 
-def _marks(lists: DataFrame) -> np.ndarray:
-    """Bit map of the sets in lists, by the low bits of the digest."""
+def _marks(pairs: DataFrame) -> np.ndarray:
+    """Bit map of the sets in pairs, by the low bits of the digest."""
     words = np.zeros(1 << (MARK_BITS - 6), dtype=np.int64)
-    at = lists.select(F.pmod("cls", F.lit(1 << MARK_BITS)).alias("at"))
+    at = (pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+          .select(F.pmod("cls", F.lit(1 << MARK_BITS)).alias("at")))
     got = (at.groupBy(F.expr("cast(at div 64 as int)").alias("w"))
            .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("b")).collect())
     for w, b in got:  # at most 2 ** (MARK_BITS - 6) rows of two numbers
@@ -148,32 +160,42 @@ def _marks(lists: DataFrame) -> np.ndarray:
 
 
 def set_bits(s: np.ndarray) -> bytes:
-    """256 bits, each the parity of the shingles that fall on it."""
-    n = np.bincount((mix(s) >> np.uint64(56)).astype(np.int64), minlength=256)
+    """The parity of the shingles that fall on each of w bits, w the power of two
+    from the set's size on (256 at least). Half the map is the xor of its halves."""
+    width = max(256, 1 << (len(s) - 1).bit_length())
+    n = np.bincount((mix(s) & np.uint64(width - 1)).astype(np.int64), minlength=width)
     return np.packbits((n & 1).astype(np.uint8)).tobytes()
 
 
+def bits_differ(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two maps differ, the longer one folded to the shorter: at
+    most the number of shingles that only one of the sets has."""
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def may_link(n_a: int, n_b: int, differ: int) -> bool:
+    """Whether the bound on the overlap allows a link."""
+    return linked(n_a, n_b, (n_a + n_b - differ) // 2)
+
+
 def _full_sets(docs: DataFrame, k: int, marks) -> DataFrame:
-    """cls, n, shingles (sorted, 8 bytes each), bits of the marked sets."""
+    """cls, shingles (sorted, 8 bytes each) of the marked sets."""
     def run(batches):
         known = marks.value
         for b in batches:
-            for _, sets in _sets(b.column(1), k):
-                out = {}
-                for s in sets:
-                    if len(s):
-                        c = _digest(s)
-                        at = c % (1 << MARK_BITS)
-                        if c not in out and int(known[at >> 6]) >> (at & 63) & 1:
-                            out[c] = s
-                if out:
-                    yield pa.record_batch(
-                        [pa.array(list(out), pa.int64()), pa.array([len(s) for s in out.values()], pa.int32()),
-                         pa.array([s.tobytes() for s in out.values()], pa.binary()),
-                         pa.array([set_bits(s) for s in out.values()], pa.binary())], ["cls", "n", "shingles", "bits"])
-
-    rows = docs.mapInArrow(run, "cls long, n int, shingles binary, bits binary")
-    return rows.dropDuplicates(["cls"])
+            for _, flat, at, name in _sets(b.column(1), k):
+                low = name % (1 << MARK_BITS)
+                marked = known[low >> 6] >> (low & 63).astype(np.uint64) & np.uint64(1)
+                rows = [i for i in _firsts(name) if marked[i]]
+                if rows:
+                    yield pa.record_batch([pa.array(name[rows]),
+                                           pa.array([flat[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())], ["cls", "shingles"])
+
+    return docs.mapInArrow(run, "cls long, shingles binary").dropDuplicates(["cls"])
 
 
 def linked(n_a, n_b, both):
@@ -198,28 +220,65 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _star_pairs(lists: DataFrame) -> DataFrame:
-    """Each set of a list with the leaders of its size band."""
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) whose sizes and bit maps allow a link."""
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
+
+    def run(batches):
+        for b in batches:
+            na, nb, xs, ys = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("na", "nb", "xa", "xb"))
+            ok = [may_link(i, j, bits_differ(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)))
+                  for i, j, x, y in zip(na, nb, xs, ys)]
+            yield b.select(["a", "b", *rest]).filter(pa.array(ok, pa.bool_()))
+
+    sides = [classes.select(F.col("cls").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"x{s}")) for s in "ab"]
+    both = (pairs.join(sides[0], "a").join(sides[1], "b").where((SHARE[0] * F.col("na") <= SHARE[1] * F.col("nb"))
+                                                                & (SHARE[0] * F.col("nb") <= SHARE[1] * F.col("na"))))
+    return both.select("a", "b", *rest, "na", "nb", "xa", "xb").mapInArrow(
+        run, "a long, b long" + "".join(f", {c} {pairs.schema[c].dataType.simpleString()}" for c in rest))
+
+
+def _leaders(what, *salt) -> Column:
+    """The sets (or what is asked of them) of smallest hash in the list and size
+    band of a row."""
     band = Window.partitionBy("token", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(SHARE[1] / SHARE[0]))))
-    leaders = F.array_distinct(F.array(*(F.min_by("cls", F.xxhash64("cls", F.lit(j))).over(band) for j in range(LEADERS))))
-    each = (lists.select("cls", leaders.alias("leaders"))
-            .select("cls", F.explode("leaders").alias("lead")).where("cls <> lead"))
-    return each.select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
+    return F.array(*(F.min_by(what, F.xxhash64("cls", F.lit(j), *salt)).over(band) for j in range(LEADERS)))
 
 
-def _cross_pairs(lists: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+def _star_pairs(lists: DataFrame) -> DataFrame:
+    """a, b, turn: each set of a list with the leaders of its size band, who are
+    the same in most lists of a family; turn is the first leader's number."""
+    each = (lists.select("cls", _leaders("cls").alias("leaders"))
+            .select("cls", F.posexplode("leaders").alias("turn", "lead")).where("cls <> lead"))
+    return (each.groupBy(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b"))
+            .agg(F.min("turn").alias("turn")))
+
+
+def _apart(lists: DataFrame, roots: DataFrame, salt: int) -> DataFrame:
+    """Pairs of sets of different components: each set with leaders that change
+    from list to list."""
+    named = _named(lists, roots)
+    each = (named.select("cls", "root", F.array_distinct(_leaders(F.struct("cls", "root"), "token", F.lit(salt))).alias("leaders"))
+            .select("cls", "root", F.explode("leaders").alias("lead")).where("root <> lead.root"))
+    return each.select(F.least("cls", "lead.cls").alias("a"), F.greatest("cls", "lead.cls").alias("b")).distinct()
+
+
+def _named(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    return (lists.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+            .withColumn("root", F.coalesce("root", "cls")))
+
+
+def _cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of sets of different components that share a list and pass the
-    bounds on size, position and bit map."""
-    named = (lists.join(sets.select("cls", "bits"), "cls")
-             .join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
-             .withColumn("root", F.coalesce("root", "cls")))
+    bounds on size and position."""
+    named = _named(lists, roots)
     whole = Window.partitionBy("token")
     mixed = (named.withColumn("lo", F.min("root").over(whole)).withColumn("hi", F.max("root").over(whole)).where("lo < hi")
              .withColumn("block", F.floor((F.row_number().over(whole.orderBy("n", "cls")) - 1) / BLOCK).cast("int"))
              .withColumn("last", F.max("block").over(whole)))
     rows = (mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
             .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "cls", "root", "n", "pos", "bits"))
+                    "block", "cls", "root", "n", "pos"))
 
     def run(batches):
         held = []
@@ -244,7 +303,6 @@ def _cross_pairs(lists: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFra
 def _pairs_of(t: pa.Table, cuts: list[int]):
     """Candidate pairs of each group (one block of a list, or two) of sorted rows."""
     i, j, block, cls, root, n, pos = (np.asarray(t.column(c)).astype(np.int64) for c in ("i", "j", "block", "cls", "root", "n", "pos"))
-    bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, 4)
     found_a, found_b = [], []
     for lo, hi in zip(cuts, cuts[1:]):
         at = np.arange(lo, hi)
@@ -261,17 +319,32 @@ def _pairs_of(t: pa.Table, cuts: list[int]):
             need = -(-SHARE[0] * (n[a] + n[two]) // (SHARE[0] + SHARE[1]))
             ok &= np.minimum(n[a] - pos[a], n[two] - pos[two]) >= need
             x, y = np.nonzero(ok)
-            x, y = one[x0 + x], two[y]
-            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-            need = -(-SHARE[0] * (n[x] + n[y]) // (SHARE[0] + SHARE[1]))
-            live = n[x] + n[y] - differ >= 2 * need
-            found_a.append(np.minimum(cls[x[live]], cls[y[live]]))
-            found_b.append(np.maximum(cls[x[live]], cls[y[live]]))
+            x, y = cls[one[x0 + x]], cls[two[y]]
+            found_a.append(np.minimum(x, y))
+            found_b.append(np.maximum(x, y))
     if found_a:
         both = np.unique(np.stack((np.concatenate(found_a), np.concatenate(found_b))), axis=1)
         yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
 
 
+def _through(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs with ra and rb, the roots of both."""
+    name = roots.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
+    for s in "ab":
+        pairs = (pairs.join(name, F.col(s) == F.col("_n"), "left")
+                 .withColumn(f"r{s}", F.coalesce("_r", s)).drop("_n", "_r"))
+    return pairs
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """node, root of the components after further links (a, b)."""
+    upper = connected_components(_through(links, roots).select(F.col("ra").alias("u"), F.col("rb").alias("v")))
+    top = upper.select(F.col("node").alias("_m"), F.col("root").alias("_t"))
+    lower = (roots.join(top, F.col("root") == F.col("_m"), "left")
+             .select("node", F.coalesce("_t", "root").alias("root")))
+    return stored(lower.union(upper), "roots")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest doc_id that
     links reach)."""
@@ -279,32 +352,37 @@ def jaccard_components(docs: DataFrame, k: int = 5, sketch_bits: int = SKETCH_BI
     base = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     survey = stored(_survey(base, k, sketch_bits), "survey")
     rows = survey.where("part is null").select("doc_id", "n", "cls")
+    classes = survey.where("bits is not null").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     sketch = sc.broadcast(_sketch(survey, sketch_bits))
 
     by_token = Window.partitionBy("token")
     index = _index(base, k, sketch, sketch_bits)
     lists = stored(index.withColumn("lo", F.min("cls").over(by_token)).withColumn("hi", F.max("cls").over(by_token))
                    .where("lo < hi").select("token", "cls", "n", "pos").distinct(), "lists")
-    marks = sc.broadcast(_marks(lists))
-    sets = stored(_full_sets(base, k, marks), "sets")
 
-    roots = connected_components(_verified(_star_pairs(lists), sets).toDF("u", "v"))
-    late = stored(_verified(_cross_pairs(lists, sets, roots), sets), "late-links")
-    name = roots.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-    over = (late.join(name, F.col("a") == F.col("_n"), "left").select(F.coalesce("_r", "a").alias("u"), "b")
-            .join(name, F.col("b") == F.col("_n"), "left").select("u", F.coalesce("_r", "b").alias("v")))
-    upper = connected_components(over)
-    # root of a set: through the first components, then through those of the late links
-    known = (roots.union(upper.select("node", F.col("node").alias("root")))
-             .groupBy("node").agg(F.min(F.struct((F.col("root") == F.col("node")).alias("own"), "root")).alias("r"))
-             .select("node", F.col("r.root").alias("mid"))
-             .join(upper.select(F.col("node").alias("_m"), F.col("root").alias("top")), F.col("mid") == F.col("_m"), "left")
-             .select(F.col("node").alias("cls"), F.coalesce("top", "mid").alias("top")))
+    # leaders first: two of them, then the others for sets that are still apart
+    stars = stored(_possible(_star_pairs(lists), classes), "stars")
+    sets = stored(_full_sets(base, k, sc.broadcast(_marks(stars))), "sets")
+    first = _verified(stars.where("turn < 2").select("a", "b"), sets)
+    roots = stored(connected_components(first.toDF("u", "v")), "roots")
+    again = _through(stars.where("turn >= 2"), roots).where("ra <> rb").select("a", "b")
+    roots = _merged(roots, stored(_verified(again, sets), "links"))
+    for salt in range(ROUNDS):  # a pair whose sets were not gathered is left to the last step
+        apart = _possible(_apart(lists, roots, salt), classes)
+        roots = _merged(roots, stored(_verified(apart, sets), "links"))
+
+    # then every pair of different components that a list allows
+    cross = stored(_possible(_cross_pairs(lists, roots), classes), "cross")
+    if not cross.isEmpty():
+        more = _full_sets(base, k, sc.broadcast(_marks(cross)))
+        roots = _merged(roots, stored(_verified(cross, more), "links"))
+
     # a set without a link, and the root of a component, are no child of any: they name themselves
     smallest = (rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-                .join(known, "cls", "left").withColumn("top", F.coalesce("top", "cls")))
-    component = smallest.groupBy("top").agg(F.min("least").alias("component_id"))
-    named = smallest.select("cls", "top").join(component, "top").select("cls", "component_id")
+                .join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+                .withColumn("root", F.coalesce("root", "cls")))
+    component = smallest.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = smallest.select("cls", "root").join(component, "root").select("cls", "component_id")
     full = rows.where("cls is not null").join(named, "cls").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
     empty = rows.where("cls is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)

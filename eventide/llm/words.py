@@ -100,14 +100,17 @@ def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[
 _PLACE = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
-def shingle_hashes(words: np.ndarray, k: int = 5) -> np.ndarray:
-    """Hashes of all k consecutive words of one row; a shorter, non-empty row is
-    one shingle of all its words."""
-    n = len(words)
-    if n == 0:
-        return words
-    width = min(k, n)
-    h = np.full(n - width + 1, np.uint64(width), dtype=np.uint64)
-    for j in range(width):
-        h += words[j:n - width + 1 + j] * _PLACE[j]
-    return mix(h)
+def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, row offsets) of all k consecutive words within each row (first:
+    word offsets of the rows); a shorter, non-empty row is one shingle of all its
+    words."""
+    n_words = np.diff(first)
+    size = np.where(n_words >= k, n_words - k + 1, np.minimum(n_words, 1))
+    off = np.concatenate(([0], np.cumsum(size)))
+    at = np.repeat(first[:-1] - off[:-1], size) + np.arange(off[-1])
+    width = np.repeat(np.minimum(n_words, k), size)
+    h = width.astype(np.uint64)
+    for j in range(k):
+        inside = width > j
+        h[inside] += words[at[inside] + j] * _PLACE[j]
+    return mix(h), off

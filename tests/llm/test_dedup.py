@@ -113,11 +113,12 @@ def test_exact_limit(frame):
 def test_bit_map_bounds_the_overlap():
     rng = np.random.default_rng(0)
     for _ in range(50):
-        pool = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
-        x, y = (np.unique(rng.choice(pool, rng.integers(1, 200))) for _ in "ab")
-        bx, by = (np.frombuffer(jaccard.set_bits(s), np.uint64) for s in (x, y))
-        differ = int(np.bitwise_count(bx ^ by).sum())
-        assert len(x) + len(y) - differ >= 2 * len(np.intersect1d(x, y))
+        pool = rng.integers(0, 1 << 63, rng.integers(3, 900), dtype=np.uint64)
+        x, y = (np.unique(rng.choice(pool, rng.integers(1, 900))) for _ in "ab")
+        differ = jaccard.bits_differ(*(np.frombuffer(jaccard.set_bits(s), np.uint8) for s in (x, y)))
+        both = len(np.intersect1d(x, y))
+        assert len(x) + len(y) - differ >= 2 * both
+        assert jaccard.may_link(len(x), len(y), differ) or not jaccard.linked(len(x), len(y), both)
 
 
 def test_components_of_paths_and_stars(spark):
