@@ -42,7 +42,7 @@ class Vocabulary:
         self.bytes_of = {r: t for t, r in ranks.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._ends: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        self._valid: dict[tuple[int, int], bool] = {}
+        self._valid: dict[int, bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made this one; None for a single byte."""
@@ -69,7 +69,8 @@ class Vocabulary:
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether the encoding of both tokens' bytes is just these two tokens."""
-        got = self._valid.get((left, right))
+        pair = left << 32 | right
+        got = self._valid.get(pair)
         if got is None:
             got = True
             for a, a_until in self._chain(left, 1):
@@ -81,9 +82,9 @@ class Vocabulary:
                         break
                 if not got:
                     break
-            if len(self._valid) > 2_000_000:
+            if len(self._valid) > 200_000:
                 self._valid.clear()
-            self._valid[left, right] = got
+            self._valid[pair] = got
         return got
 
 

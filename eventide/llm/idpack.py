@@ -144,7 +144,11 @@ def _encoder(content: bytes):
         tk.encode_special_tokens = True  # their strings in a text are ordinary text
 
         def encode(pieces: list[bytes]) -> list[list[int]]:
-            return [e.ids for e in tk.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+            out = []
+            for i in range(0, len(pieces), 2048):  # the library's results are larger than their ids
+                some = [p.decode() for p in pieces[i:i + 2048]]
+                out += [e.ids for e in tk.encode_batch_fast(some, add_special_tokens=False)]
+            return out
         return PieceCache(encode)
     return worker_cache("library_" + hashlib.md5(content).hexdigest(), make)
 

@@ -91,46 +91,48 @@ def piece_starts(data: np.ndarray, off: np.ndarray, pattern: regex.Pattern) -> n
 
 class PieceCache:
     """Ids of pieces, looked up by the piece's 64-bit hash and filled by
-    ``encode(list of pieces as bytes) -> list of id lists``. Emptied when it
-    holds ``limit`` pieces, so memory is bounded whatever the vocabulary."""
+    ``encode(list of pieces as bytes) -> list of id lists``. Held in arrays of
+    about 35 bytes a piece and emptied at ``limit`` pieces, so memory is bounded
+    whatever the vocabulary."""
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.first = np.zeros(1 << 16, dtype=np.int64)
-        self.size = np.zeros(1 << 16, dtype=np.int64)
+        self.keys = np.zeros(0, dtype=np.uint64)  # ascending
+        self.first = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
-    def _add(self, keys: list[int], pieces: list[bytes]) -> None:
-        for key, ids in zip(keys, self.encode(pieces), strict=True):
-            k = len(self.slot)
-            if k == len(self.first):
-                self.first = np.concatenate((self.first, np.zeros_like(self.first)))
-                self.size = np.concatenate((self.size, np.zeros_like(self.size)))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            self.slot[key] = k
-            self.first[k], self.size[k] = self.used, len(ids)
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
+    def _add(self, at: np.ndarray, keys: np.ndarray, pieces: list[bytes]) -> None:
+        made = self.encode(pieces)
+        size = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+        flat = np.fromiter((i for ids in made for i in ids), dtype=np.uint32, count=int(size.sum()))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.first = np.insert(self.first, at, self.used + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.keys = np.insert(self.keys, at, keys)
+        self.used += len(flat)
 
     def rows(self, data: np.ndarray, off: np.ndarray, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, id offsets by row) of a run of texts."""
         start = piece_starts(data, off, pattern)
         end = np.append(start[1:], len(data))
         keys, first, which = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-        known = keys.tolist()
-        if len(self.slot) + len(known) > self.limit:
+        if len(self.keys) + len(keys) > self.limit:
             self.clear()
-        slot = self.slot
-        new = [i for i, k in enumerate(known) if k not in slot]
-        if new:
-            self._add([known[i] for i in new], [data[start[first[i]]:end[first[i]]].tobytes() for i in new])
-        at = np.fromiter((slot[k] for k in known), dtype=np.int64, count=len(known))[which]
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), dtype=bool)
+        if len(self.keys):
+            new = self.keys[np.minimum(at, len(self.keys) - 1)] != keys
+        if new.any():
+            self._add(at[new], keys[new], [data[start[i]:end[i]].tobytes() for i in first[new].tolist()])
+            at = np.searchsorted(self.keys, keys)
+        at = at[which]
         size = self.size[at]
         to = np.cumsum(size)
         total = int(to[-1]) if len(to) else 0
