@@ -33,12 +33,14 @@ def build_session(master: str | None = None, app: str = "eventide",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (tests, a laptop) do we make one under the
-    system temp folder; on a cluster the setting must point at shared storage.
+    Only a local master without the setting (tests, a laptop) gets one under the
+    system temp folder; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="eventide-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
