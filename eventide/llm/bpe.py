@@ -82,7 +82,7 @@ class Vocabulary:
                         break
                 if not got:
                     break
-            if len(self._valid) > 200_000:
+            if len(self._valid) > 100_000:
                 self._valid.clear()
             self._valid[pair] = got
         return got
@@ -130,11 +130,18 @@ def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> list[list[int]]:
     return [[ranks[p]] if p in ranks else PrefixTable(vocab, p).ids() for p in pieces]
 
 
-def encode_batches(ranks_content, pattern: str, col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _vocabulary(content: bytes) -> Vocabulary:
+    return worker_cache("vocab_" + hashlib.md5(content).hexdigest(), lambda: Vocabulary(read_ranks(content)))
+
+
+def task_cache(content: bytes) -> PieceCache:
+    """The pieces of one task; its memory is given back when the task ends."""
+    vocab = _vocabulary(content)
+    return PieceCache(lambda p: encode_pieces(vocab, p), limit=500_000)
+
+
+def encode_batches(cache: PieceCache, pattern: str, col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, offsets by row) of runs of an Arrow column of texts."""
-    key = hashlib.md5(ranks_content).hexdigest()
-    vocab = worker_cache(f"vocab_{key}", lambda: Vocabulary(read_ranks(ranks_content)))
-    cache = worker_cache(f"pieces_{key}", lambda: PieceCache(lambda p: encode_pieces(vocab, p)))
     cut = compiled(pattern)
     for lo, hi, data, off in text_chunks(col):
         yield (lo, hi, *cache.rows(data, off, cut))
@@ -145,8 +152,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     content = _shared(docs, ranks_path)
 
     def run(batches):
+        cache = task_cache(content.value)
         for b in batches:
-            for lo, hi, ids, off in encode_batches(content.value, pattern, b.column(1)):
+            for lo, hi, ids, off in encode_batches(cache, pattern, b.column(1)):
                 lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.record_batch([b.column(0).slice(lo, hi - lo), lists], ["doc_id", "ids"])
 
@@ -159,7 +167,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     content = _shared(encoded, ranks_path)
 
     def run(batches):
-        table = _byte_table(content.value)
+        table = _vocabulary(content.value).bytes_of
         for b in batches:
             out = [b"".join(table[i] for i in ids or ()) for ids in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(out, pa.binary())], ["doc_id", "text_bytes"])
@@ -174,10 +182,10 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     content = _shared(docs, ranks_path)
 
     def run(batches):
-        table = _byte_table(content.value)
-        names = worker_cache("decimals", lambda: [str(i) for i in range(len(table))])
+        table, cache = _vocabulary(content.value).bytes_of, task_cache(content.value)
+        names = worker_cache("decimals", lambda: [str(i) for i in range(1 + max(table))])
         for b in batches:
-            for lo, hi, ids, off in encode_batches(content.value, pattern, b.column(1)):
+            for lo, hi, ids, off in encode_batches(cache, pattern, b.column(1)):
                 ids, off = ids.tolist(), off.tolist()
                 rows = [ids[i:j] for i, j in zip(off, off[1:])]
                 a = [hashlib.sha256(" ".join([names[i] for i in r]).encode()).hexdigest() for r in rows]
@@ -191,16 +199,6 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                              "ids_sha256 string, decoded_sha256 string")
 
 
-def _byte_table(content: bytes) -> list[bytes]:
-    def make():
-        ranks = read_ranks(content)
-        out = [b""] * (max(ranks.values()) + 1)
-        for t, r in ranks.items():
-            out[r] = t
-        return out
-    return worker_cache("bytes_" + hashlib.md5(content).hexdigest(), make)
-
-
 def _shared(df: DataFrame, path: str):
     """The vocabulary file (a few MB at most) as a broadcast, read by the driver."""
     with open(path, "rb") as f:

@@ -30,7 +30,7 @@ from .words import mix, span_hashes, text_chunks
 MIN_RUN = 100
 _GEAR = np.random.default_rng(77).integers(0, 1 << 16, 256, dtype=np.uint16)
 #: Texts whose repeats are settled together before the shuffle, in bytes.
-_RUN_BYTES = 4 << 20
+_RUN_BYTES = 1 << 20
 
 
 def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -48,7 +48,7 @@ def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     # so rows are told apart by leaving the first 16 bytes of a row without borders
     before = np.zeros(n, dtype=np.uint16)
     before[1:] = h[:-1]
-    age = np.arange(n) - np.repeat(off[:-1], np.diff(off))
+    age = np.arange(n, dtype=np.int32) - np.repeat(off[:-1].astype(np.int32), np.diff(off))
     blank = (data == 0x20) | (data == 0x0A) | (data == 0x09) | (data == 0x0D)
     word = np.zeros(n, dtype=bool)
     word[1:] = blank[:-1] & ~blank[1:]

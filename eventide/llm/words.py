@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in runs of about so many bytes (a longer text is its own run).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 #: Bytes of words split at ASCII white space: [^\x20\x09-\x0D].
 SPACE_WORDS = np.ones(256, dtype=bool)
@@ -46,7 +46,7 @@ def _powers(kind: str, base: np.uint64, n: int) -> np.ndarray:
         got = np.full(max(n, 2 * CHUNK_BYTES), base, dtype=np.uint64)
         got[0] = 1
         got = np.cumprod(got, dtype=np.uint64)
-        if n <= 4 * CHUNK_BYTES:
+        if n <= 2 * CHUNK_BYTES:
             _POWERS[kind] = got
     return got[:n]
 
@@ -78,6 +78,7 @@ def text_chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         to = min(max(to, at + 1), n)
         yield at, to, data[off[at]:off[to]], off[at:to + 1] - off[at]
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
