@@ -114,8 +114,8 @@ def valid_only(checked: DataFrame) -> DataFrame:
             .withColumn("timestamp_ms", ts_value(F.col("timestamp_ms").cast("string"))))
 
 
-def validation_errors(checked: DataFrame) -> DataFrame:
-    """One row per broken rule: the validation_errors lane.
+def validation_errors(checked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per broken rule: the validation_errors lane, and the columns ``keep``.
 
     ``explode_outer`` + a null filter above it: a plain ``explode`` makes the
     optimizer infer ``size(errors) > 0`` and push it to the scan, copying the
@@ -123,12 +123,12 @@ def validation_errors(checked: DataFrame) -> DataFrame:
     """
     ts = F.col("timestamp_ms").cast("string")
     return (checked
-            .select("event_id", "user_id", ts_value(ts).alias("timestamp"),
+            .select("event_id", "user_id", ts_value(ts).alias("timestamp"), *keep,
                     F.explode_outer("errors").alias("e"))
             .filter(F.col("e").isNotNull())
             .select("event_id", "user_id", F.col("e.field").alias("field"),
                     F.col("e.value").alias("value"), F.col("e.message").alias("validation_rule"),
-                    "timestamp", F.col("e.rule").alias("rule_no")))
+                    "timestamp", F.col("e.rule").alias("rule_no"), *keep))
 
 
 def field_from_message(msg: Column) -> Column:

@@ -123,15 +123,16 @@ def running_count(events: DataFrame, key: str = "user_id", range_ms: int = 60_00
     (a key holding a third of the data is cut into one piece per range).
     Counts per (key, range) give each piece its offset; the running number is
     then a window partitioned by (key, range) plus that offset, so no single
-    task holds a whole hot key.
+    task holds a whole hot key. Rows with a null key count as one key; null
+    times come first.
     """
-    from .windows import time_bucket  # local import: windows imports nothing from here
+    from .windows import join_null_safe, time_bucket  # local import: windows imports nothing from here
     b = events.withColumn("_rng", time_bucket("timestamp_ms", range_ms))
     sizes = b.groupBy(key, "_rng").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select(key, "_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     w = Window.partitionBy(key, "_rng").orderBy("timestamp_ms", "event_id")
-    return (b.join(offs, [key, "_rng"])
+    return (join_null_safe(b, offs, [key, "_rng"])
              .withColumn("event_count", F.col("_off") + F.row_number().over(w))
              .drop("_rng", "_off"))
 

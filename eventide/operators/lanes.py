@@ -40,25 +40,23 @@ def retry_route(events: DataFrame, failed: Column, key: str = "user_id",
     Skew-safe: rows are cut into fixed event-time ranges (see
     ``features.running_count``); a (key, range) table carries each range's row
     offset and the last success position before it, so the per-row window
-    only spans one (key, range) piece.
+    only spans one (key, range) piece. Rows with a null key are one key; null
+    times come first.
     """
-    from .windows import time_bucket
+    from .windows import join_null_safe, time_bucket
     df = events.withColumn("failed", failed)
     b = df.withColumn("_rng", time_bucket("timestamp_ms", range_ms))
     w = Window.partitionBy(key, "_rng").orderBy("timestamp_ms", "event_id")
     local = (b.withColumn("_lrn", F.row_number().over(w))
               .withColumn("_lok", F.max(F.when(~F.col("failed"), F.col("_lrn"))).over(
                   w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    per = b.groupBy(key, "_rng").agg(F.count(F.lit(1)).alias("_n"),
-                                     F.max(F.when(~F.col("failed"), F.lit(1))).alias("_has_ok"))
+    per = local.groupBy(key, "_rng").agg(F.count(F.lit(1)).alias("_n"), F.max("_lok").alias("_last_local"))
     prior = Window.partitionBy(key).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0)))
-    # the last success of a range sits at its offset + local position; only ranges with a success count
-    last_in = F.when(F.col("_has_ok") == 1, F.col("_off") + F.col("_last_local"))
-    lok_local = (local.groupBy(key, "_rng").agg(F.max("_lok").alias("_last_local")))
-    per = per.join(lok_local, [key, "_rng"])
+    # the last success of a range sits at its offset + local position; null in a range without a success
+    last_in = F.col("_off") + F.col("_last_local")
     per = per.withColumn("_ok_before", F.max(last_in).over(prior)).select(key, "_rng", "_off", "_ok_before")
-    j = local.join(per, [key, "_rng"])
+    j = join_null_safe(local, per, [key, "_rng"])
     rn = F.col("_off") + F.col("_lrn")
     last_ok = F.greatest(F.col("_ok_before"), F.col("_off") + F.col("_lok"))
     k = rn - F.coalesce(last_ok, F.lit(0))

@@ -265,12 +265,14 @@ def rule_inputs(metrics: DataFrame, range_ms: int) -> DataFrame:
 
 def alert_for(cond: DataFrame, step_ms: int, key: list[str], for_ms: Column) -> DataFrame:
     """Islands of consecutive true samples (``step_ms`` apart) per ``key``;
-    an island fires from start + for when it lasts at least that long."""
+    an island fires from start + for when it lasts at least that long. A false
+    or null sample ends an island, however short the time between samples."""
     w = Window.partitionBy(*key).orderBy("ts_ms")
-    t = cond.filter(F.col("cond"))
-    prev = F.lag("ts_ms").over(w)
-    t = t.withColumn("_new", F.when(prev.isNull() | (F.col("ts_ms") - prev > step_ms), 1).otherwise(0))
+    t = cond.withColumn("cond", F.coalesce("cond", F.lit(False)))
+    prev, was = F.lag("ts_ms").over(w), F.lag("cond").over(w)
+    t = t.withColumn("_new", F.when(prev.isNull() | ~was | (F.col("ts_ms") - prev > step_ms), 1).otherwise(0))
     t = t.withColumn("_isl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    t = t.filter(F.col("cond"))
     isl = t.groupBy(*key, "_isl").agg(F.min("ts_ms").alias("start_ms"), F.max("ts_ms").alias("end_ms"),
                                       F.first("_for").alias("_for"))
     return (isl.withColumn("fires_from_ms", F.col("start_ms") + F.col("_for"))
@@ -291,10 +293,13 @@ def alerts(metrics: DataFrame, range_ms: int, step_ms: int = HOUR_MS) -> DataFra
 
 
 def bands(values: DataFrame, metric_col: str = "metric", value_col: str = "value") -> DataFrame:
-    """Band of each panel value: the band of the largest bound <= value
-    (a small fixed table joined on the metric name)."""
+    """Band of each panel value: the band of the largest bound <= value (a
+    small fixed table joined on the metric name). The lowest band has no lower
+    end; a null value or a metric without bands keeps its row with a null band."""
     spark = values.sparkSession
     b = spark.createDataFrame(BANDS, "bmetric string, bound double, band string")
-    j = values.join(F.broadcast(b), F.col(metric_col) == F.col("bmetric")).filter(F.col("bound") <= F.col(value_col))
-    keys = [c for c in values.columns]
-    return j.groupBy(*keys).agg(F.max_by("band", "bound").alias("band"))
+    j = values.join(F.broadcast(b), F.col(metric_col) == F.col("bmetric"), "left")
+    reached = F.max_by(F.when(F.col("bound") <= F.col(value_col), F.col("band")),
+                       F.when(F.col("bound") <= F.col(value_col), F.col("bound")))
+    lowest = F.when(F.col(value_col).isNotNull(), F.min_by("band", "bound"))
+    return j.groupBy(*values.columns).agg(F.coalesce(reached, lowest).alias("band"))

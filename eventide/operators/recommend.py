@@ -22,15 +22,22 @@ def top_items(events: DataFrame, k: int = TOP_K, by: str = "category",
 
 def cold_start(events: DataFrame, as_of_ms: int, k: int = TOP_K, key: str = "user_id") -> DataFrame:
     """Users without any event before ``as_of`` get the top-``k`` items of
-    the category of their first later event, popularity counted before ``as_of``."""
+    the category of their first later event, popularity counted before ``as_of``.
+    A category without earlier events (or null) takes the overall top list."""
     before = events.filter(F.col("timestamp_ms") < as_of_ms)
     after = events.filter(F.col("timestamp_ms") >= as_of_ms)
     cold = after.join(before.select(key).distinct(), key, "left_anti")
     # first later event per user: an aggregate (map-side partial), not a window
     first = cold.groupBy(key).agg(
         F.min_by("category", F.struct("timestamp_ms", "event_id")).alias("category"))
-    top = top_items(before, k)
-    return first.join(top, "category").select(key, "category", "rank", "product_id", "n")
+    top = top_items(before, k).where(F.col("category").isNotNull())
+    most = before.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "product_id").limit(k)
+    overall = most.select(F.lit(None).cast("string").alias("category"), "product_id", "n",
+                          F.row_number().over(Window.orderBy(F.col("n").desc(), "product_id")).alias("rank"))  # k rows
+    lists = top.unionByName(overall).withColumnRenamed("category", "_list")
+    known = top.select("category", F.col("category").alias("_own")).distinct()
+    return (first.join(known, "category", "left").join(lists, F.col("_own").eqNullSafe(F.col("_list")))
+            .select(key, "category", "rank", "product_id", "n"))
 
 
 def ctr(events: DataFrame, by: str = "category") -> DataFrame:
@@ -38,8 +45,7 @@ def ctr(events: DataFrame, by: str = "category") -> DataFrame:
     overall CTR (our definition; the source names only the business goal)."""
     g = events.groupBy(by).agg(F.count_if(F.col("event_type") == "click").alias("clicks"),
                                F.count_if(F.col("event_type") == "view").alias("views"))
-    everything = Window.partitionBy()  # one row per group: a small, bounded table
-    overall = F.sum("clicks").over(everything) / F.sum("views").over(everything)
+    overall = g.agg((F.sum("clicks") / F.sum("views")).alias("overall")).scalar()
     return (g.withColumn("ctr", F.when(F.col("views") > 0, F.col("clicks") / F.col("views")))
              .withColumn("lift", F.col("ctr") / overall))
 

@@ -75,7 +75,7 @@ def next_expiry(events: DataFrame, ttl_ms: int, key: str = "user_id", range_ms:
     is the first event of the key's next non-empty piece, read from a
     (key, piece) table. No window spans a whole key.
     """
-    from .windows import time_bucket
+    from .windows import join_null_safe, time_bucket
     probes = events.select(key, (F.col("timestamp_ms") + ttl_ms).alias("timestamp_ms"),
                            F.col("event_id").alias("src"), F.lit(0).alias("_real"))
     reals = events.select(key, "timestamp_ms", F.lit(None).cast("bigint").alias("src"),
@@ -95,7 +95,7 @@ def next_expiry(events: DataFrame, ttl_ms: int, key: str = "user_id", range_ms:
                  F.when(F.col("_real") == 1, F.struct("timestamp_ms", "_eid"))).alias("_first")))
     later = Window.partitionBy(key).orderBy(F.col("_rng").desc()).rowsBetween(Window.unboundedPreceding, -1)
     nxt_piece = firsts.withColumn("_next", F.last("_first", ignorenulls=True).over(later)).select(key, "_rng", "_next")
-    return (found.filter(F.col("_real") == 0).join(nxt_piece, [key, "_rng"])
+    return (join_null_safe(found.filter(F.col("_real") == 0), nxt_piece, [key, "_rng"])
             .select(F.col("src").alias("event_id"), F.coalesce("_in", "_next").alias("nxt")))
 
 
@@ -110,6 +110,7 @@ def cache_misses(events: DataFrame, ttl_ms: int = CACHE_TTL_MS, key: str = "user
     """
     spark = events.sparkSession
     checkpoint_dir(spark)
+    events = events.where(F.col("timestamp_ms").isNotNull())
     jump = next_expiry(events, ttl_ms, key).filter(F.col("nxt").isNotNull()).checkpoint()
     levels = [jump]
     while True:
@@ -129,10 +130,11 @@ def cache_misses(events: DataFrame, ttl_ms: int = CACHE_TTL_MS, key: str = "user
 
 
 def cache_hits(events: DataFrame, ttl_ms: int = CACHE_TTL_MS, key: str = "user_id") -> DataFrame:
-    """Every event with ``cache_hit``."""
-    misses = cache_misses(events, ttl_ms, key).withColumn("_miss", F.lit(True))
-    return (events.join(misses, "event_id", "left")
-                  .withColumn("cache_hit", F.col("_miss").isNull()).drop("_miss"))
+    """Every event with ``cache_hit``, one row per input row: repeated deliveries of
+    an id share its flag; an event without a time always misses and fills nothing."""
+    misses = cache_misses(events, ttl_ms, key).distinct().withColumn("_miss", F.lit(True))
+    hit = F.col("_miss").isNull() & F.col("timestamp_ms").isNotNull()
+    return events.join(misses, "event_id", "left").withColumn("cache_hit", hit).drop("_miss")
 
 
 def cache_contents(hits: DataFrame, cap: int = CACHE_CAP, key: str = "user_id") -> DataFrame:

@@ -63,11 +63,12 @@ def first_n(df: DataFrame, n: int, order: str = "event_id") -> DataFrame:
     return df.orderBy(order).limit(n)
 
 
-def late_check(sample: DataFrame, late: str = "is_late") -> DataFrame:
-    """Share of late rows in the sample; passes when any late row came through."""
-    return (sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(late)).alias("n_late"))
+def late_check(df: DataFrame, late: str = "is_late") -> DataFrame:
+    """Share of late rows; passes when any late row came through, no verdict
+    (null) without rows."""
+    return (df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(late)).alias("n_late"))
             .withColumn("late_share", F.when(F.col("n") > 0, F.col("n_late") / F.col("n")))
-            .withColumn("passed", F.col("n_late") > 0))
+            .withColumn("passed", F.when(F.col("n") > 0, F.col("n_late") > 0)))
 
 
 def before_after(df: DataFrame, phase: str, v: str = "latency_ms") -> DataFrame:
@@ -100,7 +101,7 @@ def histogram(df: DataFrame, series: str, v: str, bins: int = HIST_BINS) -> Data
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(v) - F.col("lo")) / width), F.lit(bins - 1)))
-    counted = (df.join(F.broadcast(rng), series).withColumn("bin", b.cast("bigint"))
+    counted = (df.join(rng, series).withColumn("bin", b.cast("bigint"))
                .groupBy(series, "bin").agg(F.count(F.lit(1)).alias("n")))
     grid = rng.select(series, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     grid = grid.withColumn("bin", F.col("bin").cast("bigint"))

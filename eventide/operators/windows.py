@@ -22,6 +22,13 @@ def _parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which null keys meet: no row is lost for a null key or time."""
+    names = {k: f"_r_{k}" for k in keys}
+    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
+    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())
+
+
 def order_bucket(df: DataFrame, col: str, n: int | None = None, rel_err: float = 0.001,
                  out: str = "_b") -> DataFrame:
     """Adds ``out``: the deterministic range bucket of ``col`` (number of
@@ -99,7 +106,8 @@ def keyed_order(df: DataFrame, key: str = "user_id", ts: str = "timestamp_ms", g
     :func:`time_bucket`), so a key holding a third of all rows is split into
     one piece per range. One window over (key, range) gives local positions
     and breaks; a (key, range) table gives each range its row offset, the
-    previous range's last ts and the breaks before it.
+    previous range's last ts and the breaks before it. Rows with a null key are
+    one key; a null time comes first in its key, as a session of its own.
     """
     b = df.withColumn("_rng", time_bucket(ts, range_ms))
     w = Window.partitionBy(key, "_rng").orderBy(ts, "event_id")
@@ -128,7 +136,7 @@ def keyed_order(df: DataFrame, key: str = "user_id", ts: str = "timestamp_ms", g
         per = per.withColumn("_fb", fb).withColumn(
             "_boff", F.coalesce(F.sum(F.col("_fb") + F.col("_inner")).over(before), F.lit(0)))
         keep += ["_fb", "_boff"]
-    j = local.join(per.select(*keep), [key, "_rng"])
+    j = join_null_safe(local, per.select(*keep), [key, "_rng"])
     j = (j.withColumn("_pos", F.col("_off") + F.col("_lpos"))
           .withColumn("_prev_ts", F.coalesce(F.col("_lprev"), F.col("_prev_last"))))
     if gap_ms is not None:

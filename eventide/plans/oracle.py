@@ -377,9 +377,10 @@ _SAMPLE = f"smp AS (SELECT * FROM rec ORDER BY event_id LIMIT {P.SAMPLE_N})"
 
 ORACLE["sample_first_n"] = w(EV, MON, _SAMPLE) + "SELECT event_id, user_id, is_late FROM smp"
 
-ORACLE["late_check"] = w(EV, MON, _SAMPLE) + """
+ORACLE["late_check"] = w(EV, MON) + """
 SELECT count(*) AS n, count(*) FILTER (WHERE is_late) AS n_late,
-  round(count(*) FILTER (WHERE is_late) / count(*), 6) AS late_share, count(*) FILTER (WHERE is_late) > 0 AS passed FROM smp"""
+  round(count(*) FILTER (WHERE is_late) / count(*), 6) AS late_share,
+  CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE is_late) > 0 END AS passed FROM rec"""
 
 _LOSS = """loss AS (
   SELECT count(*) AS sent, (SELECT count(DISTINCT event_id) FROM rec) AS received,
@@ -389,10 +390,10 @@ ORACLE["data_loss"] = w(EV, MON, _LOSS) + """
 SELECT sent, received, lost, round((sent - received) * 100.0 / sent, 6) AS loss_pct,
   (sent - received) * 100.0 / sent <= 1.0 AS passed FROM loss"""
 
-ORACLE["verdict"] = w(EV, MON, _SAMPLE, _LOSS, """c AS (
+ORACLE["verdict"] = w(EV, MON, _LOSS, """c AS (
   SELECT (SELECT CASE WHEN count(*) FILTER (WHERE latency_ms > 0) > 0
             THEN quantile_cont(latency_ms, 0.95) FILTER (WHERE latency_ms > 0) < 75 END FROM rec) AS latency_ok,
-         (SELECT count(*) FILTER (WHERE is_late) > 0 FROM smp) AS late_ok,
+         (SELECT CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE is_late) > 0 END FROM rec) AS late_ok,
          (SELECT (sent - received) * 100.0 / sent <= 1.0 FROM loss) AS loss_ok)""") + """
 SELECT latency_ok, late_ok, loss_ok,
   coalesce(latency_ok, true) AND coalesce(late_ok, true) AND coalesce(loss_ok, true) AS overall FROM c"""
@@ -453,8 +454,10 @@ ORACLE["cold_start"] = w(EV, f"""bef AS (SELECT * FROM ev WHERE timestamp_ms < {
                          """pop AS (SELECT category, product_id, count(*) AS n FROM bef GROUP BY category, product_id)""",
                          f"""top AS (SELECT * FROM (SELECT category, product_id, n,
   row_number() OVER (PARTITION BY category ORDER BY n DESC, product_id) AS rank FROM pop)
-  WHERE rank <= {P.TOP_K})""") + """
-SELECT f.user_id, f.category, t.rank, t.product_id, t.n FROM fst f JOIN top t USING (category)"""
+  WHERE rank <= {P.TOP_K} UNION ALL SELECT * FROM (SELECT NULL, product_id, count(*) AS n,
+  row_number() OVER (ORDER BY count(*) DESC, product_id) AS rank FROM bef GROUP BY product_id) WHERE rank <= {P.TOP_K})""") + """
+SELECT f.user_id, f.category, t.rank, t.product_id, t.n FROM fst f
+JOIN top t ON CASE WHEN f.category IN (SELECT category FROM pop) THEN f.category END IS NOT DISTINCT FROM t.category"""
 
 ORACLE["ctr"] = w(EV, """g AS (SELECT category, count(*) FILTER (WHERE event_type = 'click') AS clicks,
   count(*) FILTER (WHERE event_type = 'view') AS views FROM ev GROUP BY category)""") + """
@@ -682,20 +685,22 @@ ORACLE["alerts"] = w(*METRICS, _RULES, """ri AS (
     WHERE metric IN ('dlq_messages_total', 'flink_jobmanager_job_numberOfFailedCheckpoints')
   UNION ALL SELECT 'cpu_busy_pct', 'cpu{instance=' || instance || '}', ts_ms, value FROM cpu
   UNION ALL SELECT 'memory_used_pct', 'memory{instance=' || instance || '}', ts_ms, value FROM mem)""", """ct AS (
-  SELECT r.alert, r.severity, i.series, i.ts_ms, r.for_min FROM ri i JOIN rules r ON i.expr = r.expr
-  WHERE CASE WHEN r.op = '>' THEN i.value > r.bound WHEN r.op = '==' THEN i.value = r.bound ELSE i.value < r.bound END)""",
-                     """isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts_ms - prev > 3600000 THEN 1 ELSE 0 END)
+  SELECT r.alert, r.severity, i.series, i.ts_ms, r.for_min, coalesce(
+    CASE WHEN r.op = '>' THEN i.value > r.bound WHEN r.op = '==' THEN i.value = r.bound ELSE i.value < r.bound END, false) AS c
+  FROM ri i JOIN rules r ON i.expr = r.expr)""",
+                     """isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR NOT was OR ts_ms - prev > 3600000 THEN 1 ELSE 0 END)
   OVER (PARTITION BY alert, severity, series ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k
-  FROM (SELECT *, lag(ts_ms) OVER (PARTITION BY alert, severity, series ORDER BY ts_ms) AS prev FROM ct))""") + """
+  FROM (SELECT *, lag(ts_ms) OVER s AS prev, lag(c) OVER s AS was FROM ct
+        WINDOW s AS (PARTITION BY alert, severity, series ORDER BY ts_ms)))""") + """
 SELECT alert, severity, series, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, min(ts_ms) + any_value(for_min) * 60000 AS fires_from_ms,
-  max(ts_ms) >= min(ts_ms) + any_value(for_min) * 60000 AS fired FROM isl GROUP BY alert, severity, series, k"""
+  max(ts_ms) >= min(ts_ms) + any_value(for_min) * 60000 AS fired FROM isl WHERE c GROUP BY alert, severity, series, k"""
 
-ORACLE["alert_for"] = w(*METRICS, """ct AS (SELECT series, ts_ms FROM metrics WHERE metric = 'ml_inference_latency_p95' AND value > 75.0)""",
-                        """isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts_ms - prev > 3600000 THEN 1 ELSE 0 END)
+ORACLE["alert_for"] = w(*METRICS, """ct AS (SELECT series, ts_ms, value > 75.0 AS c FROM metrics WHERE metric = 'ml_inference_latency_p95')""",
+                        """isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR NOT was OR ts_ms - prev > 3600000 THEN 1 ELSE 0 END)
   OVER (PARTITION BY series ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k
-  FROM (SELECT *, lag(ts_ms) OVER (PARTITION BY series ORDER BY ts_ms) AS prev FROM ct))""") + """
+  FROM (SELECT *, lag(ts_ms) OVER s AS prev, lag(c) OVER s AS was FROM ct WINDOW s AS (PARTITION BY series ORDER BY ts_ms)))""") + """
 SELECT series, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, min(ts_ms) + 300000 AS fires_from_ms,
-  max(ts_ms) >= min(ts_ms) + 300000 AS fired FROM isl GROUP BY series, k"""
+  max(ts_ms) >= min(ts_ms) + 300000 AS fired FROM isl WHERE c GROUP BY series, k"""
 
 ORACLE["m_bands"] = w(*METRICS, """bands AS (SELECT * FROM (VALUES
   ('kafka_consumergroup_lag', 0.0, 'green'), ('kafka_consumergroup_lag', 500.0, 'yellow'), ('kafka_consumergroup_lag', 1000.0, 'red'),
@@ -706,8 +711,9 @@ ORACLE["m_bands"] = w(*METRICS, """bands AS (SELECT * FROM (VALUES
   SELECT metric, series, value FROM lat WHERE metric IN ('kafka_consumergroup_lag', 'ml_inference_latency_p95')
   UNION ALL SELECT 'cpu_busy_pct', 'cpu_busy_pct{instance=' || instance || '}', arg_max(value, ts_ms) FROM cpu GROUP BY instance
   UNION ALL SELECT 'memory_used_pct', 'memory_used_pct{instance=' || instance || '}', arg_max(value, ts_ms) FROM mem GROUP BY instance)""") + """
-SELECT metric, series, round(value, 6) AS value, arg_max(band, bound) AS band
-FROM vals JOIN bands ON metric = bmetric WHERE bound <= value GROUP BY metric, series, value"""
+SELECT metric, series, round(value, 6) AS value, coalesce(arg_max(band, bound) FILTER (WHERE bound <= value),
+  CASE WHEN value IS NOT NULL THEN arg_min(band, bound) END) AS band
+FROM vals LEFT JOIN bands ON metric = bmetric GROUP BY metric, series, value"""
 
 
 ORACLE["src_multi_topic"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
@@ -743,7 +749,7 @@ ORACLE["defaults"] = w(EV, f"upto AS (SELECT * FROM ev WHERE timestamp_ms <= {P.
   LEFT JOIN (SELECT user_id, category FROM hist WHERE pos = 1) h USING (user_id))""") + f"""
 SELECT user_id, last_category, has_history, round(avg_time_category, 6) AS avg_time_category,
   round(click_count, 6) AS click_count, round(purchase_count, 6) AS purchase_count, round(recency, 6) AS recency,
-  round(CASE WHEN has_history THEN {score_sql()} ELSE 0.5 END, 6) AS prediction FROM j"""
+  round({score_sql()}, 6) AS prediction FROM j"""
 
 ORACLE["assemble"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + """
 SELECT event_id, round(avg_time_category, 6) AS f0, round(click_count, 6) AS f1, round(purchase_count, 6) AS f2,
@@ -759,8 +765,8 @@ ORACLE["retry_replay"] = w(EV, retry_cte("ev", "event_type = 'error'")) + """
 SELECT user_id, 'replay_success' AS route, count(*) AS n FROM rt WHERE route = 'retry' GROUP BY user_id"""
 
 
-ORACLE["feature_lookup"] = w(EV, hist_cte("ev", P.DRIFT_SPLIT_MS, 100), feats_cte("hist", P.DRIFT_SPLIT_MS)) + f"""
+ORACLE["feature_lookup"] = w(EV, hist_cte("ev", P.DRIFT_SPLIT_MS, 100), feats_cte("hist", P.DRIFT_SPLIT_MS)) + """
 SELECT e.event_id, e.user_id, f.avg_time_category IS NOT NULL AS has_history,
   round(coalesce(f.avg_time_category, 0.0), 6) AS avg_time_category, round(coalesce(f.click_count, 0.0), 6) AS click_count,
   round(coalesce(f.purchase_count, 0.0), 6) AS purchase_count, round(coalesce(f.recency, 1440.0), 6) AS recency
-FROM ev e LEFT JOIN feats f USING (user_id) WHERE e.timestamp_ms > {P.DRIFT_SPLIT_MS}"""
+FROM ev e LEFT JOIN feats f USING (user_id)"""

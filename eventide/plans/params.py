@@ -8,7 +8,7 @@ operator modules.
 AS_OF_MS = 1706659200000          # 2024-01-31 00:00:00 UTC, end of the test data
 COLD_AS_OF_MS = 1704153600000     # 2024-01-02 00:00:00 UTC
 DRIFT_SPLIT_MS = 1705363200000    # 2024-01-16 00:00:00 UTC: reference before, current after
-CHECK_LIMIT = 20                  # history length in checked queries (default 100)
+CHECK_LIMIT = 100                 # history length, as in production
 CACHE_TTL_MS = 12 * 3600 * 1000   # prediction cache TTL (30 s in production)
 CACHE_CAP = 50                    # cache size (1000 in production)
 SESSION_GAP_MS = 30 * 60 * 1000   # session gap

@@ -279,8 +279,7 @@ def q_event_json(spark, d):
 @query("error_trunc")
 def q_error_trunc(spark, d):
     c = checked(spark, d).withColumn("original_event", LN.event_json())
-    v = (V.validation_errors(c)
-         .join(c.select("event_id", "original_event"), "event_id"))
+    v = V.validation_errors(c, keep=("original_event",))
     text = F.concat(F.col("validation_rule"), F.lit(" in "), F.col("original_event"))
     return v.select("event_id", F.col("rule_no").cast("bigint").alias("rule_no"), LN.error_trunc(text).alias("error"))
 
@@ -429,7 +428,7 @@ def q_sample_first_n(spark, d):
 
 @query("late_check")
 def q_late_check(spark, d):
-    return round_doubles(SL.late_check(_sample(spark, d)))
+    return round_doubles(SL.late_check(D.received(mon(spark, d))))
 
 
 @query("data_loss")
@@ -445,7 +444,7 @@ def q_verdict(spark, d):
     rec = D.received(m)
     sla = SL.latency_sla(rec.withColumn("all", F.lit("all")), ["all"]).select(
         F.lit("latency").alias("check"), F.col("sla_pass").alias("ok"))
-    late = SL.late_check(_sample(spark, d)).select(F.lit("late_data").alias("check"), F.col("passed").alias("ok"))
+    late = SL.late_check(rec).select(F.lit("late_data").alias("check"), F.col("passed").alias("ok"))
     loss = SL.data_loss(m, rec).select(F.lit("loss").alias("check"), F.col("passed").alias("ok"))
     checks = sla.unionByName(late).unionByName(loss)
     return checks.agg(F.max(F.when(F.col("check") == "latency", F.col("ok"))).alias("latency_ok"),
@@ -756,20 +755,19 @@ def q_hist_store(spark, d):
 @query("parse_tolerant")
 def q_parse_tolerant(spark, d):
     """Every 13th stored entry is truncated; malformed entries are skipped."""
-    msgs = ev(spark, d).select("user_id", "event_id", LN.event_json().alias("value"))
+    msgs = ev(spark, d).select(F.col("user_id").alias("owner"), "event_id", LN.event_json().alias("value"))
     msgs = msgs.withColumn("value", F.when(F.col("event_id") % 13 == 0,
                                            F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value")))
-    parsed = parse_events(msgs, "value", keep=["event_id"]).withColumnRenamed("user_id", "parsed_user")
-    j = msgs.select("event_id", "user_id").join(parsed, "event_id")
-    return j.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_messages"),
+    parsed = parse_events(msgs, "value", keep=["owner"])
+    return parsed.groupBy(F.col("owner").alias("user_id")).agg(F.count(F.lit(1)).alias("n_messages"),
                                     F.count_if(F.col("_corrupt_record").isNull()).alias("n_parsed"),
                                     F.count_if(F.col("_corrupt_record").isNotNull()).alias("n_corrupt"))
 
 
 @query("defaults")
 def q_defaults(spark, d):
-    """Cold-start defaults as of the second day: unknown label, default
-    features, fallback score 0.5 for users without history."""
+    """Cold-start defaults as of the second day: unknown label and default
+    features, which are scored like any others, for users without history."""
     e = ev(spark, d)
     upto = e.filter(F.col("timestamp_ms") <= P.COLD_AS_OF_MS)
     hist = FE.history_as_of(upto, P.COLD_AS_OF_MS)
@@ -778,8 +776,7 @@ def q_defaults(spark, d):
     users = e.select("user_id").distinct()
     j = FE.with_defaults(users, feats).join(last_cat, "user_id", "left")
     j = j.withColumn("last_category", F.coalesce("last_category", F.lit(X.UNKNOWN)))
-    j = j.withColumn("prediction", F.when(F.col("has_history"), X.score_linear(*FE.FEATURES))
-                     .otherwise(F.lit(X.FALLBACK_SCORE)))
+    j = j.withColumn("prediction", X.score_linear(*FE.FEATURES))
     return round_doubles(j.select("user_id", "last_category", "has_history", *FE.FEATURES, "prediction"))
 
 
@@ -893,12 +890,11 @@ def q_retry_replay(spark, d):
 
 @query("feature_lookup")
 def q_feature_lookup(spark, d):
-    """Each event of the second half looks up its user's features as of
+    """Each event looks up its user's features as of
     the split (stored history at that time); users without history get the
     cold-start vector. A left join on user_id: the feature side has one row per
     user; a hot user's events are split by AQE's skew-join handling."""
     e = ev(spark, d)
     feats = FE.user_features(FE.history_as_of(e, P.DRIFT_SPLIT_MS), P.DRIFT_SPLIT_MS)
-    later = e.filter(F.col("timestamp_ms") > P.DRIFT_SPLIT_MS).select("event_id", "user_id")
-    j = FE.with_defaults(later, feats)
+    j = FE.with_defaults(e.select("event_id", "user_id"), feats)
     return round_doubles(j.select("event_id", "user_id", "has_history", *FE.FEATURES))
