@@ -219,9 +219,12 @@ def ratio_of_rates(metrics: DataFrame, num: str, den: str, range_ms: int) -> Dat
 
 
 def cpu_busy(metrics: DataFrame, range_ms: int) -> DataFrame:
-    """100 - avg by (instance)(rate(idle seconds)) * 100."""
+    """100 - avg by (instance)(rate(idle seconds)) * 100, from the time on at
+    which a series covers the whole range: before it the counter's rise is partial
+    and an idle host would look busy."""
     idle = metrics.filter((F.col("metric") == "node_cpu_seconds_total") & (F.col("labels")["mode"] == "idle"))
-    r = rate(idle, range_ms)
+    began = F.min("ts_ms").over(Window.partitionBy("series"))
+    r = rate(idle, range_ms).withColumn("_t0", began).where(F.col("ts_ms") - F.col("_t0") >= range_ms)
     return (r.groupBy("ts_ms", F.col("labels")["instance"].alias("instance"))
              .agg((F.lit(100.0) - F.avg("rate") * 100).alias("value")))
 

@@ -215,6 +215,9 @@ def online_cte(src: str, limit: int, name: str = "onl") -> str:
                ROWS BETWEEN {limit - 1} PRECEDING AND CURRENT ROW))"""
 
 
+FAILS = """(value >= 200.0 OR (user_id LIKE '%7' AND timestamp_ms >= 1704844800000 AND timestamp_ms < 1705276800000))"""
+
+
 def retry_cte(src: str, failed: str, name: str = "rt") -> str:
     return f"""{name}_0 AS (
   SELECT *, {failed} AS failed,
@@ -257,7 +260,7 @@ FROM rt WHERE route = 'retry'"""
 _EVENT_JSON = ("json_object('user_id', user_id, 'product_id', product_id, 'category', category, "
                "'event_type', event_type, 'timestamp_ms', timestamp_ms)::VARCHAR")
 
-ORACLE["sink_fanout"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + f"""
+ORACLE["sink_fanout"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + f"""
 SELECT 'success' AS lane, event_id, user_id, 'SUCCESS' AS detail FROM rt WHERE route = 'success'
 UNION ALL SELECT 'validation_errors', event_id, user_id, validation_rule FROM verr
 UNION ALL SELECT 'dlq', event_id, user_id,
@@ -279,7 +282,7 @@ ORACLE["score_fallback"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + f"""
 SELECT event_id, CASE WHEN value >= 200.0 THEN 0.5 ELSE round({score_sql()}, 6) END AS prediction,
   value >= 200.0 AS fallback, CASE WHEN value >= 200.0 THEN 'scoring failed' END AS error FROM onl"""
 
-ORACLE["score_success"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+ORACLE["score_success"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + """
 SELECT event_id, user_id, product_id, timestamp_ms, 'SUCCESS' AS status FROM rt WHERE route = 'success'"""
 
 ORACLE["infer_batches"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + f"""
@@ -431,13 +434,13 @@ SELECT r.phase, CAST(b.bin AS BIGINT) AS bin, round(lo + (hi - lo) / 30 * b.bin,
   round(lo + (hi - lo) / 30 * (b.bin + 1), 6) AS bin_hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM rng r CROSS JOIN range(30) b(bin) LEFT JOIN cnt c ON c.phase = r.phase AND c.bin = b.bin"""
 
-ORACLE["dlq_share"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + f"""
+ORACLE["dlq_share"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + f"""
 SELECT e.day_ms, e.n_messages, coalesce(q.n_dlq, 0) AS n_dlq, round(coalesce(q.n_dlq, 0) / e.n_messages, 6) AS dlq_share
 FROM (SELECT timestamp_ms - timestamp_ms % {P.DAY_MS} AS day_ms, count(*) AS n_messages FROM ev GROUP BY 1) e
 LEFT JOIN (SELECT timestamp_ms - timestamp_ms % {P.DAY_MS} AS day_ms, count(*) AS n_dlq FROM rt WHERE route = 'dlq' GROUP BY 1) q
 USING (day_ms)"""
 
-ORACLE["error_counters"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+ORACLE["error_counters"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + """
 SELECT 'validation_errors_total' AS counter, field AS label_a, validation_rule AS label_b, count(*) AS n FROM verr GROUP BY ALL
 UNION ALL SELECT 'dlq_messages_total', 'ScoringError', NULL, count(*) FROM rt WHERE route = 'dlq' HAVING count(*) > 0"""
 
@@ -561,7 +564,7 @@ SELECT day_ms, round(max(psi), 6) AS drift_score, max(psi) > 0.2 AS alert FROM p
 
 _W = 604800000
 _RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-METRICS = [EV, RAW, CHK, MON, retry_cte("valid", "value >= 200.0"),
+METRICS = [EV, RAW, CHK, MON, retry_cte("valid", FAILS),
            "mh AS (SELECT *, timestamp_ms - timestamp_ms % 3600000 + 3600000 AS ts_ms FROM mon2)",
            "et AS (SELECT event_type, ts_ms, count(*) AS inc FROM mh GROUP BY event_type, ts_ms)",
            """ve AS (SELECT v.field, e.timestamp_ms - e.timestamp_ms % 3600000 + 3600000 AS ts_ms, count(*) AS inc
@@ -613,11 +616,12 @@ METRICS = [EV, RAW, CHK, MON, retry_cte("valid", "value >= 200.0"),
     ELSE value - lag(value) OVER s END AS dlt FROM metrics WINDOW s AS (PARTITION BY series ORDER BY ts_ms))""",
            f"""inc AS (SELECT *, sum(dlt) OVER (PARTITION BY series ORDER BY ts_ms
     RANGE BETWEEN {P.METRIC_RANGE_MS - 1} PRECEDING AND CURRENT ROW) AS increase,
+    min(ts_ms) OVER (PARTITION BY series) AS t0,
     sum(dlt) OVER (PARTITION BY series ORDER BY ts_ms RANGE BETWEEN {P.METRIC_RANGE_MS - 1} PRECEDING AND CURRENT ROW)
       / {P.METRIC_RANGE_MS / 1000.0} AS rate FROM dl)""",
            """lat AS (SELECT metric, series, lab, max(ts_ms) AS ts_ms, arg_max(value, ts_ms) AS value FROM metrics GROUP BY ALL)""",
-           """cpu AS (SELECT ts_ms, lab AS instance, 100.0 - avg(rate) * 100 AS value FROM inc
-  WHERE metric = 'node_cpu_seconds_total' GROUP BY ts_ms, lab)""",
+           f"""cpu AS (SELECT ts_ms, lab AS instance, 100.0 - avg(rate) * 100 AS value FROM inc
+  WHERE metric = 'node_cpu_seconds_total' AND ts_ms - t0 >= {P.METRIC_RANGE_MS} GROUP BY ts_ms, lab)""",
            """mem AS (SELECT ts_ms, lab AS instance,
   (max(value) FILTER (WHERE metric = 'node_memory_MemTotal_bytes') - max(value) FILTER (WHERE metric = 'node_memory_MemAvailable_bytes'))
   / max(value) FILTER (WHERE metric = 'node_memory_MemTotal_bytes') * 100 AS value
@@ -716,13 +720,13 @@ SELECT metric, series, round(value, 6) AS value, coalesce(arg_max(band, bound) F
 FROM vals LEFT JOIN bands ON metric = bmetric GROUP BY metric, series, value"""
 
 
-ORACLE["src_multi_topic"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+ORACLE["src_multi_topic"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + """
 SELECT 'user_events' AS topic, count(*) AS n_messages, count(DISTINCT user_id) AS n_users FROM ev
 UNION ALL SELECT 'ml_predictions_success', count(*), count(DISTINCT user_id) FROM rt WHERE route = 'success'
 UNION ALL SELECT 'validation_errors', count(*), count(DISTINCT user_id) FROM verr
 UNION ALL SELECT 'dlq_fatal_errors', count(*), count(DISTINCT user_id) FROM rt WHERE route = 'dlq' HAVING count(*) > 0"""
 
-ORACLE["route_topic"] = w(EV, RAW, CHK, retry_cte("valid", "value >= 200.0")) + """
+ORACLE["route_topic"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + """
 SELECT 'ml_predictions_success' AS topic, event_id FROM rt WHERE route = 'success'"""
 
 ORACLE["sink_json"] = w(EV) + """

@@ -105,8 +105,8 @@ def mon(spark, d):
 
 @shared_plan
 def fanout(spark, d):
-    """The E3 lanes of the fault-injected raw events (scoring fails when value >= 200)."""
-    return LN.fanout_lanes(raw(spark, d), _out_of_range())
+    """The E3 lanes of the fault-injected raw events (scoring fails as in ``scoring_fails``)."""
+    return LN.fanout_lanes(raw(spark, d), D.scoring_fails())
 
 
 # ---------------------------------------------------------------- flagship

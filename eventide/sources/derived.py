@@ -19,6 +19,16 @@ LATE_MULT = 37
 LOSS_MOD = 97
 # Scoring fails when the model input is out of range (value >= 200).
 FAIL_VALUE = 200.0
+# The model is down for users whose id ends in 7 from 2024-01-10 to 2024-01-15 (UTC, the
+# end excluded): long enough for four failures in a row, so dead letters exist at every scale.
+OUTAGE_USERS, OUTAGE_FROM_MS, OUTAGE_TO_MS = "7", 1704844800000, 1705276800000
+
+
+def scoring_fails(value: str = "value") -> Column:
+    """Input out of range, or an event of the outage; false where a field is null."""
+    ts = F.col("timestamp_ms").cast("string").try_cast("long")
+    down = F.col("user_id").endswith(OUTAGE_USERS) & (ts >= OUTAGE_FROM_MS) & (ts < OUTAGE_TO_MS)
+    return F.coalesce(F.col(value) >= FAIL_VALUE, F.lit(False)) | F.coalesce(down, F.lit(False))
 
 
 def arrival_ms(df: DataFrame) -> Column:

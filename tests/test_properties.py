@@ -45,7 +45,8 @@ def test_retry_route_independent_of_ranges(spark):
 
 def test_lanes_partition_the_input(spark):
     raw = D.raw_events(events_from_tables(spark, SF_SMALL))
-    lanes = LN.fanout_lanes(raw, F.col("value") >= D.FAIL_VALUE)
+    lanes = LN.fanout_lanes(raw, D.scoring_fails())
+    assert all(not lane.isEmpty() for lane in lanes.values())
     routed = {r.event_id for name in ("success", "dlq", "retry") for r in lanes[name].select("event_id").collect()}
     invalid = {r.event_id for r in lanes["validation_errors"].select("event_id").distinct().collect()}
     all_ids = {r.event_id for r in raw.select("event_id").collect()}

@@ -216,15 +216,15 @@ def test_fanout_stream_equals_batch_lanes(spark, scratch):
     src = os.path.join(scratch, "in")
     raw.drop("value", "sent_ms").coalesce(1).write.json(src)
     stream = S.file_events(spark, src, schema=RS)
-    lanes = S.fanout_stream(stream, F.col("amount") >= D.FAIL_VALUE, watermark="1 day")
+    lanes = S.fanout_stream(stream, D.scoring_fails("amount"), watermark="1 day")
     out = os.path.join(scratch, "out")
     S.run_available(lanes, None, os.path.join(scratch, "ck"), foreach=S.idempotent_writer(out))
     got = spark.read.parquet(out)
-    want = LN.fanout_lanes(raw.drop("amount"), F.col("value") >= D.FAIL_VALUE)
+    want = LN.fanout_lanes(raw.drop("amount"), D.scoring_fails())
     for lane, key in (("success", "success"), ("retry", "retry"), ("dlq", "dlq")):
         g = sorted(r.event_id for r in got.filter(F.col("lane") == lane).select("event_id").collect())
         b = sorted(r.event_id for r in want[key].select("event_id").collect())
-        assert g == b, lane
+        assert g == b and g, lane
     g = sorted((r.event_id, r.detail) for r in got.filter(F.col("lane") == "validation_errors").collect())
     b = sorted((r.event_id, r.validation_rule) for r in want["validation_errors"].collect())
     assert g == b

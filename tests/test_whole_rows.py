@@ -75,3 +75,12 @@ def test_cold_start_without_popularity_takes_the_overall_list(spark):
     got = sorted((r.user_id, r["rank"], r.product_id, r.n) for r in RE.cold_start(ev, 50, k=2).collect())
     top = [(1, "product_0", 2), (2, "product_1", 1)]
     assert got == [(u, *t) for u in ("new", "nil", "old") for t in top]
+
+
+def test_idle_host_is_not_busy_at_its_start(spark):
+    rows = [(h * 3_600_000, 3600.0 * h) for h in range(1, 13)]
+    m = spark.createDataFrame(rows, "ts_ms long, value double").select(
+        F.lit("node_cpu_seconds_total").alias("metric"), F.lit("s").alias("series"), "ts_ms", "value",
+        F.create_map(F.lit("mode"), F.lit("idle"), F.lit("instance"), F.lit("a")).alias("labels"))
+    got = MT.cpu_busy(m, 6 * 3_600_000).collect()
+    assert len(got) == 6 and all(abs(r.value) < 1e-9 for r in got)
