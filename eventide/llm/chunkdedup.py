@@ -3,12 +3,14 @@
 A gear rolling hash over the last 16 bytes picks the chunk borders, so a border
 depends only on the bytes just before it and an insertion moves no other one. A
 border falls at one word start in four, and elsewhere at one character in 128.
-Chunks are deduplicated by 64-bit digest: the occurrence with the smallest
-(doc_id, text digest, place) stays. A maximal run of repeated chunks is removed
-if it has at least ``MIN_RUN`` bytes, so short common phrases stay and a chance
-digest match removes nothing by itself.
-
-Repeats within one run of texts are settled there, which thins a chunk that a
+A passage is a sequence of consecutive chunks of at least ``MIN_RUN`` bytes; the
+shortest such sequences from and up to every chunk are deduplicated by 64-bit
+digest of their bytes: the occurrence with the smallest (doc_id, text digest,
+place) stays, and every other one is removed. So what goes stands, in the same
+order and in one place, earlier in the corpus; short common phrases stay, however
+many of them stand side by side.
+
+Repeats within one run of texts are settled there, which thins a passage that a
 third of all documents share before it is shuffled; what is settled goes on
 under a key of its own.
 
@@ -56,52 +58,80 @@ def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero((cut & (age >= 16)) | (age == 0))
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """digest, doc_id, th, k (place of the chunk in its document), sure (an
-    earlier one stands in the same run of texts)."""
+def passages(start: np.ndarray, off: np.ndarray, min_run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Begin byte, end byte, row and place of the shortest sequences of chunks of
+    at least ``min_run`` bytes that begin (place 2 k), or that end (2 k + 1), at
+    chunk k of a row. Every longer sequence is the union of those inside it."""
+    if not len(start):
+        return start, start, start, start
+    end = np.append(start[1:], off[-1])
+    row = np.searchsorted(off, start, side="right") - 1
+    k = np.arange(len(start)) - np.searchsorted(start, off[row])
+    last = np.searchsorted(end, start + min_run)
+    ahead = start + min_run <= off[row + 1]
+    first = np.searchsorted(start, end - min_run, side="right") - 1
+    back = (end - min_run >= off[row]) & (last[first] != np.arange(len(start)))  # not yet among those ahead
+    return (np.concatenate((start[ahead], start[first[back]])), np.concatenate((end[last[ahead]], end[back])),
+            np.concatenate((row[ahead], row[back])), np.concatenate((2 * k[ahead], 2 * k[back] + 1)))
+
+
+def _thinned(begin: np.ndarray, end: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Places in the arrays of fewer spans that cover the same bytes of each row."""
+    at = np.lexsort((end, begin, row))
+    for _ in range(4):
+        drop = np.zeros(len(at), dtype=bool)
+        x, y = at[:-2], at[2:]  # both neighbours stay and leave no gap
+        drop[1:-1] = (row[x] == row[y]) & (begin[y] <= end[x]) & (end[at[1:-1]] <= end[y])
+        drop[::2] = False
+        at = at[~drop]
+    return at
+
+
+def _places(docs: DataFrame, min_run: int) -> DataFrame:
+    """digest, doc_id, at of every passage; at is the text digest in the upper half,
+    then twice the place, plus one if an earlier one stands in the same run of texts."""
     def run(batches):
         for b in batches:
             ids = b.column(0)
             # null ids first, in the order that Spark sorts by
             name = np.array([-(1 << 63) if x is None else x for x in ids.to_pylist()], dtype=np.int64)
-            th = np.asarray(b.column(1))
+            th = np.asarray(b.column(1)).astype(np.int64)
             for lo, hi, data, off in text_chunks(b.column(2), _RUN_BYTES):
-                start = chunk_starts(data, off)
-                if not len(start):
+                begin, end, row, place = passages(chunk_starts(data, off), off, min_run)
+                if not len(begin):
                     continue
-                digest = span_hashes(data, start, np.append(start[1:], len(data)))
-                row = np.searchsorted(off, start, side="right") - 1
-                first = np.searchsorted(start, off[row])
-                k = np.arange(len(start)) - first
-                at = lo + row
-                order = np.lexsort((k, th[at], name[at], digest))
+                digest = span_hashes(data, begin, end)
+                at = (th[lo + row] << 32) | (place << 1)
+                doc = name[lo + row]
+                order = np.lexsort((at, doc, digest))
                 d = digest[order]
                 lead = np.ones(len(d), dtype=bool)
                 lead[1:] = d[1:] != d[:-1]
                 head = order[np.maximum.accumulate(np.where(lead, np.arange(len(d)), 0))]
                 sure = np.zeros(len(d), dtype=bool)
-                sure[order] = (name[at[order]] != name[at[head]]) | (th[at[order]] != th[at[head]]) | (k[order] != k[head])
-                own = mix(digest + (at.astype(np.uint64) << np.uint64(32)) + k.astype(np.uint64))
+                sure[order] = (doc[order] != doc[head]) | (at[order] != at[head])
+                settled = np.flatnonzero(sure)
+                settled = settled[_thinned(begin[settled], end[settled], row[settled])]
+                new = np.flatnonzero(~sure)
+                own = mix(digest[settled] + mix(at[settled].view(np.uint64) + row[settled].astype(np.uint64)))
+                to = np.concatenate((new, settled))
                 yield pa.record_batch(
-                    [pa.array(np.where(sure, own, digest).view(np.int64)), ids.take(pa.array(at)),
-                     pa.array(th[at]), pa.array(k.astype(np.int32)), pa.array(sure)],
-                    ["digest", "doc_id", "th", "k", "sure"])
+                    [pa.array(np.concatenate((digest[new], own)).view(np.int64)), ids.take(pa.array(lo + row[to])),
+                     pa.array(np.concatenate((at[new], at[settled] | 1)))], ["digest", "doc_id", "at"])
 
-    return docs.select("doc_id", "th", "text").mapInArrow(
-        run, "digest long, doc_id long, th int, k int, sure boolean")
+    return docs.select("doc_id", "th", "text").mapInArrow(run, "digest long, doc_id long, at long")
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, th, ks: places of the chunks that stand earlier in the corpus, for
+def repeated_passages(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+    """doc_id, th, places of the passages that stand earlier in the corpus, for
     documents that have any (docs: doc_id, th, text)."""
-    place = F.struct("doc_id", "th", "k")
-    first = F.first(place).over(Window.partitionBy("digest").orderBy("sure", "doc_id", "th", "k"))
-    rows = _chunks(docs).withColumn("first", first)
-    same = (F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.th") == F.col("th"))
-            & (F.col("first.k") == F.col("k")))
-    # a document's own chunks: bounded by its length
-    return (rows.where(F.col("sure") | ~same).groupBy("doc_id", "th")
-            .agg(F.array_sort(F.collect_set("k")).alias("ks")))
+    # equal rows have equal rank: one document, treated alike
+    again = F.rank().over(Window.partitionBy("digest").orderBy("doc_id", "at")) > 1
+    rows = _places(docs, min_run).withColumn("again", again).where("again or at & 1 = 1")
+    place = F.shiftright(F.col("at").bitwiseAND(0xFFFFFFFF), 1).cast("int")
+    # a document's own passages: bounded by its length
+    return (rows.groupBy("doc_id", F.shiftright("at", 32).cast("int").alias("th"))
+            .agg(F.collect_set(place).alias("places")))
 
 
 def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
@@ -111,7 +141,8 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                        others.alias("doc")).withColumn("th", F.hash("text"))
-    r = repeated_chunks(base.drop("doc")).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "ks")
+    r = (repeated_passages(base.drop("doc"), min_run)
+         .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "places"))
     both = base.join(r, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
     span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
@@ -119,7 +150,7 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         for b in batches:
             marked = b.column(2).to_pylist()
             for lo, hi, data, off in text_chunks(b.column(1)):
-                out = [_without_runs(data[i:j], m, min_run) for i, j, m in zip(off, off[1:], marked[lo:hi])]
+                out = [_without_spans(data[i:j], m, min_run) for i, j, m in zip(off, off[1:], marked[lo:hi])]
                 yield pa.record_batch(
                     [b.column(0).slice(lo, hi - lo), pa.array([t for t, _ in out], pa.string()),
                      pa.array(np.diff(off)), pa.array([sum(y - x for x, y in s) for _, s in out], pa.int64()),
@@ -127,21 +158,22 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     ["doc", "text", "n_bytes", "n_removed", "spans"])
 
     shape = both.schema["doc"].dataType.simpleString()
-    return both.select("doc", "text", "ks").mapInArrow(
+    return both.select("doc", "text", "places").mapInArrow(
         run, f"doc {shape}, text string, n_bytes long, n_removed long, spans array<struct<begin:int,end:int>>")
 
 
-def _without_runs(row: np.ndarray, ks: list[int] | None, min_run: int) -> tuple[str, list[tuple[int, int]]]:
-    """A text's bytes without the long runs of the chunks ks, and the runs."""
-    if not ks:
+def _without_spans(row: np.ndarray, places: list[int] | None, min_run: int) -> tuple[str, list[tuple[int, int]]]:
+    """A text's bytes without the passages at places, and the spans they cover."""
+    if not places:
         return row.tobytes().decode(), []
-    start = chunk_starts(row, np.array([0, len(row)]))
-    end = np.append(start[1:], len(row))
-    flag = np.zeros(len(start) + 2, dtype=np.int8)
-    flag[1 + np.array(ks)] = 1
-    step = np.diff(flag)
-    begin, stop = start[np.flatnonzero(step == 1)], end[np.flatnonzero(step == -1) - 1]
-    spans = [(int(x), int(y)) for x, y in zip(begin, stop) if y - x >= min_run]
+    off = np.array([0, len(row)])
+    begin, end, _, place = passages(chunk_starts(row, off), off, min_run)
+    gone = np.isin(place, np.array(places))
+    begin, end = begin[gone], end[gone]
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], np.maximum.accumulate(end[order])
+    gap = np.flatnonzero(begin[1:] > end[:-1])
+    spans = list(zip(begin[np.append(0, gap + 1)].tolist(), end[np.append(gap, len(end) - 1)].tolist()))
     keep = np.ones(len(row), dtype=bool)
     for x, y in spans:
         keep[x:y] = False
