@@ -2,7 +2,9 @@
 
 A gear rolling hash over the last 16 bytes picks the chunk borders, so a border
 depends only on the bytes just before it and an insertion moves no other one. A
-border falls at one word start in four, and elsewhere at one character in 128.
+border falls at one word start in four, and elsewhere at one character in 128, or
+after 16 bytes without a blank (Chinese, Japanese, Thai, long encoded strings) at
+one in eight of three bytes, so that borders stand as close as in spaced text.
 A passage is a sequence of consecutive chunks of at least ``MIN_RUN`` bytes; the
 shortest such sequences from and up to every chunk are deduplicated by 64-bit
 digest of their bytes: the occurrence with the smallest (doc_id, text digest,
@@ -31,6 +33,10 @@ from .words import mix, span_hashes, text_chunks
 
 MIN_RUN = 100
 _GEAR = np.random.default_rng(77).integers(0, 1 << 16, 256, dtype=np.uint16)
+#: Hashes that make a border in stretches without blanks, by first byte of a character: one border in 24 bytes.
+_DENSE = np.zeros(256, dtype=np.uint16)
+for _lo, _hi, _size in ((0x00, 0x80, 1), (0xC0, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0x100, 4)):
+    _DENSE[_lo:_hi] = (_size << 16) // 24
 #: Texts whose repeats are settled together before the shuffle, in bytes.
 _RUN_BYTES = 1 << 20
 
@@ -55,6 +61,11 @@ def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     word = np.zeros(n, dtype=bool)
     word[1:] = blank[:-1] & ~blank[1:]
     cut = (word & (before >> 14 == 0)) | ((before >> 9 == 1) & ((data & 0xC0) != 0x80))
+    place = np.arange(n, dtype=np.int32)
+    near = np.maximum.accumulate(np.where(blank, place, np.int32(-17)))
+    dense = place - near > 16  # this byte and the 16 before it; one byte over and over has no borders
+    dense[1:] &= data[1:] != data[:-1]
+    cut |= dense & (before < _DENSE[data])
     return np.flatnonzero((cut & (age >= 16)) | (age == 0))
 
 
