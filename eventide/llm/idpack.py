@@ -153,12 +153,37 @@ def _encoder(content: bytes):
     return worker_cache("library_" + hashlib.md5(content).hexdigest(), make)
 
 
-def write_shards(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, out_dir: str | None = None) -> tuple[str, DataFrame]:
+def _as_loaded(content: bytes):
+    def make():
+        from tokenizers import Tokenizer
+        return Tokenizer.from_str(content.decode())
+    return worker_cache("loaded_" + hashlib.md5(content).hexdigest(), make)
+
+
+def rows_with(data: np.ndarray, off: np.ndarray, strings: list[bytes]) -> set[int]:
+    """The rows that hold any of the strings."""
+    raw, out = data.tobytes(), set()
+    for s in strings:
+        at = raw.find(s)
+        while at >= 0:
+            row = int(np.searchsorted(off, at, side="right")) - 1
+            if at + len(s) <= off[row + 1]:
+                out.add(row)
+                at = raw.find(s, int(off[row + 1]))
+            else:  # from one row into the next
+                at = raw.find(s, at + 1)
+    return out
+
+
+def write_shards(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, out_dir: str | None = None,
+                 special_as_text: bool = True) -> tuple[str, DataFrame]:
     """Encode every text with the tokenizers library, append ``end_id`` and write
     one packed shard a range of doc_ids, in ascending order.
 
     The texts are cut with ``pattern``, the byte-level pre-tokenisation, and the
-    library encodes each distinct piece once a worker. Returns the folder and
+    library encodes each distinct piece once a worker. Strings of added tokens are
+    ordinary text; without ``special_as_text`` they are what the tokenizer as loaded
+    makes of them: a text that holds one goes to it whole. Returns the folder and
     the manifest (shard, n_ids, n_docs, first_id), one row a shard.
     """
     import json
@@ -170,6 +195,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int
     made = json.loads(content)
     bits = bits_for(max([*made["model"]["vocab"].values(), *(t["id"] for t in made["added_tokens"]), end_id]) + 1)
     shared = spark.sparkContext.broadcast(content)
+    added = [] if special_as_text else [t["content"].encode() for t in made["added_tokens"] if t["content"]]
 
     def run(batches):
         import os
@@ -180,8 +206,13 @@ def write_shards(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int
             for lo, hi, data, off in text_chunks(b.column(1)):
                 writer = writer or ShardWriter(f"{out_dir}/shard-{shard:06d}.ids", bits)
                 ids, at = cache.rows(data, off, cut)
+                whole = rows_with(data, off, added)
                 for k, name in enumerate(b.column(0).slice(lo, hi - lo).to_pylist()):
-                    writer.add(name, np.concatenate((ids[at[k]:at[k + 1]], end)))
+                    own = ids[at[k]:at[k + 1]]
+                    if k in whole:
+                        text = data[off[k]:off[k + 1]].tobytes().decode()
+                        own = np.array(_as_loaded(shared.value).encode(text, add_special_tokens=False).ids, np.uint32)
+                    writer.add(name, np.concatenate((own, end)))
         if writer:
             writer.close()
             yield pa.record_batch([pa.array([x], pa.int64()) for x in (shard, writer.starts[-1], len(writer.names))],

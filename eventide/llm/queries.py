@@ -20,7 +20,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_idpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_dir, manifest = idpack.write_shards(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
-                                            public_tokenizers.PATTERN, end_id=2)
+                                            public_tokenizers.PATTERN, end_id=2, special_as_text=False)
     return idpack.read_documents(spark, out_dir, manifest)
 
 
