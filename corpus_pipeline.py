@@ -17,11 +17,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component. Rows that repeat an
-    id stay or go together; rows without an id have no group and stay."""
-    gone = (jaccard.jaccard_components(docs).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each component: the smallest id, rows without an id last, then
+    the smallest text hash. Rows are told apart by a key of their own, so rows that
+    repeat an id, or have none, count one by one; empty texts have no group and stay."""
+    # written, so that every later read sees the same keys
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = (jaccard.jaccard_components(keyed.select(F.col("_row").alias("doc_id"), "text"))
+              .select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
+    least = keyed.select("_row", rank.alias("_rank")).join(groups, "_row").groupBy("_group").agg(F.min("_rank").alias("_rank"))
+    return keyed.join(least.select(F.col("_rank._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
