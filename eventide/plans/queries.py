@@ -863,14 +863,23 @@ def q_watermark(spark, d):
     return out.groupBy("user_id").agg(F.max("event_count").alias("event_count"))
 
 
+#: User and time of the row that ends a bounded retry run (2100-01-01).
+_END, _END_MS = "\x00end", "4102444800000"
+
+
 def _retry_run(spark, d):
     base = _stream_dir(spark, "retry")
     src = _event_files(spark, d, base)
     s = ST.with_event_time(ST.file_events(spark, src, fmt="parquet"))
     s = s.withColumn("timestamp_ms", F.col("timestamp_ms").cast("bigint")).withColumn(
         "failed", F.col("event_type") == "error")
-    ST.run_available(ST.retry_stream(s), f"{base}/out", f"{base}/ck")
-    return spark.read.parquet(f"{base}/out")
+    routed = ST.retry_stream(s)
+    ST.run_available(routed, f"{base}/out", f"{base}/ck")
+    # the run is bounded: a last row of no user, far ahead, lets the watermark pass every pending timer
+    end = spark.range(1).select(F.lit(_END).alias("user_id"), F.lit(_END_MS).alias("timestamp_ms"))
+    end.write.mode("append").parquet(src)
+    ST.run_available(routed, f"{base}/out", f"{base}/ck")
+    return spark.read.parquet(f"{base}/out").where(~F.col("user_id").eqNullSafe(F.lit(_END)))
 
 
 @query("retry_state")
