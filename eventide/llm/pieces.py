@@ -91,12 +91,13 @@ def piece_starts(data: np.ndarray, off: np.ndarray, pattern: regex.Pattern) -> n
 
 class PieceCache:
     """Ids of pieces, looked up by the piece's 64-bit hash and filled by
-    ``encode(list of pieces as bytes) -> list of id lists``. Held in arrays of
-    about 35 bytes a piece and emptied at ``limit`` pieces, so memory is bounded
-    whatever the vocabulary."""
+    ``encode(list of pieces as bytes) -> list of id lists``. The bytes of every hit
+    are compared with those held, so the ids are right whatever the hash. Held in
+    arrays of about 45 bytes a piece and emptied at ``limit`` pieces or ``limit_bytes``
+    of them, so memory is bounded whatever the vocabulary."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = 1_000_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = 1_000_000, limit_bytes: int = 1 << 25):
+        self.encode, self.limit, self.limit_bytes = encode, limit, limit_bytes
         self.clear()
 
     def clear(self) -> None:
@@ -105,25 +106,51 @@ class PieceCache:
         self.size = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
+        self.text_at = np.zeros(0, dtype=np.int64)
+        self.text_size = np.zeros(0, dtype=np.int64)
+        self.text = np.zeros(1 << 18, dtype=np.uint8)
+        self.text_used = 0
 
     def _add(self, at: np.ndarray, keys: np.ndarray, pieces: list[bytes]) -> None:
         made = self.encode(pieces)
         size = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
         flat = np.fromiter((i for ids in made for i in ids), dtype=np.uint32, count=int(size.sum()))
+        text_size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        text = np.frombuffer(b"".join(pieces), np.uint8)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        while self.text_used + len(text) > len(self.text):
+            self.text = np.concatenate((self.text, np.zeros_like(self.text)))
         self.ids[self.used:self.used + len(flat)] = flat
+        self.text[self.text_used:self.text_used + len(text)] = text
         self.first = np.insert(self.first, at, self.used + np.cumsum(size) - size)
         self.size = np.insert(self.size, at, size)
+        self.text_at = np.insert(self.text_at, at, self.text_used + np.cumsum(text_size) - text_size)
+        self.text_size = np.insert(self.text_size, at, text_size)
         self.keys = np.insert(self.keys, at, keys)
         self.used += len(flat)
+        self.text_used += len(text)
+
+    def _same(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> bool:
+        """Whether each piece has the bytes held at its place (the pieces cover data)."""
+        size = end - start
+        if (self.text_size[at] != size).any():
+            return False
+        return bool((self.text[np.repeat(self.text_at[at] - start, size) + np.arange(len(data))] == data).all())
+
+    def _uncached(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids by piece) without hashes, for a run in which two pieces share one."""
+        pieces = [data[i:j].tobytes() for i, j in zip(start.tolist(), end.tolist(), strict=True)]
+        distinct = list(dict.fromkeys(pieces))
+        made = {p: np.array(ids, np.uint32) for p, ids in zip(distinct, self.encode(distinct), strict=True)}
+        return np.concatenate([made[p] for p in pieces]), np.array([len(made[p]) for p in pieces])
 
     def rows(self, data: np.ndarray, off: np.ndarray, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, id offsets by row) of a run of texts."""
         start = piece_starts(data, off, pattern)
         end = np.append(start[1:], len(data))
         keys, first, which = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.limit:
+        if len(self.keys) + len(keys) > self.limit or self.text_used > self.limit_bytes:
             self.clear()
         at = np.searchsorted(self.keys, keys)
         new = np.ones(len(keys), dtype=bool)
@@ -133,10 +160,14 @@ class PieceCache:
             self._add(at[new], keys[new], [data[start[i]:end[i]].tobytes() for i in first[new].tolist()])
             at = np.searchsorted(self.keys, keys)
         at = at[which]
-        size = self.size[at]
-        to = np.cumsum(size)
-        total = int(to[-1]) if len(to) else 0
-        ids = self.ids[np.repeat(self.first[at] - (to - size), size) + np.arange(total)]
+        if self._same(data, start, end, at):
+            size = self.size[at]
+            to = np.cumsum(size)
+            total = int(to[-1]) if len(to) else 0
+            ids = self.ids[np.repeat(self.first[at] - (to - size), size) + np.arange(total)]
+        else:
+            ids, size = self._uncached(data, start, end)
+            to = np.cumsum(size)
         row = np.searchsorted(start, off)
         return ids, np.concatenate(([0], to))[row]
 

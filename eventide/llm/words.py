@@ -27,10 +27,13 @@ for _lo, _hi in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE = np.random.default_rng(20240).integers(1, 1 << 63, 256, dtype=np.uint64)
-_POWERS: dict[str, np.ndarray] = {}
+#: Word, piece and passage hashes are two polynomials over the bytes modulo the prime
+#: 2^31 - 1, with different bases. A prime has none of the structured collisions
+#: (Thue-Morse strings and the like) of arithmetic modulo a power of two.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_432_908_761, 776_531_401)
+_BYTE = [np.random.default_rng(seed).integers(1, int(_PRIME), 256, dtype=np.uint64) for seed in (20240, 20241)]
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,14 +43,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(kind: str, base: np.uint64, n: int) -> np.ndarray:
-    got = _POWERS.get(kind)
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """x mod 2^31 - 1 for x below 2^62."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base^0 ... base^(n - 1) modulo the prime; kept up to the usual size."""
+    got = _POWERS.get(base)
     if got is None or len(got) < n:
-        got = np.full(max(n, 2 * CHUNK_BYTES), base, dtype=np.uint64)
-        got[0] = 1
-        got = np.cumprod(got, dtype=np.uint64)
+        got = np.ones(1, dtype=np.uint64)
+        while len(got) < max(n, 2 * CHUNK_BYTES):
+            got = np.concatenate((got, _modulo(got * np.uint64(pow(base, len(got), int(_PRIME))))))
         if n <= 2 * CHUNK_BYTES:
-            _POWERS[kind] = got
+            _POWERS[base] = got
     return got[:n]
 
 
@@ -56,9 +66,36 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     n = len(data)
     if n == 0 or len(start) == 0:
         return np.zeros(len(start), dtype=np.uint64)
-    h = np.cumsum(_BYTE[data] * _powers("up", _BASE, n), dtype=np.uint64)
-    lower = np.where(start > 0, h[start - 1], np.uint64(0))
-    return mix((h[end - 1] - lower) * _powers("down", _INVERSE, n)[start] + (end - start).astype(np.uint64))
+    out = (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    last = end - 1
+    for k, base in enumerate(_BASES):
+        up = _sums(_BYTE[k], data, _powers(base, n))
+        # a span's sum, moved down to place 0 by the inverse power of its start
+        part = up[last] - up[start]
+        part += _BYTE[k][data[start]] * _powers(base, n)[start] % _PRIME
+        part = _modulo(_modulo(part) * _powers(pow(base, -1, int(_PRIME)), n)[start])
+        out ^= part << np.uint64(33 * k)
+    return mix(out)
+
+
+def _sums(value: np.ndarray, data: np.ndarray, powers: np.ndarray, block: int = 1 << 13) -> np.ndarray:
+    """Running sums of value[byte] * power modulo the prime, block by block so that
+    the steps stay in the processor's cache (below 2^32 a byte, so no sum overflows)."""
+    up = np.empty(len(data), dtype=np.uint64)
+    high = np.empty(block, dtype=np.uint64)
+    carry = np.uint64(0)
+    for lo in range(0, len(data), block):
+        t = up[lo:lo + block]
+        h = high[:len(t)]
+        np.take(value, data[lo:lo + block], out=t, mode="clip")
+        t *= powers[lo:lo + block]
+        np.right_shift(t, np.uint64(31), out=h)
+        t &= _PRIME
+        t += h
+        t[0] += carry
+        np.cumsum(t, out=t)
+        carry = t[-1]
+    return up
 
 
 def text_chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
