@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,13 +39,52 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Paths that the open scope removes at its end, then those of the scopes around it.
+_OPEN: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("open_scopes", default=())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, whatever the file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes inside are removed at the end, but for those
+    that outlive it: they belong to the scope around, or to the caller. An operator
+    whose steps are tables stores its output so and leaves nothing else behind."""
+    held: list[str] = []
+    token = _OPEN.set((held, *_OPEN.get()))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in held:
+            remove(spark, path)
+
+
+def stored(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the
     lineage, and survives the loss of any executor."""
     spark = df.sparkSession
     path = fresh_dir(spark, name)
+    owner = _OPEN.get()[1:] if outlives else _OPEN.get()
+    if owner:
+        owner[0].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``stored`` returned, once nothing reads it any more."""
+    path = df._stored_at
+    for held in _OPEN.get():
+        if path in held:
+            held.remove(path)
+    remove(df.sparkSession, path)
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
