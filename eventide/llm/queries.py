@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, chunkdedup, crosstoken, decontam, idpack, jaccard, licenses, quality, repetition, toxicity, whitening
+from . import bpe, chat, chunkdedup, crosstoken, decontam, htmltext, idpack, jaccard, licenses, quality, repetition, toxicity, whitening
 from .runtime import documents
 
 
@@ -73,9 +73,13 @@ def op12_crosstoken(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_idpack, op3_jaccard, op4_chunkdedup, op5_quality, op6_bpe, op7_chat,
                                    op8_repetition, op9_decontam, op10_licenses, op11_whitening,
-                                   op12_crosstoken)}
+                                   op12_crosstoken, op13_htmltext)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
