@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import stored
+from .runtime import discard, stored
 
 
 def _least(edges: DataFrame, name: str) -> DataFrame:
@@ -37,11 +37,12 @@ def _print(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, root (smallest node of its component) of the nodes that have edges
     (u, v). Only sums reach the driver; each round is written to the shared
-    folder. The number of rounds is logarithmic in the longest path."""
+    folder, and the one before it removed. The number of rounds is logarithmic in the longest path."""
     now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
     mark = _print(now)
     while mark[0]:
-        now = stored(_small_star(_large_star(now)), "edges")
+        before, now = now, stored(_small_star(_large_star(now)), "edges")
+        discard(before)
         new = _print(now)
         if new == mark:
             break

@@ -20,8 +20,9 @@ Sets are named by 64-bit digests of 64-bit shingle hashes.
 
 Defined results: null or empty text (and text without words) has size 0, links
 with nothing and is its own component; repeated rows link like any equal texts;
-null ids count for no component's smallest id (null if it has no other); other
-columns are not read.
+null ids count for no component's smallest id (null if it has no other); an empty
+table gives no rows; other columns are not read. A text is held in memory some
+60 times over while it is cut into words, however long it is.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .components import connected_components
-from .runtime import stored, texts_of
+from .runtime import scope, stored, texts_of
 from .words import LOWER, SPACE_WORDS, mix, shingle_hashes, span_hashes, text_chunks, word_spans
 
 #: Buckets of the count sketch (2 ** 18 counts of 8 bytes are 2 MB, whatever the corpus).
@@ -75,6 +77,8 @@ def _survey(docs: DataFrame, k: int, bits: int) -> DataFrame:
     texts for each set), and rows (part, counts) of the sketch: one set a task."""
     part = 1 << min(14, bits)
     columns = ["doc_id", "n", "cls", "bits", "part", "counts"]
+    id_type = docs.schema["doc_id"].dataType
+    id_arrow = to_arrow_type(id_type)
 
     def run(batches):
         counts = np.zeros(1 << bits, dtype=np.uint32)
@@ -92,10 +96,10 @@ def _survey(docs: DataFrame, k: int, bits: int) -> DataFrame:
         if counts.any():
             cut = counts.reshape(-1, part)
             m = len(cut)
-            yield pa.record_batch([nothing(m, pa.int64()), nothing(m, pa.int32()), nothing(m, pa.int64()), nothing(m, pa.binary()),
+            yield pa.record_batch([nothing(m, id_arrow), nothing(m, pa.int32()), nothing(m, pa.int64()), nothing(m, pa.binary()),
                                    pa.array(np.arange(m, dtype=np.int32)), pa.array([c.tobytes() for c in cut], pa.binary())], columns)
 
-    return docs.mapInArrow(run, "doc_id long, n int, cls long, bits binary, part int, counts binary")
+    return docs.mapInArrow(run, f"doc_id {id_type.simpleString()}, n int, cls long, bits binary, part int, counts binary")
 
 
 def _sketch(survey: DataFrame, bits: int) -> np.ndarray:
@@ -346,10 +350,15 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id (smallest doc_id that
-    links reach)."""
-    sc = docs.sparkSession.sparkContext
-    base = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """One row a document: doc_id (of any type with an order), n_shingles,
+    component_id (smallest doc_id that links reach). The tables of the steps are
+    removed once the result is stored."""
+    with scope(docs.sparkSession):
+        return stored(_components(texts_of(docs), k, sketch_bits), "components", outlives=True)
+
+
+def _components(base: DataFrame, k: int, sketch_bits: int) -> DataFrame:
+    sc = base.sparkSession.sparkContext
     survey = stored(_survey(base, k, sketch_bits), "survey")
     rows = survey.where("part is null").select("doc_id", "n", "cls")
     classes = survey.where("bits is not null").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))

@@ -182,29 +182,12 @@ def test_chunks_resist_shifts():
     assert (s[len(half):] - len(text)).tolist() == half.tolist()
 
 
-def brute_op4(rows):
-    """Removed bytes of each (doc_id, text), chunk by chunk."""
-    seen, out = {}, {}
-    docs = sorted({(d, t or "") for d, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
-    for d, t in docs:
-        raw = t.encode()
-        s = chunkdedup.chunk_starts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).tolist()
-        run, total = 0, 0
-        for k, (a, b) in enumerate(zip(s, [*s[1:], len(raw)])):
-            again = seen.setdefault(raw[a:b], (d, k)) != (d, k)
-            if again:
-                run += b - a
-            if not again or k == len(s) - 1:
-                total += run if run >= chunkdedup.MIN_RUN else 0
-                run = 0
-        out[d] = total
-    return out
-
-
 def test_op4_whole_table(spark, sf, texts):
-    want = {d: n for d, n in brute_op4(texts.items()).items() if n}
-    got = {r["doc_id"]: r["n_removed"] for r in op4_chunkdedup(spark, sf).collect()}
-    assert got == want and want
+    from .test_passages import brute
+    want = brute([(d, t or "") for d, t in texts.items()])
+    got = {r["doc_id"]: r for r in op4_chunkdedup(spark, sf).collect()}
+    assert {d: [tuple(x) for x in r["spans"]] for d, r in got.items()} == want and any(want.values())
+    assert all(r["n_removed"] == sum(y - x for x, y in want[d]) and r["n_spans"] == len(want[d]) for d, r in got.items())
 
 
 def test_op4_edges(edge, nothing):
@@ -223,6 +206,7 @@ def test_op4_edges(edge, nothing):
 
 def test_pipeline_stage_by_stage(spark, sf, texts):
     """Every stage against brute force on its own input."""
+    from .test_passages import brute
     from .test_text_rules import rules, scan
     import pyarrow.parquet as pq
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -236,7 +220,7 @@ def test_pipeline_stage_by_stage(spark, sf, texts):
     good = {d for d, t in inputs[0].items() if not rules(t)[-1]}
     assert outputs[0].keys() <= good and len(outputs[0]) >= 0.99 * len(good)
     assert set(outputs[1]) == {d for d, _, c in components(list(inputs[1].items())) if d == c}
-    lost = brute_op4(inputs[2].items())
+    lost = {d: sum(y - x for x, y in spans) for d, spans in brute(list(inputs[2].items())).items()}
     assert set(outputs[2]) >= {d for d in inputs[2] if not lost[d]}
     assert all(len(r["text"].encode()) == len(inputs[2][d].encode()) - lost[d] for d, r in outputs[2].items())
     assert all(r["n_chars"] == len(r["text"]) for d, r in outputs[2].items() if lost[d])
