@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import bpe, chunkdedup, decontam, jaccard, repetition
-from eventide.llm.runtime import stored
+from eventide.llm.runtime import discard, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,24 +18,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: the smallest id, rows without an id last, then
-    the smallest text hash. Rows are told apart by a key of their own, so rows that
-    repeat an id, or have none, count one by one; empty texts have no group and stay."""
-    # written, so that every later read sees the same keys
-    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = (jaccard.jaccard_components(keyed.select(F.col("_row").alias("doc_id"), "text"))
-              .select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")))
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
-    least = keyed.select("_row", rank.alias("_rank")).join(groups, "_row").groupBy("_group").agg(F.min("_rank").alias("_rank"))
-    return keyed.join(least.select(F.col("_rank._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+    the smallest text hash. Rows go by a key of their own (id and two hashes of the
+    text), so rows that repeat an id, or have none, count by their texts; empty texts
+    have no group and stay. Only keys are written, no texts."""
+    text = F.coalesce("text", F.lit(""))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("h"),
+                   F.xxhash64(F.lit("second"), text).alias("g"))
+    groups = jaccard.jaccard_components(docs.select(key.alias("doc_id"), "text"))
+    # a component's id is the smallest key in it; copies: rows with that key
+    chosen = (groups.where("n_shingles = 0 or doc_id = component_id").groupBy("doc_id")
+              .agg(F.count("*").alias("copies"), F.first("n_shingles").alias("words")).select("doc_id.*", "copies", "words"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), key.alias("key")).select("doc", "key.*")
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        k = keys.select(*(F.col(c).alias(f"k_{c}") for c in ("id", "h", "g")))
+        return whole.join(k, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h")) & (F.col("g") == F.col("k_g")), "left_semi")
+
+    repeated = F.expr("copies > 1 and words > 0")
+    kept = rows_of(chosen.where(~repeated)).unionByName(rows_of(chosen.where(repeated)).dropDuplicates(["id", "h", "g"]))
+    return kept.select("doc.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that stand earlier in the corpus; a document of
     which no word is left goes."""
     done = chunkdedup.dedup_substrings(docs).where("n_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
-    left = {"text": F.col("text"),
-            "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("doc.n_chars")).cast("long")}
-    return done.select(*(left.get(c, F.col(f"doc.{c}") if c != "text" else F.col("text")).alias(c) for c in docs.columns))
+    left = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        left["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("doc.n_chars")).cast("long")
+    return done.select(*(left[c] if c in left else F.col(f"doc.`{c}`") for c in docs.columns)).toDF(*docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +67,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in turn; a stage's table is removed when the next one is written."""
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stored(docs, f"stage{k + 1}")
+            before, docs = written, stored(docs, f"stage{k + 1}")
+            written = docs
+            if before is not None:
+                discard(before)
     return docs
