@@ -9,10 +9,12 @@ import pytest
 
 from conftest import SF_SMALL
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from eventide.plans.oracle import ORACLE
+from eventide.plans.queries import QUERIES
 
 TABLES = ["events"]
-NAMES = sorted(oracle_sql())
+NAMES = sorted(ORACLE)
 
 
 def _norm(v):
@@ -31,10 +33,10 @@ def duck():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_duckdb(spark, duck, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     cols = df.columns
     rows = df.collect()
-    res = duck.execute(oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(ocols)
     order = sorted(cols)
