@@ -2,18 +2,26 @@
 
 An Aho-Corasick automaton finds phrases of licences and notices among the words
 of a text, and the places of identifier tags; a shunting-yard parser evaluates
-the licence expression after a tag (and, or, with, parentheses).
+the licence expression after a tag (and, or, with, parentheses; "/" between
+licences is an or).
 
 Labels: ``mit``, ``apache``, ``gpl`` from the base phrases; ``notice:...`` from
-other phrases; ``spdx:...`` for each licence an expression names; ``permissive``
-or ``copyleft`` for what a valid expression lets a user choose (``or`` takes the
-freer side, ``and`` the stricter); ``bad-expression`` where one can't be parsed.
+other phrases; ``spdx:...`` for each licence an expression names; and the class of
+what a valid expression lets a user choose: ``permissive``, ``copyleft``,
+``restricted`` (non-commercial, no derivatives, source available) or ``unknown``.
+``or`` takes the freer side; ``and`` the stricter one, and an unknown side makes it
+unknown; ``with`` needs a known exception and leaves the class. A licence that the
+table does not have (LicenseRef-... among them), NONE and NOASSERTION are unknown.
+``bad-expression`` stands where a tag's text can't be parsed. Prose after an
+expression is no part of it: a plain word that is no licence ends it.
 
 Score: 1 - product of (1 - weight) over the distinct kinds of evidence: base
-phrase 0.6, notice 0.3, valid expression 0.9, bad expression 0.2.
+phrase 0.6, notice 0.3, valid expression 0.9 (0.4 if it names no known licence),
+bad expression 0.2.
 
-Defined results: null or empty text has no words, no labels ("") and score 0;
-null ids and repeated rows pass row by row; other columns are not read.
+Defined results: null or empty text has no words, no labels ("") and score 0; an
+empty table gives no rows; null ids and repeated rows pass row by row; other
+columns are not read. Time is linear in a text's length and hits, however long.
 """
 
 from __future__ import annotations
@@ -38,19 +46,59 @@ NOTICES = {"all rights reserved": "notice:rights-reserved", "licensed under the"
            "mozilla public license": "notice:mpl", "redistribution and use in source": "notice:bsd"}
 TAG = "spdx license identifier"
 _TAG_TEXT = re.compile(r"spdx-license-identifier[ \t]*:[ \t]*([^\n\r*]*)", re.I)
-_TOKEN = re.compile(r"\s*(\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
-_COPYLEFT = re.compile(r"^(a|l)?gpl|^mpl|^epl|^eupl|^cddl|^cc-by-sa", re.I)
+_TOKEN = re.compile(r"\s*(\(|\)|/(?!/)|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
+_END = re.compile(r"\s*($|\*/|-->|[\"'`#;,.>\]}])")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
+# Licence identifiers of the public SPDX list, without versions where all versions are of one class.
+PERMISSIVE = frozenset("""0bsd afl apache apache-1.0 apache-1.1 apache-2.0 artistic-2.0 blueoak-1.0.0 bsd bsd-1-clause bsd-2-clause
+    bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-3-clause-lbnl bsd-4-clause bsl-1.0 cc0-1.0 cc-by-1.0 cc-by-2.0 cc-by-2.5
+    cc-by-3.0 cc-by-4.0 cc-pddc curl ecl-2.0 eudatagrid fsfap ftl hpnd icu ijg isc libpng libpng-2.0 libtiff mit mit-0 mit-cmu
+    mit-modern-variant ms-pl mulanpsl-2.0 ncsa odc-by-1.0 ofl-1.1 openldap-2.8 openssl pddl-1.0 php-3.01 postgresql psf-2.0 python-2.0 ruby
+    tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 w3c wtfpl x11 xnet zlib zlib-acknowledgement zpl-2.1""".split())
+COPYLEFT = frozenset("""agpl-1.0-only agpl-1.0-or-later agpl-3.0 agpl-3.0-only agpl-3.0-or-later apsl-2.0 artistic-1.0 cc-by-sa-1.0
+    cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0 cc-by-sa-4.0 cddl-1.0 cddl-1.1 cecill-2.1 cpal-1.0 cpl-1.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2
+    gfdl-1.1-only gfdl-1.1-or-later gfdl-1.2-only gfdl-1.2-or-later gfdl-1.3-only gfdl-1.3-or-later gpl gpl-1.0 gpl-1.0-only
+    gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later ipl-1.0 lgpl lgpl-2.0 lgpl-2.0-only
+    lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later mpl-1.0 mpl-1.1 mpl-2.0
+    mpl-2.0-no-copyleft-exception ms-rl odbl-1.0 osl-3.0 qpl-1.0 sleepycat""".split())
+RESTRICTED = frozenset("""busl-1.1 cc-by-nc-1.0 cc-by-nc-2.0 cc-by-nc-2.5 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0
+    cc-by-nc-sa-2.0 cc-by-nc-sa-2.5 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nd-3.0 cc-by-nd-4.0 elastic-2.0 json
+    polyform-noncommercial-1.0.0 polyform-small-business-1.0.0 sspl-1.0""".split())
+EXCEPTIONS = frozenset("""389-exception autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception
+    classpath-exception-2.0 font-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 gpl-cc-1.0 i2p-gpl-java-exception
+    libtool-exception linux-syscall-note llvm-exception lzma-exception ocaml-lgpl-linking-exception openjdk-assembly-exception-1.0
+    openvpn-openssl-exception qt-gpl-exception-1.0 qt-lgpl-exception-1.1 swift-exception universal-foss-exception-1.0
+    wxwindows-exception-3.1""".split())
+NOTHING = frozenset(["none", "noassertion"])
+CLASSES = ("permissive", "copyleft", "restricted", "unknown")  # freest first
+
+
+def license_class(name: str) -> str:
+    """The class of a licence identifier; "+" (or any later version) leaves it."""
+    low = name.lower().rstrip("+")
+    for known, kind in ((PERMISSIVE, "permissive"), (COPYLEFT, "copyleft"), (RESTRICTED, "restricted")):
+        if low in known:
+            return kind
+    return "unknown"
+
+
+def _operand(t: str) -> bool:
+    """Whether a token can name a licence: one of the tables, or shaped like an identifier."""
+    low = t.lower()
+    return license_class(t) != "unknown" or low in NOTHING or low in EXCEPTIONS or any(c in "0123456789-.:+" for c in t)
+
 
 def parse_expression(text: str) -> list[str] | None:
     """Postfix form of the longest licence expression that begins the text; None
     if there is none or it is ill-formed."""
-    out, stack, operand, at = [], [], True, 0
-    depth = 0
+    out: list[str] = []
+    stack: list[str] = []
+    operand, depth, at = True, 0, 0
+    whole: list[str] | None = None  # of what is complete so far
     while m := _TOKEN.match(text, at):
         t = m[1]
-        low = t.lower()
+        low = "or" if t == "/" else t.lower()
         if low in _BINDS:
             if operand:
                 return None
@@ -60,7 +108,7 @@ def parse_expression(text: str) -> list[str] | None:
             operand = True
         elif t == "(":
             if not operand:
-                break
+                return whole  # prose in parentheses
             stack.append(t)
             depth += 1
         elif t == ")":
@@ -71,31 +119,33 @@ def parse_expression(text: str) -> list[str] | None:
             stack.pop()
             depth -= 1
         else:
-            if not operand:
-                break  # prose after the expression
+            t = t.rstrip(".:-")
+            exception = bool(stack) and stack[-1] == "with"
+            if not operand or not t or not (t.lower() in EXCEPTIONS if exception else _operand(t)):
+                return whole  # prose after the expression, if it was one
             out.append(t)
             operand = False
+        if not operand and not depth:
+            whole = out + stack[::-1]
         at = m.end()
-    if operand or depth:
-        return None
-    return out + stack[::-1]
+    if operand or depth or not _END.match(text, at):
+        return whole if not operand and not depth else None
+    return whole
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], str]:
-    """(licences named, kind that a user may choose). An exception after ``with``
-    names no licence and leaves the kind."""
+    """(licences named, class that a user may choose)."""
     stack: list[tuple[set[str], str]] = []
     for t in postfix:
         if t not in _BINDS:
-            stack.append(({t}, "copyleft" if _COPYLEFT.match(t) else "permissive"))
+            stack.append(({t}, license_class(t)))
             continue
         (b, kb), (a, ka) = stack.pop(), stack.pop()
         if t == "with":
             stack.append((a, ka))
-        elif t == "or":
-            stack.append((a | b, "permissive" if "permissive" in (ka, kb) else "copyleft"))
         else:
-            stack.append((a | b, "copyleft" if "copyleft" in (ka, kb) else "permissive"))
+            choose = min if t == "or" else max
+            stack.append((a | b, choose(ka, kb, key=CLASSES.index)))
     return stack[0]
 
 
@@ -103,7 +153,7 @@ def _automaton() -> ahocorasick.Automaton:
     made = ahocorasick.Automaton()
     for kind, phrases in (("base", BASE_PHRASES), ("notice", NOTICES), ("tag", {TAG: ""})):
         for phrase, label in phrases.items():
-            made.add_word(f" {phrase} ", (kind, label, len(phrase)))
+            made.add_word(f" {phrase} ", (kind, label, len(phrase.split())))
     made.make_automaton()
     return made
 
@@ -113,6 +163,7 @@ def scan(plain: str, text: str, automaton: ahocorasick.Automaton) -> tuple[list[
     lower-cased words with one space before, between and after them."""
     places, base, labels, kinds = [], set(), set(), set()
     tagged = False
+    words, seen = 0, 0  # words that end before place `seen`, counted on from hit to hit
     for end, (kind, label, size) in automaton.iter(plain):
         if kind == "tag":
             tagged = True
@@ -121,7 +172,8 @@ def scan(plain: str, text: str, automaton: ahocorasick.Automaton) -> tuple[list[
             kinds.add((kind, label))
         if kind == "base":
             base.add(label)
-            places.append(plain.count(" ", 0, end - size) - 1)
+            words, seen = words + plain.count(" ", seen, end), end
+            places.append(words - size)
     if tagged:
         for m in _TAG_TEXT.finditer(text):
             postfix = parse_expression(m[1])
@@ -130,11 +182,11 @@ def scan(plain: str, text: str, automaton: ahocorasick.Automaton) -> tuple[list[
                 kinds.add(("bad", ""))
                 continue
             named, kind = evaluate(postfix)
-            labels |= {"spdx:" + x.lower().replace(",", "") for x in named} | {kind}
-            kinds.add(("spdx", ""))
+            labels |= {"spdx:" + x.lower() for x in named} | {kind}
+            kinds.add(("spdx" if any(license_class(x) != "unknown" for x in named) else "odd", ""))
     miss = 1.0
     for kind, _ in sorted(kinds):
-        miss *= 1 - {"base": 0.6, "notice": 0.3, "spdx": 0.9, "bad": 0.2}[kind]
+        miss *= 1 - {"base": 0.6, "notice": 0.3, "spdx": 0.9, "odd": 0.4, "bad": 0.2}[kind]
     return places, base, labels, round(1 - miss, 6)
 
 

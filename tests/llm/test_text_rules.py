@@ -161,13 +161,41 @@ def test_op10_edges(edge, nothing, frame):
     assert licenses.license_scan(edge).count() == len(EDGE)
 
 
+def test_op10_score_and_labels_of_each_kind(frame):
+    """Against the weights and the table of the docstring, one kind of evidence at a time."""
+    tag = "SPDX-License-Identifier: "
+    cases = {"MIT License": ("mit", 0.6), "all rights reserved": ("notice:rights-reserved", 0.3), tag + "ISC": ("permissive,spdx:isc", 0.9),
+             tag + "NONE": ("spdx:none,unknown", 0.4), tag + "LicenseRef-A": ("spdx:licenseref-a,unknown", 0.4),
+             tag + "see the file": ("bad-expression", 0.2), "Apache License " + tag + "Apache-2.0": ("apache,permissive,spdx:apache-2.0", 0.96),
+             "BSD license, provided as is": ("notice:as-is,notice:bsd", 0.51), "no licence": ("", 0.0)}
+    got = {r["doc_id"]: r for r in licenses.license_scan(frame(list(enumerate(cases)))).collect()}
+    for k, want in enumerate(cases.values()):
+        assert (got[k]["labels"], got[k]["score"]) == want
+
+
+def test_op10_places_of_many_hits_in_linear_time(frame):
+    import time
+    text = "é x mit license, " * 60000
+    start = time.perf_counter()
+    r = licenses.license_scan(frame([(1, text)])).first()
+    assert (r["n_base"], r["first_word"], r["last_word"]) == (60000, 2, 4 * 60000 - 2) and time.perf_counter() - start < 10
+
+
 def test_expressions():
     p = licenses.parse_expression
     assert p("MIT OR GPL-2.0 AND Apache-2.0") == ["MIT", "GPL-2.0", "Apache-2.0", "and", "or"]
     assert p("(MIT OR GPL-2.0) AND ISC") == ["MIT", "GPL-2.0", "or", "ISC", "and"]
     assert p("GPL-2.0 WITH Classpath-exception-2.0 OR MIT") == ["GPL-2.0", "Classpath-exception-2.0", "with", "MIT", "or"]
-    assert p("MIT and then") == ["MIT", "then", "and"] and p("MIT -->") == ["MIT"]
+    assert p("MIT -->") == ["MIT"] and p("MIT */") == ["MIT"] and p("MIT.") == ["MIT"] and p("Apache-2.0, see file") == ["Apache-2.0"]
+    # prose is no licence
+    assert p("MIT and then") == p("MIT and then some prose") == p("MIT (see LICENSE file)") == p("MIT License terms") == ["MIT"]
+    assert p("see LICENSE file") is None and p("Proprietary") is None and p("GPL-2.0 WITH some-words") is not None
+    assert p("MIT/Apache-2.0") == ["MIT", "Apache-2.0", "or"] and p("MIT // comment") == ["MIT"]
     assert p("MIT OR") is None and p("(MIT") is None and p("OR MIT") is None and p("MIT)") is None and p("") is None
+    kind = lambda t: licenses.evaluate(p(t))[1]
+    assert kind("CC-BY-NC-4.0") == "restricted" and kind("GPL-2.0+ OR CC-BY-NC-4.0") == "copyleft"
+    assert kind("LicenseRef-Proprietary") == kind("NONE") == kind("NOASSERTION") == kind("MIT AND LicenseRef-x") == "unknown"
+    assert kind("MIT OR LicenseRef-x") == kind("LGPL-2.1-only WITH Classpath-exception-2.0 OR 0BSD") == "permissive"
     assert licenses.evaluate(p("MIT AND GPL-3.0"))[1] == "copyleft" and licenses.evaluate(p("MIT OR GPL-3.0"))[1] == "permissive"
 
 
