@@ -80,8 +80,9 @@ def global_index(df: DataFrame, order: list[str], n: int | None = None, out: str
 
 
 def prior_max(df: DataFrame, order: list[str], value: str, n: int | None = None,
-              out: str = "prior_max") -> DataFrame:
-    """Max of ``value`` over all rows strictly before each row in ``order``."""
+              out: str = "prior_max", start: int | None = None) -> DataFrame:
+    """Max of ``value`` over all rows strictly before each row in ``order``;
+    ``start`` is the max over rows before the whole of ``df`` (earlier batches)."""
     b = order_bucket(df, order[0], n)
     per = b.groupBy("_b").agg(F.max(value).alias("_pmax"))
     before = per.select("_b", F.max("_pmax").over(
@@ -89,7 +90,7 @@ def prior_max(df: DataFrame, order: list[str], value: str, n: int | None = None,
     w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = b.withColumn("_in", F.max(value).over(w))
     return (inside.join(F.broadcast(before), "_b")
-                  .withColumn(out, F.greatest("_in", "_carry"))
+                  .withColumn(out, F.greatest("_in", "_carry", F.lit(start).cast("bigint")))
                   .drop("_b", "_in", "_carry"))
 
 
@@ -150,11 +151,12 @@ def count_windows(df: DataFrame, order: list[str], size: int = 100) -> DataFrame
 
 
 def late_lanes(df: DataFrame, arrival: str = "arrival_ms", event: str = "timestamp_ms",
-               bound_ms: int = 5 * MINUTE_MS, allowed_ms: int = 5 * MINUTE_MS) -> DataFrame:
+               bound_ms: int = 5 * MINUTE_MS, allowed_ms: int = 5 * MINUTE_MS, seen_ms: int | None = None) -> DataFrame:
     """on_time / allowed / too_late against the watermark of the rows that
     arrived before (max event time seen minus ``bound_ms``); too-late rows are
-    kept and tagged, never dropped."""
-    m = prior_max(df, [arrival, "event_id"], event, out="_seen")
+    kept and tagged, never dropped. ``seen_ms``: the max event time of all
+    earlier batches, when ``df`` is a batch of a stream."""
+    m = prior_max(df, [arrival, "event_id"], event, out="_seen", start=seen_ms)
     t, seen = F.col(event), F.col("_seen")
     lane = (F.when(seen.isNull() | (t >= seen - bound_ms), F.lit("on_time"))
             .when(t >= seen - (bound_ms + allowed_ms), F.lit("allowed"))

@@ -762,6 +762,27 @@ SELECT event_id, round(avg_time_category, 6) AS f0, round(click_count, 6) AS f1,
 
 ORACLE["watermark"] = ORACLE["user_counts"]
 
+ORACLE["late_stream"] = ORACLE["late_split"]
+
+# rows of a micro-batch are late by the watermark that the batch before last had set
+ORACLE["watermark_late"] = w(EV, MON, f"""a AS (SELECT event_id, timestamp_ms,
+  CASE WHEN event_id % {P.LATE_EVERY} = 0 THEN timestamp_ms + {P.LATE_BY_MS} ELSE arrival_ms END AS arrival_ms FROM mon2)""",
+    f"""b AS (SELECT *, CAST(floor((arrival_ms - min(arrival_ms) OVER ()) * {P.SLICES}
+    / (max(arrival_ms) OVER () - min(arrival_ms) OVER () + 1)) AS INTEGER) AS batch FROM a)""",
+    f"""m AS (SELECT batch, max(max(timestamp_ms)) OVER (ORDER BY batch) - {P.WATERMARK_MS} AS mark FROM b GROUP BY batch)""",
+    f"""c AS (SELECT b.*, timestamp_ms - timestamp_ms % {P.HOUR_MS} AS window_start_ms,
+    coalesce((SELECT max(mark) FROM m WHERE m.batch < b.batch - 1), 0) AS mark FROM b)""") + f"""
+SELECT window_start_ms, count(*) AS n_events FROM c WHERE window_start_ms + {P.HOUR_MS} > mark GROUP BY 1"""
+
+ORACLE["state_ttl"] = w(EV, f"""g AS (SELECT user_id, timestamp_ms, event_id,
+  CASE WHEN timestamp_ms - lag(timestamp_ms) OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id) < {P.STATE_TTL_MS}
+    THEN 0 ELSE 1 END AS brk FROM ev)""",
+    """s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY timestamp_ms, event_id) AS no FROM g)""") + f"""
+SELECT user_id, min(timestamp_ms) AS first_ms, max(timestamp_ms) AS last_ms, count(*) AS n_events,
+  max(timestamp_ms) + {P.STATE_TTL_MS} AS expired_ms FROM s GROUP BY user_id, no"""
+
+ORACLE["recovery"] = w(EV) + "SELECT user_id, count(*) AS n_events, count(DISTINCT event_id) AS n_distinct FROM ev GROUP BY user_id"
+
 ORACLE["retry_state"] = w(EV, retry_cte("ev", "event_type = 'error'")) + """
 SELECT event_id, user_id, route, CAST(retry_count AS BIGINT) AS retry_count FROM rt"""
 

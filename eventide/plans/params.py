@@ -18,4 +18,10 @@ SAMPLE_N = 1000                   # first N outputs sampled by the checks
 TOP_K = 10
 HOUR_MS = 3600 * 1000
 DAY_MS = 24 * HOUR_MS
+STATE_TTL_MS = 12 * 3600 * 1000   # idle state expiry (1 h in production)
+LATE_BY_MS = 2 * DAY_MS           # delay of every LATE_EVERY-th event of the watermark query
+LATE_EVERY = 11
+WATERMARK_MS = HOUR_MS            # its watermark delay (5 min in production)
+HISTORY_BUCKETS = 8               # buckets of the history store (64 in production)
+SLICES = 4                        # micro-batches of a bounded run
 METRIC_RANGE_MS = 6 * HOUR_MS     # range of rate()/increase() (5 m in production)

@@ -26,7 +26,11 @@ from ..operators import windows as WN
 from ..session import checkpoint_dir
 from ..sources import derived as D
 from ..sources.events import events_from_tables, parse_events, to_json_value
+from ..sources.commits import CommittedFolder, exactly_once
 from ..streaming import jobs as ST
+from ..streaming.history import HistoryStore
+from ..streaming.idle import idle_stream
+from ..streaming.late import LateLanes
 from . import params as P
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -746,8 +750,14 @@ def q_sink_json(spark, d):
 
 @query("hist_store")
 def q_hist_store(spark, d):
-    """The history store's content at the end (newest first, 100 kept, 24 h expiry)."""
-    h = FE.history_as_of(ev(spark, d), P.AS_OF_MS)
+    """The history store's content (newest first, 100 kept, 24 h expiry) after the
+    events were merged into it in micro-batches by arrival, one of them twice."""
+    store = HistoryStore(spark, _stream_dir(spark, "history"), buckets=P.HISTORY_BUCKETS)
+    slices = arrival_slices(mon(spark, d))
+    for batch_id, batch in enumerate(slices):
+        store.merge(batch, batch_id)
+    store.merge(slices[1], 1)  # delivered once more: changes nothing
+    h = store.history(P.AS_OF_MS)
     return h.select("user_id", F.col("pos").cast("bigint").alias("pos"), "event_id",
                     LN.event_json(["event_type", "category", "timestamp_ms"]).alias("entry"))
 
@@ -850,6 +860,105 @@ def _event_files(spark, d, base: str, fmt: str = "parquet") -> str:
     return path
 
 
+def arrival_slices(df: DataFrame, n: int = P.SLICES, arrival: str = "arrival_ms") -> list[DataFrame]:
+    """``df`` as ``n`` micro-batches by equal ranges of arrival time (two numbers
+    reach the driver). Rows without a time are in the first."""
+    lo, hi = df.agg(F.min(arrival), F.max(arrival)).first()
+    at = F.coalesce(F.floor((F.col(arrival) - F.lit(lo)) * n / F.lit(max(1, (hi or 0) - (lo or 0) + 1))), F.lit(0))
+    return [df.where(at == k) for k in range(n)]
+
+
+FILES_A_SLICE = 2
+
+
+def _sliced_files(spark, df: DataFrame, base: str, arrival: str = "arrival_ms") -> DataFrame:
+    """A file stream of ``df``, one micro-batch per arrival slice: the slices are
+    written one after the other, in a fixed number of files each."""
+    path = f"{base}/input"
+    for part in arrival_slices(df, arrival=arrival):
+        part.repartition(FILES_A_SLICE).write.mode("append").parquet(path)
+    return ST.file_events(spark, path, fmt="parquet", schema=df.schema, max_files=FILES_A_SLICE)
+
+
+def _arriving(spark, d) -> DataFrame:
+    """Events with arrival times; every LATE_EVERY-th arrives LATE_BY_MS late."""
+    late = F.col("event_id") % P.LATE_EVERY == 0
+    return (mon(spark, d).select("event_id", "user_id", "timestamp_ms", "arrival_ms")
+            .withColumn("arrival_ms", F.when(late, F.col("timestamp_ms") + P.LATE_BY_MS).otherwise(F.col("arrival_ms"))))
+
+
+@query("watermark_late")
+def q_watermark_late(spark, d):
+    """Hourly counts of a stream in which late rows fall out of closed windows:
+    a window counts what arrives before the watermark has passed its end."""
+    base = _stream_dir(spark, "watermark-late")
+    s = _sliced_files(spark, _arriving(spark, d), base)
+    s = ST.with_event_time(s, f"{P.WATERMARK_MS // 1000} seconds")
+    counts = (s.groupBy(F.window("event_time", f"{P.HOUR_MS // 1000} seconds").alias("w")).agg(F.count(F.lit(1)).alias("n_events"))
+              .select(F.unix_millis(F.col("w.start")).alias("window_start_ms"), "n_events"))
+    ST.run_available(counts, None, f"{base}/ck", mode="update", foreach=exactly_once(spark, f"{base}/out"))
+    folder = CommittedFolder(spark, f"{base}/out")
+    folder.remove(f"{base}/input")
+    return folder.read(counts.schema).groupBy("window_start_ms").agg(F.max("n_events").alias("n_events"))
+
+
+@query("late_stream")
+def q_late_stream(spark, d):
+    """X3 on a stream: the lanes of every event, late ones kept, batch by batch."""
+    base = _stream_dir(spark, "late")
+    s = _sliced_files(spark, mon(spark, d).select("event_id", "timestamp_ms", "arrival_ms"), base)
+    sink = LateLanes(spark, f"{base}/out", P.LATE_LANE_MS, P.ALLOWED_LATENESS_MS)
+    ST.run_available(s, None, f"{base}/ck", foreach=sink.merge)
+    sink.folder.remove(f"{base}/input")
+    return sink.read().select("event_id", "lane", "watermark_ms")
+
+
+@query("state_ttl")
+def q_state_ttl(spark, d):
+    """Per-user state that expires after idling for STATE_TTL_MS of event time."""
+    base = _stream_dir(spark, "ttl")
+    events = mon(spark, d).select("user_id", "timestamp_ms", "arrival_ms")
+    _sliced_files(spark, events, base)
+    # the run is bounded: a last row of no user lets the watermark pass every timer
+    spark.range(1).select(F.lit(_END).alias("user_id"), F.lit(int(_END_MS)).alias("timestamp_ms"),
+                          F.lit(int(_END_MS)).alias("arrival_ms")).write.mode("append").parquet(f"{base}/input")
+    s = ST.file_events(spark, f"{base}/input", fmt="parquet", schema=events.schema, max_files=FILES_A_SLICE)
+    out = idle_stream(ST.with_event_time(s, "1 hour"), P.STATE_TTL_MS)
+    ST.run_available(out, None, f"{base}/ck", foreach=exactly_once(spark, f"{base}/out"))
+    folder = CommittedFolder(spark, f"{base}/out")
+    folder.remove(f"{base}/input")
+    return folder.read(out.schema).where(~F.col("user_id").eqNullSafe(F.lit(_END))).select(
+        "user_id", "first_ms", "last_ms", "n_events", "expired_ms")
+
+
+class _Killed(Exception):
+    """Raised by the recovery query inside a micro-batch."""
+
+
+@query("recovery")
+def q_recovery(spark, d):
+    """A run that dies inside its second micro-batch, after the batch's files are
+    written and before they count, and is started again: events by user, none lost
+    and none doubled."""
+    base = _stream_dir(spark, "recovery")
+    s = _sliced_files(spark, mon(spark, d).select("event_id", "user_id", "arrival_ms"), base)
+
+    def dies(batch_id: int) -> None:
+        if batch_id == 1:
+            raise _Killed("inside a micro-batch")
+
+    try:
+        ST.run_available(s, None, f"{base}/ck", foreach=exactly_once(spark, f"{base}/out", between=dies))
+    except Exception as e:
+        if "inside a micro-batch" not in str(e):
+            raise
+    ST.run_available(s, None, f"{base}/ck", foreach=exactly_once(spark, f"{base}/out"))
+    folder = CommittedFolder(spark, f"{base}/out")
+    folder.remove(f"{base}/input")
+    return folder.read(s.schema).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"),
+                                                        F.count_distinct("event_id").alias("n_distinct"))
+
+
 @query("watermark")
 def q_watermark(spark, d):
     """X1 + E1: running counts over the event stream with a 5-minute watermark;
