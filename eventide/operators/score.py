@@ -104,14 +104,21 @@ def cache_misses(events: DataFrame, ttl_ms: int = CACHE_TTL_MS, key: str = "user
 
     The first event of a key misses; a later event hits while it is less than
     ``ttl_ms`` after the last miss, else it misses and restarts the clock. The
-    misses are the chain first -> nxt -> nxt... ; the chain is marked with
-    pointer doubling (log2 of the chain length rounds of joins on event_id), so
-    no key's events are ever gathered in one place.
+    misses are the chain first -> nxt -> nxt... ; an event that follows a gap of
+    ``ttl_ms`` misses whatever came before, so the chain is cut into sessions
+    there. Within sessions it is marked with pointer doubling (log2 of the
+    longest session's chain rounds of joins on event_id), so no key's events are
+    ever gathered in one place.
     """
+    from .windows import keyed_order
     spark = events.sparkSession
     checkpoint_dir(spark)
     events = events.where(F.col("timestamp_ms").isNotNull())
-    jump = next_expiry(events, ttl_ms, key).filter(F.col("nxt").isNotNull()).checkpoint()
+    starts = (keyed_order(events.select(key, "timestamp_ms", "event_id"), key)
+              .where(F.col("_prev_ts").isNull() | (F.col("timestamp_ms") - F.col("_prev_ts") >= ttl_ms))
+              .select("event_id")).checkpoint()
+    jump = (next_expiry(events, ttl_ms, key).filter(F.col("nxt").isNotNull())
+            .join(starts.select(F.col("event_id").alias("nxt")), "nxt", "left_anti").select("event_id", "nxt")).checkpoint()
     levels = [jump]
     while True:
         prev = levels[-1]
@@ -121,8 +128,7 @@ def cache_misses(events: DataFrame, ttl_ms: int = CACHE_TTL_MS, key: str = "user
         if nxt.isEmpty():
             break
         levels.append(nxt)
-    marked = (events.groupBy(key).agg(F.min_by("event_id", F.struct("timestamp_ms", "event_id"))
-                                      .alias("event_id")).select("event_id"))
+    marked = starts
     for lv in reversed(levels):
         step = marked.join(lv, "event_id").select(F.col("nxt").alias("event_id"))
         marked = marked.unionByName(step).checkpoint()

@@ -62,7 +62,7 @@ verr AS (
          WHERE NOT m_type AND event_type NOT IN ('view','click','add_to_cart','purchase')),
 valid AS (
   SELECT event_id, user_id, product_id, category, event_type, ts_val AS timestamp_ms, is_late, value
-  FROM chk WHERE event_id NOT IN (SELECT event_id FROM verr))"""
+  FROM chk ANTI JOIN verr USING (event_id))"""
 
 
 def w(*ctes: str) -> str:
@@ -295,6 +295,30 @@ ORACLE["cache_evict"] = "WITH RECURSIVE " + ",\n".join([EV, cache_cte("ev", P.CA
 SELECT user_id, max(timestamp_ms) AS cached_at_ms FROM cache WHERE NOT hit GROUP BY user_id
 ORDER BY cached_at_ms DESC, user_id LIMIT {P.CACHE_CAP}"""
 
+# one step an event of a worker: the cache is a list of entries, oldest written first
+_BOUNDED = "WITH RECURSIVE " + ",\n".join([EV, online_cte("ev", P.CHECK_LIMIT), f"""e AS MATERIALIZED (
+  SELECT event_id, user_id, product_id, timestamp_ms AS t, CAST(trunc(value * 10) AS BIGINT) % 100 AS took, {score_sql()} AS s,
+    ({FAILS}) AS fails, CAST('0x' || substring(md5(user_id), 1, 8) AS BIGINT) % {P.CACHE_SHARDS} AS shard FROM onl)""",
+    """n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY t, event_id) AS rn FROM e)""",
+    f"""c AS (SELECT DISTINCT shard, CAST(0 AS BIGINT) AS rn, CAST([] AS STRUCT(u VARCHAR, t BIGINT, s DOUBLE)[]) AS cache,
+    CAST(NULL AS BIGINT) AS event_id, false AS hit, CAST(NULL AS DOUBLE) AS prediction FROM n
+  UNION ALL
+  SELECT shard, rn, CASE WHEN held IS NOT NULL THEN cache WHEN fails THEN rest
+      ELSE list_append(CASE WHEN len(rest) >= {P.CACHE_CAP} THEN rest[2:] ELSE rest END, {{'u': user_id, 't': t, 's': s}}) END,
+    event_id, held IS NOT NULL, CASE WHEN held IS NOT NULL THEN held.s WHEN fails THEN 0.5 ELSE s END
+  FROM (SELECT n.*, cache, [x FOR x IN cache IF x.u = n.user_id AND n.t - x.t < {P.CACHE_TTL_MS}][1] AS held,
+      [x FOR x IN cache IF x.u <> n.user_id] AS rest
+    FROM c JOIN n ON n.shard = c.shard AND n.rn = c.rn + 1))"""])
+
+ORACLE["optimized_predictions"] = _BOUNDED + """
+SELECT event_id, user_id, product_id, round(prediction, 6) AS prediction, t AS event_time, t + took AS processing_time,
+  CASE WHEN hit THEN 0 WHEN fails THEN -1 ELSE took END AS latency_ms, hit AS cache_hit,
+  CASE WHEN NOT hit AND fails THEN 'scoring failed' END AS error FROM c JOIN n USING (shard, rn, event_id)"""
+
+ORACLE["cache_contents"] = _BOUNDED + """, z AS (SELECT shard, max_by(cache, rn) AS cache FROM c GROUP BY shard)
+SELECT shard, cache[i].u AS user_id, cache[i].t AS cached_at_ms, i - 1 AS place, round(cache[i].s, 6) AS prediction
+FROM z, unnest(range(1, len(cache) + 1)) AS r(i)"""
+
 ORACLE["pred_union"] = w(EV, online_cte("ev", P.CHECK_LIMIT), f"upto AS (SELECT * FROM ev WHERE timestamp_ms <= {P.AS_OF_MS})",
                          hist_cte("upto", P.AS_OF_MS, P.CHECK_LIMIT), feats_cte("hist", P.AS_OF_MS),
                          """j AS (

@@ -10,6 +10,7 @@ COLD_AS_OF_MS = 1704153600000     # 2024-01-02 00:00:00 UTC
 DRIFT_SPLIT_MS = 1705363200000    # 2024-01-16 00:00:00 UTC: reference before, current after
 CHECK_LIMIT = 100                 # history length, as in production
 CACHE_TTL_MS = 12 * 3600 * 1000   # prediction cache TTL (30 s in production)
+CACHE_SHARDS = 4                  # scoring workers, each with a cache of its own
 CACHE_CAP = 50                    # cache size (1000 in production)
 SESSION_GAP_MS = 30 * 60 * 1000   # session gap
 LATE_LANE_MS = 60 * 1000          # watermark bound on the arrival-ordered stream
@@ -19,7 +20,7 @@ TOP_K = 10
 HOUR_MS = 3600 * 1000
 DAY_MS = 24 * HOUR_MS
 STATE_TTL_MS = 12 * 3600 * 1000   # idle state expiry (1 h in production)
-LATE_BY_MS = 2 * DAY_MS           # delay of every LATE_EVERY-th event of the watermark query
+LATE_BY_MS = 15 * DAY_MS          # delay of every LATE_EVERY-th event of the watermark query
 LATE_EVERY = 11
 WATERMARK_MS = HOUR_MS            # its watermark delay (5 min in production)
 HISTORY_BUCKETS = 8               # buckets of the history store (64 in production)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import validation as V
+from ..operators import cache as CA
 from ..operators import drift as DR
 from ..operators import features as FE
 from ..operators import lanes as LN
@@ -333,6 +334,34 @@ def q_cache_evict(spark, d):
     return SC.cache_contents(h, P.CACHE_CAP)
 
 
+def _bounded_cache(spark, d):
+    """Scored events and the caches' content, under evictions (W4 + W5)."""
+    o = FE.features_online(mon(spark, d), P.CHECK_LIMIT).withColumn("score", X.score_linear(*FE.FEATURES))
+    o = o.select("event_id", "user_id", "product_id", "timestamp_ms", "processing_time", "latency_ms", "score",
+                 D.scoring_fails().alias("fails")).checkpoint()
+    out, held = CA.prediction_cache(o, F.col("score"), F.col("fails"), P.CACHE_TTL_MS, P.CACHE_CAP, P.CACHE_SHARDS)
+    return o, out, held
+
+
+@query("optimized_predictions")
+def q_optimized_predictions(spark, d):
+    """Every event's prediction, cached or computed; a failed one is the
+    fallback with its error and latency -1; a hit takes no scoring time."""
+    o, out, _ = _bounded_cache(spark, d)
+    j = o.select("event_id", "user_id", "product_id", "timestamp_ms", "processing_time", "latency_ms").join(out, "event_id")
+    took = F.when(F.col("error").isNotNull(), -1).when(F.col("cache_hit"), 0).otherwise(F.col("latency_ms"))
+    return round_doubles(j.select("event_id", "user_id", "product_id", "prediction", F.col("timestamp_ms").alias("event_time"),
+                                  "processing_time", took.cast("bigint").alias("latency_ms"), "cache_hit", "error"))
+
+
+@query("cache_contents")
+def q_cache_contents(spark, d):
+    """What each worker's cache holds at the end, oldest written first."""
+    _, _, held = _bounded_cache(spark, d)
+    return round_doubles(held.select(F.col("shard").cast("bigint").alias("shard"), "user_id", F.col("written_ms").alias("cached_at_ms"),
+                                     F.col("place").cast("bigint").alias("place"), "prediction"))
+
+
 @query("pred_union")
 def q_pred_union(spark, d):
     """Per-event predictions and per-user batch predictions on one output."""
