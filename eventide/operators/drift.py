@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles, running_sums
+
 EPS = 1e-4
 N_BINS = 10
 COLUMN_DRIFT = 0.1
@@ -33,9 +35,8 @@ def to_long(df: DataFrame, columns: list[str], by: list[str] | None = None) -> D
 
 
 def bin_edges(ref: DataFrame, n_bins: int = N_BINS) -> DataFrame:
-    """Reference deciles per column (exact, linear interpolation)."""
-    qs = [i / n_bins for i in range(1, n_bins)]
-    return ref.groupBy("column").agg(F.percentile("value", qs).alias("edges"))
+    """Reference deciles per column (exact, linear interpolation); no task holds a column."""
+    return exact_quantiles(ref, ["column"], "value", [i / n_bins for i in range(1, n_bins)]).withColumnRenamed("quantiles", "edges")
 
 
 def with_bin(df: DataFrame, edges: DataFrame) -> DataFrame:
@@ -84,16 +85,13 @@ def psi(ref: DataFrame, cur: DataFrame, by: list[str] | None = None, n_bins: int
 
 
 def _cdfs(ref: DataFrame, cur: DataFrame) -> DataFrame:
-    """Both empirical CDFs at every distinct value of either sample, per column."""
-    r = ref.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rn"))
-    c = cur.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cn"))
-    j = r.join(c, ["column", "value"], "full").fillna(0, ["rn", "cn"])
-    w = Window.partitionBy("column").orderBy("value")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy("column")
-    return (j.withColumn("fr", F.sum("rn").over(run) / F.sum("rn").over(tot))
-             .withColumn("fc", F.sum("cn").over(run) / F.sum("cn").over(tot))
-             .withColumn("next_value", F.lead("value").over(w)))
+    """Both empirical CDFs at every distinct value of either sample, per column, in
+    ranges of values: no task orders a whole column."""
+    both = (ref.select("column", "value", F.lit(1).alias("r"), F.lit(0).alias("c"))
+            .unionByName(cur.select("column", "value", F.lit(0).alias("r"), F.lit(1).alias("c"))))
+    j = both.where("value is not null").groupBy("column", "value").agg(F.sum("r").alias("rn"), F.sum("c").alias("cn"))
+    return (running_sums(j, ["column"], "value", ["rn", "cn"])
+            .withColumn("fr", F.col("cum_rn") / F.col("tot_rn")).withColumn("fc", F.col("cum_cn") / F.col("tot_cn")))
 
 
 def ks(ref: DataFrame, cur: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Run-validation and service-level queries.
 
-All statistics are aggregates with map-side partial aggregation; exact
-percentiles use ``percentile`` (linear interpolation), and
-``percentile_approx`` is the option for very large groups.
+All statistics are aggregates with map-side partial aggregation. Percentiles are
+exact (linear interpolation) and come from value counts in ranges, so no task
+holds a group's values (:mod:`quantiles`, which also has mergeable sketches).
 """
 
 from __future__ import annotations
@@ -10,29 +10,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+from .windows import join_null_safe
+
 SLA_P95_MS = 75.0
 LOSS_TOLERANCE_PCT = 1.0
 HIST_BINS = 30
 STATS = ["p50", "p95", "p99", "mean", "min", "max"]
 
 
-def latency_aggs(v: Column, exact: bool = True) -> list[Column]:
-    pct = (lambda q: F.percentile(v, q)) if exact else (lambda q: F.percentile_approx(v, q, 10000))
-    return [F.count(v).alias("n"), F.avg(v).alias("mean"), pct(0.5).alias("p50"),
-            pct(0.95).alias("p95"), pct(0.99).alias("p99"),
-            F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max")]
+PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def _statistics(df: DataFrame, by: list[str], v: Column) -> DataFrame:
+    """n, mean, percentiles, min and max of the non-null values of each group."""
+    rows = df.select(*by, v.cast("double").alias("_v"))
+    plain = rows.groupBy(*by).agg(F.count("_v").alias("n"), F.avg("_v").alias("mean"), F.min("_v").alias("min"), F.max("_v").alias("max"))
+    qs = exact_quantiles(rows, by, "_v", list(PERCENTILES.values())).select(
+        *by, *(F.col("quantiles")[k].alias(p) for k, p in enumerate(PERCENTILES)))
+    return join_null_safe(plain, qs, by, "left").select(*by, "n", "mean", *PERCENTILES, "min", "max")
 
 
 def latency_stats(df: DataFrame, by: list[str], v: str = "latency_ms") -> DataFrame:
     """Count, mean, p50/p95/p99, min, max per group."""
-    return df.groupBy(*by).agg(*latency_aggs(F.col(v).cast("double")))
+    return _statistics(df, by, F.col(v))
 
 
 def latency_sla(df: DataFrame, by: list[str], v: str = "latency_ms",
                 limit: float = SLA_P95_MS) -> DataFrame:
     """Positive latencies only; pass when p95 < limit; null verdict without data."""
-    pos = F.when(F.col(v) > 0, F.col(v).cast("double"))
-    out = df.groupBy(*by).agg(F.count(pos).alias("n_positive"), F.percentile(pos, 0.95).alias("p95"))
+    out = _statistics(df, by, F.when(F.col(v) > 0, F.col(v))).select(*by, F.col("n").alias("n_positive"), "p95")
     return out.withColumn("sla_pass", F.when(F.col("n_positive") > 0, F.col("p95") < limit))
 
 
@@ -73,8 +80,7 @@ def late_check(df: DataFrame, late: str = "is_late") -> DataFrame:
 
 def before_after(df: DataFrame, phase: str, v: str = "latency_ms") -> DataFrame:
     """Each statistic before and after, improvement % = (before-after)/before*100."""
-    pos = F.when(F.col(v) > 0, F.col(v).cast("double"))
-    wide = df.groupBy(phase).agg(*latency_aggs(pos)[1:])
+    wide = _statistics(df, [phase], F.when(F.col(v) > 0, F.col(v)))
     long = wide.select(phase, F.explode(F.array(*[
         F.struct(F.lit(s).alias("statistic"), F.col(s).cast("double").alias("v")) for s in STATS])).alias("x"))
     flat = long.select(phase, "x.statistic", "x.v")
