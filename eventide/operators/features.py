@@ -59,6 +59,22 @@ def history_as_of(events: DataFrame, as_of_ms: int, limit: int = HISTORY_LIMIT,
     return mark_history(events, as_of_ms, limit, ttl_ms, key).filter("in_hist").drop("in_hist")
 
 
+def unexpired_history(events: DataFrame, as_of_ms: int, ttl_ms: int = HISTORY_TTL_MS, key: str = "user_id",
+                      range_ms: int | None = None) -> DataFrame:
+    """W2 alone: all events of each user's current run at ``as_of_ms`` (no gap of
+    ``ttl_ms`` inside it or after it), however long the run; no window over a user.
+
+    Runs are numbered over event-time pieces (:func:`windows.keyed_order`); the last
+    run of each user comes from an aggregate, combined map-side.
+    """
+    from .windows import join_null_safe, keyed_order, piece_width
+    upto = events.filter(F.col("timestamp_ms") <= as_of_ms)
+    runs = keyed_order(upto, key, "timestamp_ms", ttl_ms, inclusive=True, range_ms=range_ms or piece_width(upto))
+    last = (runs.groupBy(key).agg(F.max("_sess").alias("_last"), F.max("timestamp_ms").alias("_newest"))
+            .where(F.lit(as_of_ms) - F.col("_newest") < ttl_ms))
+    return join_null_safe(runs, last, [key]).where(F.col("_sess") == F.col("_last")).select(*events.columns)
+
+
 def scored_users(events: DataFrame, as_of_ms: int, limit: int = HISTORY_LIMIT,
                  ttl_ms: int = HISTORY_TTL_MS, key: str = "user_id") -> DataFrame:
     """Flagship in one exchange: every user seen up to ``as_of`` with its

@@ -23,7 +23,6 @@ LINEAR_WEIGHTS = (0.02, 0.05, 0.4, -0.0005)
 RF_TREES = 50
 RF_DEPTH = 5
 RF_SEED = 42
-TRAIN_SHARE = 80
 CACHE_TTL_MS = 30_000
 CACHE_CAP = 1000
 
@@ -154,11 +153,6 @@ def cache_contents(hits: DataFrame, cap: int = CACHE_CAP, key: str = "user_id")
 
 # ---------------------------------------------------------------- M1-M4: trained model
 
-def split_flag(id_col: str = "event_id", share: int = TRAIN_SHARE) -> Column:
-    """M2: repeatable 80/20 split by hash of the row id."""
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(100)) < share
-
-
 def assemble(df: DataFrame, out: str = "features") -> DataFrame:
     """M3: the four features in fixed order as one vector column."""
     from pyspark.ml.feature import VectorAssembler
@@ -181,10 +175,10 @@ def score_model(model, df: DataFrame) -> DataFrame:
         "features", "rawPrediction", "probability")
 
 
-def label_next_purchase(online: DataFrame, horizon_ms: int, key: str = "user_id") -> DataFrame:
-    """Training label: 1 when the user's next event within ``horizon_ms`` is a purchase."""
-    w = Window.partitionBy(key).orderBy("timestamp_ms", "event_id")
-    nxt_t = F.lead("timestamp_ms").over(w)
-    nxt_e = F.lead("event_type").over(w)
-    return online.withColumn("target", F.when((nxt_t - F.col("timestamp_ms") <= horizon_ms)
-                                              & (nxt_e == "purchase"), 1.0).otherwise(0.0))
+def label_next_purchase(online: DataFrame, horizon_ms: int, key: str = "user_id", range_ms: int | None = None) -> DataFrame:
+    """Training label: 1 when the user's next event within ``horizon_ms`` is a
+    purchase. The next event is a forward link across pieces, no window over a user."""
+    from .windows import keyed_next
+    n = keyed_next(online, ["timestamp_ms", "event_type"], key, range_ms=range_ms)
+    hit = (F.col("next_timestamp_ms") - F.col("timestamp_ms") <= horizon_ms) & (F.col("next_event_type") == "purchase")
+    return n.withColumn("target", F.when(hit, 1.0).otherwise(0.0)).drop("next_timestamp_ms", "next_event_type")

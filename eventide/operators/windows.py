@@ -145,6 +145,38 @@ def keyed_order(df: DataFrame, key: str = "user_id", ts: str = "timestamp_ms", g
     return j.drop("_rng", "_lpos", "_lprev", "_lb", "_lcum", "_off", "_prev_last", "_fb", "_boff")
 
 
+#: Rows that one piece of a key may hold if the key had all rows (see :func:`piece_width`).
+PIECE_ROWS = 1_000_000
+
+
+def piece_width(df: DataFrame, ts: str = "timestamp_ms", rows: int = PIECE_ROWS) -> int:
+    """Width of event-time pieces of which none would hold many more than ``rows``
+    rows even if all rows were one key's (for times spread evenly): small tables are
+    one piece a key, large ones are cut finely. One pass for three numbers."""
+    lo, hi, n = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
+    return max(1, (hi - lo) // max(1, -(-n // rows)) + 1) if lo is not None else 1
+
+
+def keyed_next(df: DataFrame, columns: list[str], key: str = "user_id", ts: str = "timestamp_ms", order: str = "event_id",
+               range_ms: int | None = None) -> DataFrame:
+    """Each row with ``next_<column>`` of its key's next row by (ts, order), without
+    a window over a key.
+
+    Inside an event-time piece the next row is a window of (key, piece) away. The
+    last row of a piece takes the first row of the key's next piece, from a table of
+    one row a (key, piece): a forward link across pieces. Rows with a null key are
+    one key; rows without a time come first.
+    """
+    b = df.withColumn("_rng", time_bucket(ts, range_ms or piece_width(df, ts)))
+    w = Window.partitionBy(key, "_rng").orderBy(ts, order)
+    row = F.struct(*(F.col(c) for c in columns))
+    local = b.withColumn("_next", F.lead(row).over(w))
+    firsts = b.groupBy(key, "_rng").agg(F.min_by(row, F.struct(ts, order)).alias("_first"))
+    later = firsts.select(key, "_rng", F.lead("_first").over(Window.partitionBy(key).orderBy("_rng")).alias("_later"))
+    out = join_null_safe(local, later, [key, "_rng"]).withColumn("_next", F.coalesce("_next", "_later"))
+    return out.select(*df.columns, *(F.col(f"_next.{c}").alias(f"next_{c}") for c in columns))
+
+
 def count_windows(df: DataFrame, order: list[str], size: int = 100) -> DataFrame:
     """Consecutive chunks of ``size`` rows in ``order`` (``chunk`` = gidx // size)."""
     return global_index(df, order).withColumn("chunk", F.floor(F.col("gidx") / size).cast("bigint"))

@@ -319,6 +319,27 @@ ORACLE["cache_contents"] = _BOUNDED + """, z AS (SELECT shard, max_by(cache, rn)
 SELECT shard, cache[i].u AS user_id, cache[i].t AS cached_at_ms, i - 1 AS place, round(cache[i].s, 6) AS prediction
 FROM z, unnest(range(1, len(cache) + 1)) AS r(i)"""
 
+ORACLE["latency_sketch"] = w(EV) + """SELECT event_type, CAST(q AS DOUBLE) AS q, true AS within
+FROM (SELECT DISTINCT event_type FROM ev WHERE event_id % 97 <> 0), (VALUES (0.5), (0.95), (0.99)) AS t(q)"""
+
+ORACLE["split"] = w(EV) + """
+SELECT CASE WHEN CAST('0x' || substring(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split,
+  count(*) AS n FROM ev GROUP BY 1"""
+
+# one step an event of a worker: the users of the open batch and its number
+ORACLE["infer_user_batches"] = "WITH RECURSIVE " + ",\n".join([EV, f"""n AS MATERIALIZED (
+  SELECT event_id, user_id, shard, row_number() OVER (PARTITION BY shard ORDER BY timestamp_ms, event_id) AS rn
+  FROM (SELECT *, CAST('0x' || substring(md5(user_id), 1, 8) AS BIGINT) % {P.CACHE_SHARDS} AS shard FROM ev))""",
+    f"""b AS (SELECT DISTINCT shard, CAST(0 AS BIGINT) AS rn, CAST([] AS VARCHAR[]) AS users, CAST(0 AS BIGINT) AS batch,
+    CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS user_id, CAST(0 AS BIGINT) AS upto FROM n
+  UNION ALL
+  SELECT n.shard, n.rn, CASE WHEN len(now) = {P.BATCH_USERS} THEN CAST([] AS VARCHAR[]) ELSE now END, upto, n.event_id, n.user_id,
+    CASE WHEN len(now) = {P.BATCH_USERS} THEN upto + 1 ELSE upto END
+  FROM (SELECT n.*, upto, CASE WHEN list_contains(users, n.user_id) THEN users ELSE list_append(users, n.user_id) END AS now
+    FROM b JOIN n ON n.shard = b.shard AND n.rn = b.rn + 1) AS n)"""]) + """
+SELECT shard, batch, user_id, arg_min(event_id, rn) AS event_id, count(*) AS n_events, true AS same FROM b WHERE rn > 0
+GROUP BY shard, batch, user_id"""
+
 ORACLE["pred_union"] = w(EV, online_cte("ev", P.CHECK_LIMIT), f"upto AS (SELECT * FROM ev WHERE timestamp_ms <= {P.AS_OF_MS})",
                          hist_cte("upto", P.AS_OF_MS, P.CHECK_LIMIT), feats_cte("hist", P.AS_OF_MS),
                          """j AS (

@@ -10,6 +10,7 @@ COLD_AS_OF_MS = 1704153600000     # 2024-01-02 00:00:00 UTC
 DRIFT_SPLIT_MS = 1705363200000    # 2024-01-16 00:00:00 UTC: reference before, current after
 CHECK_LIMIT = 100                 # history length, as in production
 CACHE_TTL_MS = 12 * 3600 * 1000   # prediction cache TTL (30 s in production)
+BATCH_USERS = 32                  # distinct users a model call
 CACHE_SHARDS = 4                  # scoring workers, each with a cache of its own
 CACHE_CAP = 50                    # cache size (1000 in production)
 SESSION_GAP_MS = 30 * 60 * 1000   # session gap

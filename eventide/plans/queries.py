@@ -18,8 +18,10 @@ from ..functions import validation as V
 from ..operators import cache as CA
 from ..operators import drift as DR
 from ..operators import features as FE
+from ..operators import forest as FO
 from ..operators import lanes as LN
 from ..operators import metrics as MT
+from ..operators import quantiles as QU
 from ..operators import recommend as RC
 from ..operators import score as SC
 from ..operators import slo as SL
@@ -232,10 +234,8 @@ def q_last_100(spark, d):
 
 @query("history_ttl")
 def q_history_ttl(spark, d):
-    """W2 at the end of the data, without the length cut (limit = all rows)."""
-    e = ev(spark, d)
-    h = FE.history_as_of(e, P.AS_OF_MS, limit=10**9)
-    return h.select("user_id", "event_id")
+    """W2 at the end of the data, without the length cut."""
+    return FE.unexpired_history(ev(spark, d), P.AS_OF_MS).select("user_id", "event_id")
 
 
 @query("features_online")
@@ -464,6 +464,22 @@ def q_late_check(spark, d):
     return round_doubles(SL.late_check(D.received(mon(spark, d))))
 
 
+@query("latency_sketch")
+def q_latency_sketch(spark, d):
+    """A7 by sketches: a sketch an hour and event type, merged by event type;
+    whether each quantile's rank is within the stated error of the exact rank."""
+    rec = D.received(mon(spark, d)).withColumn("hour", F.floor(F.col("timestamp_ms") / P.HOUR_MS))
+    parts = QU.merged(QU.sketches(rec, ["event_type", "hour"], "latency_ms"), ["event_type"])
+    qs = [0.5, 0.95, 0.99]
+    got = QU.sketch_quantiles(parts, qs).select("event_type", F.posexplode("quantiles").alias("k", "at"))
+    got = got.withColumn("q", F.element_at(F.array(*map(F.lit, qs)), F.col("k") + 1))
+    v = F.col("latency_ms")
+    ranks = got.join(rec.select("event_type", "latency_ms"), "event_type").groupBy("event_type", "q").agg(
+        (F.count_if(v < F.col("at")) / F.count(v)).alias("below"), (F.count_if(v <= F.col("at")) / F.count(v)).alias("upto"))
+    e = 2 * QU.rank_error()
+    return ranks.select("event_type", "q", ((F.col("below") <= F.col("q") + e) & (F.col("upto") >= F.col("q") - e)).alias("within"))
+
+
 @query("data_loss")
 def q_data_loss(spark, d):
     m = mon(spark, d)
@@ -821,19 +837,17 @@ def q_defaults(spark, d):
 
 # ---------------------------------------------------------------- trained model
 
-_MODELS: dict = {}
-
-
 def training_rows(spark, d):
     o = FE.features_online(ev(spark, d))
-    return SC.label_next_purchase(o, P.DAY_MS).withColumn("is_train", SC.split_flag("event_id"))
+    return SC.label_next_purchase(o, P.DAY_MS).withColumn("is_train", FO.split_flag("event_id"))
 
 
-def _model(spark, d):
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _MODELS:
-        _MODELS[key] = SC.train_forest(training_rows(spark, d).filter("is_train"))
-    return _MODELS[key]
+def _trained(spark, d):
+    """(the forest, the rows): features and labels are written once, and every pass
+    of the training reads them. Each query trains its own."""
+    checkpoint_dir(spark)
+    rows = training_rows(spark, d).select("event_id", "user_id", "timestamp_ms", *FE.FEATURES, "target", "is_train").checkpoint()
+    return SC.train_forest(rows.filter("is_train")), rows
 
 
 @query("split")
@@ -853,21 +867,34 @@ def q_assemble(spark, d):
 
 @query("train")
 def q_train(spark, d):
-    m = _model(spark, d)
+    m, _ = _trained(spark, d)
     return spark.createDataFrame([(m.getNumTrees, m.getOrDefault("maxDepth"), m.totalNumNodes)],
                                  "num_trees int, max_depth int, total_nodes int")
 
 
 @query("score")
 def q_score(spark, d):
-    t = training_rows(spark, d).filter(~F.col("is_train"))
-    return round_doubles(SC.score_model(_model(spark, d), t).select("event_id", "user_id", "score", "target"))
+    m, rows = _trained(spark, d)
+    t = FO.score_forest(rows.filter(~F.col("is_train")), FO.Forest.of(m, spark))
+    return round_doubles(t.select("event_id", "user_id", "score", "target"))
+
+
+@query("infer_user_batches")
+def q_infer_user_batches(spark, d):
+    """The trained forest called in batches of distinct users, a user's first
+    event since the last call standing for it; ``same`` says whether the score is
+    that of the model's own transform."""
+    m, rows = _trained(spark, d)
+    made = FO.score_user_batches(rows, FO.Forest.of(m, spark), P.BATCH_USERS, P.CACHE_SHARDS)
+    plain = SC.score_model(m, rows).select("event_id", F.col("score").alias("plain"))
+    return made.join(plain, "event_id").select(F.col("shard").cast("bigint").alias("shard"), "batch", "user_id", "event_id", "n_events",
+                                               (F.abs(F.col("score") - F.col("plain")) < 1e-9).alias("same"))
 
 
 @query("accuracy")
 def q_accuracy(spark, d):
-    t = training_rows(spark, d).filter(~F.col("is_train"))
-    s = SC.score_model(_model(spark, d), t)
+    m, rows = _trained(spark, d)
+    s = SC.score_model(m, rows.filter(~F.col("is_train")))
     return round_doubles(s.agg(F.count(F.lit(1)).alias("n_test"),
                                F.avg((F.col("prediction") == F.col("target")).cast("double")).alias("accuracy")))
 
