@@ -181,6 +181,7 @@ def features_online(events: DataFrame, limit: int = HISTORY_LIMIT, ttl_ms: int =
                     key: str = "user_id", block: int = FRAME_BLOCK) -> DataFrame:
     """The features every event sees: its user's last ``limit`` events
     of the current history, the event itself included (store, then read).
+    ``recency`` is the time since the user's event before it (the default without one).
 
     Skew-safe frame: events are grouped in blocks of ``block`` consecutive
     events of a user; each block also receives the previous block's last
@@ -200,6 +201,5 @@ def features_online(events: DataFrame, limit: int = HISTORY_LIMIT, ttl_ms: int =
     out = (both.withColumn("avg_time_category", (n / n_cat).cast("double"))
                .withColumn("click_count", F.sum(is_click().cast("int")).over(w).cast("double"))
                .withColumn("purchase_count", F.sum(is_purchase().cast("int")).over(w).cast("double"))
-               .withColumn("recency", ((F.col("timestamp_ms") - F.max("timestamp_ms").over(w))
-                                       / MS_PER_MIN).cast("double")))
+               .withColumn("recency", F.coalesce("gap_minutes", F.lit(DEFAULT_FEATURES[FEATURES.index("recency")]))))
     return out.filter(~F.col("_ctx")).drop("_ctx", "_blk")

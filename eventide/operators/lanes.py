@@ -71,6 +71,38 @@ def retry_route(events: DataFrame, failed: Column, key: str = "user_id",
                .withColumn("retry_at_ms", F.col("timestamp_ms") + F.col("delay_ms")))
 
 
+def tagged_lanes(raw: DataFrame, failed: Column, processing: Column, limit: int | None = None, key: str = "user_id") -> DataFrame:
+    """S4 / M6 in one pass over the raw events: every output row of every lane with
+    its ``lane``, so a sink writes them all at once (``partitionBy("lane")``).
+
+    A success carries its prediction, event and processing time; a broken rule its
+    field, value and message; a dead letter the event, the error and the count; a
+    pending retry its count and time. An invalid event goes along under a key of its
+    own, so it neither sees nor changes a user's history or failures.
+    """
+    from .features import FEATURES, HISTORY_LIMIT, features_online
+    from ..functions.expr import score_linear
+    chk = V.with_errors(raw)
+    ts = V.ts_value(F.col("timestamp_ms").cast("string"))
+    rows = (chk.select(*(F.col(c) for c in raw.columns if c != "timestamp_ms"), ts.alias("timestamp_ms"), F.explode_outer("errors").alias("_e"))
+            .withColumn("_bad", F.col("_e").isNotNull())
+            .withColumn("_who", F.when(F.col("_bad"), F.concat(F.lit("\u0000"), F.col("event_id").cast("string"))).otherwise(F.col(key))))
+    seen = features_online(rows, limit or HISTORY_LIMIT, key="_who")
+    r = retry_route(seen, failed & ~F.col("_bad"), "_who")
+    lane = F.when(F.col("_bad"), F.lit("validation_errors")).otherwise(F.col("route"))
+    of = lambda name, value: F.when(lane == name, value)
+    return r.select(
+        lane.alias("lane"), "event_id", key, of("success", F.col("product_id")).alias("product_id"),
+        of("success", score_linear(*FEATURES)).alias("prediction"), F.col("timestamp_ms").alias("event_time"),
+        of("success", processing).alias("processing_time"), of("success", F.lit("SUCCESS")).alias("status"),
+        F.col("_e.field").alias("field"), F.col("_e.value").alias("bad_value"), F.col("_e.message").alias("validation_rule"),
+        of("dlq", event_json()).alias("original_event"),
+        of("dlq", F.concat(F.lit("model input out of range for "), F.col("product_id"))).alias("error_message"),
+        of("dlq", F.lit("ScoringError")).alias("error_type"),
+        F.when(lane.isin("dlq", "retry"), F.col("retry_count").cast("bigint")).alias("retry_count"),
+        of("retry", F.col("retry_at_ms")).alias("retry_at_ms"))
+
+
 def classify(raw: DataFrame, failed: Column, key: str = "user_id") -> DataFrame:
     """E3 in batch: validation, then retry routing of the valid rows.
 

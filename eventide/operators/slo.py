@@ -7,7 +7,7 @@ holds a group's values (:mod:`quantiles`, which also has mergeable sketches).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import exact_quantiles
@@ -43,6 +43,18 @@ def latency_sla(df: DataFrame, by: list[str], v: str = "latency_ms",
     return out.withColumn("sla_pass", F.when(F.col("n_positive") > 0, F.col("p95") < limit))
 
 
+def latency_components(df: DataFrame, components: dict[str, Column], total: str) -> DataFrame:
+    """Mean, p95 and band of each component's latency (by its p95), and which
+    component, the ``total`` aside, is the offender: the slowest one above "low"."""
+    from ..functions.expr import latency_band
+    long = df.select(F.explode(F.array(*(F.struct(F.lit(k).alias("component"), v.cast("double").alias("v"))
+                                         for k, v in components.items()))).alias("x")).select("x.component", "x.v")
+    s = _statistics(long, ["component"], F.col("v")).select("component", "n", "mean", "p95").withColumn("band", latency_band("p95"))
+    worst = F.max(F.when(F.col("component") != total, F.col("p95"))).over(Window.partitionBy(F.lit(0)))  # one row a component
+    own = (F.col("component") != total) & (F.col("band") != "low") & (F.col("p95") == worst)
+    return s.withColumn("offender", own)
+
+
 def late_rate(df: DataFrame, by: list[Column | str], late: str = "is_late_arrival") -> DataFrame:
     """100 * late / total per group (0 for an empty group)."""
     return (df.groupBy(*by)

@@ -209,7 +209,7 @@ def online_cte(src: str, limit: int, name: str = "onl") -> str:
       AS avg_time_category,
     CAST(count(*) FILTER (WHERE event_type IN ('click','view')) OVER w AS DOUBLE) AS click_count,
     CAST(count(*) FILTER (WHERE event_type = 'purchase') OVER w AS DOUBLE) AS purchase_count,
-    (timestamp_ms - max(timestamp_ms) OVER w) / 60000.0 AS recency
+    coalesce((timestamp_ms - prev) / 60000.0, 1440.0) AS recency
   FROM {name}_s1
   WINDOW w AS (PARTITION BY user_id, hist_session ORDER BY timestamp_ms, event_id
                ROWS BETWEEN {limit - 1} PRECEDING AND CURRENT ROW))"""
@@ -282,8 +282,24 @@ ORACLE["score_fallback"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + f"""
 SELECT event_id, CASE WHEN value >= 200.0 THEN 0.5 ELSE round({score_sql()}, 6) END AS prediction,
   value >= 200.0 AS fallback, CASE WHEN value >= 200.0 THEN 'scoring failed' END AS error FROM onl"""
 
-ORACLE["score_success"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + """
-SELECT event_id, user_id, product_id, timestamp_ms, 'SUCCESS' AS status FROM rt WHERE route = 'success'"""
+_TAKEN = "timestamp_ms + CAST(trunc(value * 10) AS BIGINT) % 100"
+_LANES = (EV, RAW, CHK, online_cte("valid", P.CHECK_LIMIT), retry_cte("onl", FAILS))
+
+ORACLE["score_success"] = w(*_LANES) + f"""
+SELECT event_id, user_id, product_id, round({score_sql()}, 6) AS prediction, timestamp_ms AS event_time, {_TAKEN} AS processing_time,
+  'SUCCESS' AS status FROM rt WHERE route = 'success'"""
+
+ORACLE["event_lanes"] = w(*_LANES) + f"""
+SELECT 'success' AS lane, event_id, user_id, product_id, round({score_sql()}, 6) AS prediction, timestamp_ms AS event_time,
+  {_TAKEN} AS processing_time, 'SUCCESS' AS status, NULL AS field, NULL AS bad_value, NULL AS validation_rule, NULL AS original_event,
+  NULL AS error_message, NULL AS error_type, CAST(NULL AS BIGINT) AS retry_count, CAST(NULL AS BIGINT) AS retry_at_ms
+  FROM rt WHERE route = 'success'
+UNION ALL SELECT 'validation_errors', event_id, user_id, NULL, NULL, timestamp, NULL, NULL, field, value, validation_rule, NULL, NULL,
+  NULL, NULL, NULL FROM verr
+UNION ALL SELECT 'dlq', event_id, user_id, NULL, NULL, timestamp_ms, NULL, NULL, NULL, NULL, NULL, {_EVENT_JSON},
+  'model input out of range for ' || product_id, 'ScoringError', retry_count, NULL FROM rt WHERE route = 'dlq'
+UNION ALL SELECT 'retry', event_id, user_id, NULL, NULL, timestamp_ms, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, retry_count,
+  timestamp_ms + delay_ms FROM rt WHERE route = 'retry'"""
 
 ORACLE["infer_batches"] = w(EV, online_cte("ev", P.CHECK_LIMIT)) + f"""
 SELECT event_id, round({score_sql()}, 6) AS prediction FROM onl"""
@@ -403,6 +419,14 @@ ORACLE["latency_band"] = w(EV, MON) + """
 SELECT event_type, CASE WHEN latency_ms > 30 THEN 'high' WHEN latency_ms > 15 THEN 'medium' ELSE 'low' END AS band,
   count(*) AS n FROM mon2 GROUP BY ALL"""
 
+ORACLE["latency_components"] = w(EV, MON, """c AS (
+  SELECT 'delivery' AS component, arrival_ms - timestamp_ms AS v FROM mon2
+  UNION ALL SELECT 'processing', latency_ms FROM mon2
+  UNION ALL SELECT 'end_to_end', arrival_ms - timestamp_ms + latency_ms FROM mon2)""",
+    """p AS (SELECT component, count(v) AS n, round(avg(v), 6) AS mean, round(quantile_cont(v, 0.95), 6) AS p95 FROM c GROUP BY component)""") + """
+SELECT *, CASE WHEN p95 > 30 THEN 'high' WHEN p95 > 15 THEN 'medium' ELSE 'low' END AS band,
+  component <> 'end_to_end' AND p95 > 15 AND p95 = max(CASE WHEN component <> 'end_to_end' THEN p95 END) OVER () AS offender FROM p"""
+
 ORACLE["late_rate"] = w(EV, MON) + f"""
 SELECT timestamp_ms - timestamp_ms % {P.HOUR_MS} AS window_start_ms, count(*) AS n,
   count(*) FILTER (WHERE is_late_arrival) AS n_late,
@@ -486,7 +510,8 @@ LEFT JOIN (SELECT timestamp_ms - timestamp_ms % {P.DAY_MS} AS day_ms, count(*) A
 USING (day_ms)"""
 
 ORACLE["error_counters"] = w(EV, RAW, CHK, retry_cte("valid", FAILS)) + """
-SELECT 'validation_errors_total' AS counter, field AS label_a, validation_rule AS label_b, count(*) AS n FROM verr GROUP BY ALL
+SELECT 'validation_errors_total' AS counter, field AS label_a, split_part(validation_rule, ':', 1) AS label_b, count(*) AS n
+FROM verr GROUP BY ALL
 UNION ALL SELECT 'dlq_messages_total', 'ScoringError', NULL, count(*) FROM rt WHERE route = 'dlq' HAVING count(*) > 0"""
 
 

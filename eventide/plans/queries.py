@@ -116,6 +116,12 @@ def fanout(spark, d):
     return LN.fanout_lanes(raw(spark, d), D.scoring_fails())
 
 
+@shared_plan
+def event_lanes(spark, d):
+    """All lanes of the raw events, tagged, with predictions and times."""
+    return LN.tagged_lanes(raw(spark, d), D.scoring_fails(), D.processing_ms(), P.CHECK_LIMIT)
+
+
 # ---------------------------------------------------------------- flagship
 
 def user_scores_plan(events: DataFrame, as_of_ms: int, limit: int) -> DataFrame:
@@ -312,8 +318,14 @@ def q_score_fallback(spark, d):
 
 @query("score_success")
 def q_score_success(spark, d):
-    lanes = fanout(spark, d)
-    return lanes["success"]
+    s = event_lanes(spark, d).where("lane = 'success'")
+    return round_doubles(s.select("event_id", "user_id", "product_id", "prediction", "event_time", "processing_time", "status"))
+
+
+@query("event_lanes")
+def q_event_lanes(spark, d):
+    """The rows of all lanes, from one pass over the raw events."""
+    return round_doubles(event_lanes(spark, d))
 
 
 @query("infer_batches")
@@ -434,6 +446,14 @@ def q_latency_band(spark, d):
     return m.groupBy("event_type", "band").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("latency_components")
+def q_latency_components(spark, d):
+    """P14 per component: delivery, processing and both, with the offender."""
+    delivery = F.col("arrival_ms") - F.col("timestamp_ms")
+    return round_doubles(SL.latency_components(mon(spark, d), {
+        "delivery": delivery, "processing": F.col("latency_ms"), "end_to_end": delivery + F.col("latency_ms")}, "end_to_end"))
+
+
 @query("late_rate")
 def q_late_rate(spark, d):
     m = WN.tumble(mon(spark, d), P.HOUR_MS)
@@ -543,7 +563,8 @@ def q_dlq_share(spark, d):
 def q_error_counters(spark, d):
     """A5: validation errors by (field, rule) and dead letters by error type."""
     lanes = fanout(spark, d)
-    v = lanes["validation_errors"].groupBy("field", "validation_rule").agg(F.count(F.lit(1)).alias("n"))
+    rule = F.split_part("validation_rule", F.lit(":"), F.lit(1)).alias("validation_rule")  # without the bad value: few series
+    v = lanes["validation_errors"].groupBy("field", rule).agg(F.count(F.lit(1)).alias("n"))
     v = v.select(F.lit("validation_errors_total").alias("counter"), F.col("field").alias("label_a"),
                  F.col("validation_rule").alias("label_b"), "n")
     q = lanes["dlq"].groupBy("error_type").agg(F.count(F.lit(1)).alias("n")).select(

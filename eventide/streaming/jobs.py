@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import validation as V
+from ..functions.expr import DEFAULT_FEATURES
 from ..sources.events import RAW_EVENT_SCHEMA, parse_events
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -225,11 +226,10 @@ class FeatureProcessor(StatefulProcessor):
             cats = {("\u0000null" if c is None else c) for _, c, _ in hist}
             clicks = sum(1 for _, _, t in hist if t in ("click", "view"))
             buys = sum(1 for _, _, t in hist if t == "purchase")
-            newest = max(t for t, _, _ in hist)
             yield Row(user_id=uid, event_id=r.event_id, product_id=r.product_id, timestamp_ms=r.timestamp_ms,
                       gap_minutes=None if gap is None else gap / 60000.0,
                       avg_time_category=n / len(cats), click_count=float(clicks),
-                      purchase_count=float(buys), recency=(r.timestamp_ms - newest) / 60000.0)
+                      purchase_count=float(buys), recency=DEFAULT_FEATURES[3] if gap is None else gap / 60000.0)
         self.recent.clear()
         if hist:
             self.recent.put(hist)
