@@ -146,6 +146,24 @@ def metric_table(mon: DataFrame, verr: DataFrame, dlq: DataFrame) -> DataFrame:
     return out
 
 
+def operator_buckets(mon: DataFrame, job: str = "flink") -> DataFrame:
+    """Latency bucket counters by job and operator (the load scenario that it serves)."""
+    m = mon.withColumn("ts_ms", hour_end()).withColumnRenamed("load_scenario", "operator").withColumn("job", F.lit(job))
+    lat = F.col("latency_ms")
+    h = m.groupBy("ts_ms", "job", "operator").agg(*[F.count_if(lat <= float(b)).alias("le_" + b) for b in LE_BOUNDS[:-1]],
+                                                  F.count(F.lit(1)).alias("le_inf"))
+    x = h.select("ts_ms", "job", "operator", F.explode(F.array(*[
+        F.struct(F.lit(b).alias("le"), F.col("le_" + (b if b != "+Inf" else "inf")).alias("inc")) for b in LE_BOUNDS])).alias("x"))
+    x = x.select("ts_ms", "job", "operator", "x.le", "x.inc")
+    return _sample(x, "operator_latency_bucket", [("job", "job"), ("le", "le"), ("operator", "operator")],
+                   _counter(x, ["job", "operator", "le"], "inc"))
+
+
+def drift_samples(daily: DataFrame, day_ms: int = 24 * HOUR_MS) -> DataFrame:
+    """The daily drift score (D6: day_ms, drift_score) as samples at the day's end."""
+    return _sample(daily.select((F.col("day_ms") + day_ms).alias("ts_ms"), "drift_score"), "data_drift_score", [], F.col("drift_score"))
+
+
 # ---------------------------------------------------------------- range functions
 
 def increase(metrics: DataFrame, range_ms: int) -> DataFrame:
@@ -171,9 +189,11 @@ def latest(metrics: DataFrame) -> DataFrame:
         F.max_by("labels", "ts_ms").alias("labels"))
 
 
-def threshold(metrics: DataFrame, metric: str, op: str, bound: float) -> DataFrame:
-    """Instant comparison on the latest sample of each series of ``metric``."""
-    lt = latest(metrics.filter(F.col("metric") == metric))
+def threshold(metrics: DataFrame, metric: str, op: str, bound: float, matchers: tuple = ()) -> DataFrame:
+    """Instant comparison on the latest sample of each series of ``metric``
+    whose labels match (see :mod:`rules`)."""
+    from .rules import Term
+    lt = latest(metrics.filter(Term(metric, matchers).selects()))
     cond = {">": F.col("value") > bound, "==": F.col("value") == bound, "<": F.col("value") < bound}[op]
     return lt.withColumn("firing", cond)
 
@@ -184,8 +204,9 @@ def sum_by(metrics: DataFrame, metric: str, label: str) -> DataFrame:
     return lt.groupBy(F.col("labels")[label].alias(label)).agg(F.sum("value").alias("value"))
 
 
-def histogram_quantile(metrics: DataFrame, q: float, bucket_metric: str, range_ms: int) -> DataFrame:
-    """Quantile from cumulative buckets of sum(rate(bucket)) by (le), at each time.
+def histogram_quantile(metrics: DataFrame, q: float, bucket_metric: str, range_ms: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """Quantile from cumulative buckets of sum(rate(bucket)) by (le, and the
+    labels ``by``), at each time.
 
     rank = q * count(+Inf); the first bucket whose count reaches the rank is
     interpolated linearly from the previous bound (0 for the first bucket);
@@ -193,21 +214,22 @@ def histogram_quantile(metrics: DataFrame, q: float, bucket_metric: str, range_m
     """
     r = rate(metrics.filter(F.col("metric") == bucket_metric), range_ms)
     le = F.col("labels")["le"]
-    per = r.groupBy("ts_ms", le.alias("le")).agg(F.sum("rate").alias("c"))
+    per = r.groupBy("ts_ms", *(F.col("labels")[b].alias(b) for b in by), le.alias("le")).agg(F.sum("rate").alias("c"))
+    group = ["ts_ms", *by]
     per = per.withColumn("bound", F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").cast("double")))
-    w = Window.partitionBy("ts_ms").orderBy("bound")
+    w, whole = Window.partitionBy(*group).orderBy("bound"), Window.partitionBy(*group)
     per = (per.withColumn("prev_bound", F.coalesce(F.lag("bound").over(w), F.lit(0.0)))
               .withColumn("prev_c", F.coalesce(F.lag("c").over(w), F.lit(0.0)))
-              .withColumn("total", F.max(F.when(F.col("le") == "+Inf", F.col("c"))).over(Window.partitionBy("ts_ms")))
-              .withColumn("max_finite", F.max(F.when(F.col("le") != "+Inf", F.col("bound"))).over(Window.partitionBy("ts_ms")))
+              .withColumn("total", F.max(F.when(F.col("le") == "+Inf", F.col("c"))).over(whole))
+              .withColumn("max_finite", F.max(F.when(F.col("le") != "+Inf", F.col("bound"))).over(whole))
               .withColumn("rank", F.col("total") * q))
     hit = per.filter((F.col("c") >= F.col("rank")) & (F.col("total") > 0))
-    first = hit.groupBy("ts_ms").agg(F.min_by(F.struct("bound", "prev_bound", "c", "prev_c", "rank", "max_finite"),
+    first = hit.groupBy(*group).agg(F.min_by(F.struct("bound", "prev_bound", "c", "prev_c", "rank", "max_finite"),
                                               "bound").alias("b"))
     val = F.when(F.col("b.bound") == float("inf"), F.col("b.max_finite")).otherwise(
         F.col("b.prev_bound") + (F.col("b.bound") - F.col("b.prev_bound"))
         * (F.col("b.rank") - F.col("b.prev_c")) / (F.col("b.c") - F.col("b.prev_c")))
-    return first.select("ts_ms", val.alias("quantile"))
+    return first.select(*group, val.alias("quantile"))
 
 
 def ratio_of_rates(metrics: DataFrame, num: str, den: str, range_ms: int) -> DataFrame:
@@ -301,8 +323,8 @@ def bands(values: DataFrame, metric_col: str = "metric", value_col: str = "value
     end; a null value or a metric without bands keeps its row with a null band."""
     spark = values.sparkSession
     b = spark.createDataFrame(BANDS, "bmetric string, bound double, band string")
-    j = values.join(F.broadcast(b), F.col(metric_col) == F.col("bmetric"), "left")
-    reached = F.max_by(F.when(F.col("bound") <= F.col(value_col), F.col("band")),
-                       F.when(F.col("bound") <= F.col(value_col), F.col("bound")))
-    lowest = F.when(F.col(value_col).isNotNull(), F.min_by("band", "bound"))
-    return j.groupBy(*values.columns).agg(F.coalesce(reached, lowest).alias("band"))
+    steps = b.groupBy("bmetric").agg(F.array_sort(F.collect_list(F.struct("bound", "band"))).alias("_steps"))  # one row a metric
+    j = values.join(F.broadcast(steps), F.col(metric_col) == F.col("bmetric"), "left")
+    reached = F.element_at(F.filter("_steps", lambda s: s["bound"] <= F.col(value_col)), -1)["band"]
+    lowest = F.when(F.col(value_col).isNotNull(), F.col("_steps")[0]["band"])
+    return j.withColumn("band", F.coalesce(reached, lowest)).drop("bmetric", "_steps")

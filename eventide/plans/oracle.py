@@ -776,6 +776,64 @@ ORACLE["alert_for"] = w(*METRICS, """ct AS (SELECT series, ts_ms, value > 75.0 A
 SELECT series, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, min(ts_ms) + 300000 AS fires_from_ms,
   max(ts_ms) >= min(ts_ms) + 300000 AS fired FROM isl WHERE c GROUP BY series, k"""
 
+# values of all rules and panels: rates over the time that samples cover, labels as in the series' name
+_EVALUATED = [*METRICS, "drift AS (" + ORACLE["drift_alert"] + ")",
+              """smp AS (SELECT metric, series, ts_ms, value FROM metrics
+  UNION ALL SELECT 'data_drift_score', 'data_drift_score', day_ms + 86400000, drift_score FROM drift)""",
+              f"""rng AS (SELECT metric, ts_ms, value, regexp_extract(series, '\\{{(.*)\\}}', 1) AS labels, sum(rise) OVER r AS increase,
+    sum(step) OVER r AS covered FROM (SELECT *, CASE WHEN lag(value) OVER s IS NULL THEN 0.0 WHEN value < lag(value) OVER s THEN value
+      ELSE value - lag(value) OVER s END AS rise, coalesce(least(ts_ms - lag(ts_ms) OVER s, 3600000), 0) AS step
+      FROM smp WINDOW s AS (PARTITION BY series ORDER BY ts_ms))
+    WINDOW r AS (PARTITION BY series ORDER BY ts_ms RANGE BETWEEN {P.METRIC_RANGE_MS - 1} PRECEDING AND CURRENT ROW))""",
+              """rt8 AS (SELECT *, increase * 1000.0 / covered AS rate FROM rng WHERE covered > 0)""",
+              """vals AS (SELECT metric AS name, labels, ts_ms, value FROM rng WHERE metric IN ('kafka_consumergroup_lag',
+    'flink_taskmanager_job_task_operator_currentEmitEventTimeLag', 'ml_inference_latency_p95', 'data_drift_score', 'up')
+  UNION ALL SELECT 'dlq_rate', labels, ts_ms, rate FROM rt8 WHERE metric = 'dlq_messages_total'
+  UNION ALL SELECT 'throughput_per_s', '', ts_ms, sum(rate) FROM rt8 WHERE metric = 'events_total' GROUP BY ts_ms
+  UNION ALL SELECT 'cpu_busy_pct', regexp_extract(labels, 'instance=[^,]*'), ts_ms, 100.0 - avg(rate) * 100 FROM rt8
+    WHERE metric = 'node_cpu_seconds_total' GROUP BY ALL
+  UNION ALL SELECT 'memory_used_pct', 'instance=' || instance, ts_ms, value FROM mem)"""]
+
+ORACLE["alert_rules"] = w(*_EVALUATED, _RULES, """ct AS (
+  SELECT alert, severity, labels, ts_ms, for_min, CASE WHEN op = '>' THEN value > bound ELSE value = bound END AS c
+  FROM vals JOIN rules ON name = CASE expr WHEN 'rate:dlq_messages_total' THEN 'dlq_rate' ELSE expr END)""",
+                          """isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR NOT was OR ts_ms - prev > 3600000 THEN 1 ELSE 0 END)
+  OVER (PARTITION BY alert, severity, labels ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k
+  FROM (SELECT *, lag(ts_ms) OVER s AS prev, lag(c) OVER s AS was FROM ct
+        WINDOW s AS (PARTITION BY alert, severity, labels ORDER BY ts_ms)))""") + """
+SELECT alert, severity, labels, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, min(ts_ms) + any_value(for_min) * 60000 AS fires_from_ms,
+  max(ts_ms) >= min(ts_ms) + any_value(for_min) * 60000 AS fired FROM isl WHERE c GROUP BY alert, severity, labels, k"""
+
+ORACLE["panels"] = w(*_EVALUATED, """now AS (SELECT name AS metric, labels, arg_max(value, ts_ms) AS value FROM vals
+  WHERE name IN ('kafka_consumergroup_lag', 'ml_inference_latency_p95', 'data_drift_score', 'cpu_busy_pct', 'memory_used_pct',
+    'throughput_per_s') GROUP BY ALL)""") + """
+SELECT metric, labels, round(value, 6) AS value, CASE metric
+  WHEN 'kafka_consumergroup_lag' THEN CASE WHEN value >= 1000 THEN 'red' WHEN value >= 500 THEN 'yellow' ELSE 'green' END
+  WHEN 'ml_inference_latency_p95' THEN CASE WHEN value >= 75 THEN 'red' WHEN value >= 50 THEN 'yellow' ELSE 'green' END
+  WHEN 'data_drift_score' THEN CASE WHEN value >= 0.2 THEN 'red' WHEN value >= 0.1 THEN 'yellow' ELSE 'green' END
+  WHEN 'throughput_per_s' THEN CASE WHEN value >= 500 THEN 'green' WHEN value >= 100 THEN 'yellow' ELSE 'red' END
+  ELSE CASE WHEN value >= 90 THEN 'red' WHEN value >= 70 THEN 'yellow' ELSE 'green' END END AS band FROM now"""
+
+ORACLE["m_cpu_covered"] = w(*_EVALUATED) + """
+SELECT labels, ts_ms, round(value, 6) AS value FROM vals WHERE name = 'cpu_busy_pct'"""
+
+ORACLE["m_hist_quantile_by"] = w(EV, MON, """ob AS (SELECT load_scenario AS operator, timestamp_ms - timestamp_ms % 3600000 + 3600000 AS ts_ms,
+    count(*) FILTER (WHERE latency_ms <= 10) AS b10, count(*) FILTER (WHERE latency_ms <= 20) AS b20,
+    count(*) FILTER (WHERE latency_ms <= 50) AS b50, count(*) FILTER (WHERE latency_ms <= 100) AS b100, count(*) AS binf
+    FROM mon2 GROUP BY ALL)""", """ox AS (SELECT operator, ts_ms, unnest([10.0, 20.0, 50.0, 100.0, 'inf'::DOUBLE]) AS bound,
+    unnest([b10, b20, b50, b100, binf]) AS inc FROM ob)""", f"""oc AS (SELECT *, sum(inc) OVER (PARTITION BY operator, bound,
+    floor(ts_ms / {_W}) ORDER BY ts_ms {_RUN}) AS value FROM ox)""",
+    """od AS (SELECT *, CASE WHEN lag(value) OVER s IS NULL THEN 0.0 WHEN value < lag(value) OVER s THEN value
+    ELSE value - lag(value) OVER s END AS rise FROM oc WINDOW s AS (PARTITION BY operator, bound ORDER BY ts_ms))""",
+    f"""oq AS (SELECT operator, ts_ms, bound, sum(rise) OVER (PARTITION BY operator, bound ORDER BY ts_ms
+    RANGE BETWEEN {P.METRIC_RANGE_MS - 1} PRECEDING AND CURRENT ROW) / {P.METRIC_RANGE_MS / 1000.0} AS c FROM od)""",
+    """op AS (SELECT *, coalesce(lag(bound) OVER s, 0.0) AS pb, coalesce(lag(c) OVER s, 0.0) AS pc,
+    max(CASE WHEN bound = 'inf'::DOUBLE THEN c END) OVER g AS total FROM oq
+    WINDOW s AS (PARTITION BY operator, ts_ms ORDER BY bound), g AS (PARTITION BY operator, ts_ms))""",
+    """oh AS (SELECT * FROM op WHERE total > 0 AND c >= total * 0.95 QUALIFY row_number() OVER (PARTITION BY operator, ts_ms ORDER BY bound) = 1)""") + """
+SELECT ts_ms, 'flink' AS job, operator, round(CASE WHEN bound = 'inf'::DOUBLE THEN 100.0
+  ELSE pb + (bound - pb) * (total * 0.95 - pc) / (c - pc) END, 6) AS quantile FROM oh"""
+
 ORACLE["m_bands"] = w(*METRICS, """bands AS (SELECT * FROM (VALUES
   ('kafka_consumergroup_lag', 0.0, 'green'), ('kafka_consumergroup_lag', 500.0, 'yellow'), ('kafka_consumergroup_lag', 1000.0, 'red'),
   ('ml_inference_latency_p95', 0.0, 'green'), ('ml_inference_latency_p95', 50.0, 'yellow'), ('ml_inference_latency_p95', 75.0, 'red'),

@@ -23,6 +23,7 @@ from ..operators import lanes as LN
 from ..operators import metrics as MT
 from ..operators import quantiles as QU
 from ..operators import recommend as RC
+from ..operators import rules as RU
 from ..operators import score as SC
 from ..operators import slo as SL
 from ..operators import windows as WN
@@ -696,7 +697,7 @@ def q_m_increase(spark, d):
 
 @query("m_up")
 def q_m_up(spark, d):
-    return MT.threshold(metric_samples(spark, d), "up", "==", 0.0).select("series", "ts_ms", "value", "firing")
+    return MT.threshold(metric_samples(spark, d), "up", "==", 0.0, (("job", "=", "flink"),)).select("series", "ts_ms", "value", "firing")
 
 
 @query("m_rate")
@@ -747,6 +748,39 @@ def q_alerts(spark, d):
         "alert", "severity", "series", "start_ms", "end_ms", "fires_from_ms", "fired")
 
 
+@shared_plan
+def rule_samples(spark, d):
+    """The metric table and the daily drift score."""
+    return metric_samples(spark, d).unionByName(MT.drift_samples(QUERIES["drift_alert"](spark, d)))
+
+
+@query("alert_rules")
+def q_alert_rules(spark, d):
+    """All rules by the evaluator, with matchers, groups and covered ranges."""
+    return RU.alert_intervals(rule_samples(spark, d), P.METRIC_RANGE_MS).select(
+        "alert", "severity", "labels", "start_ms", "end_ms", "fires_from_ms", "fired")
+
+
+@query("panels")
+def q_panels(spark, d):
+    """The dashboard's panels with their bands (back-pressure has no source here)."""
+    return round_doubles(MT.bands(RU.panel_values(rule_samples(spark, d), P.METRIC_RANGE_MS)))
+
+
+@query("m_cpu_covered")
+def q_m_cpu_covered(spark, d):
+    """T8 over covered time: hours without samples are neither busy nor idle."""
+    cpu = tuple(p for p in RU.PANELS if p.name == "cpu_busy_pct")
+    return round_doubles(RU.evaluate(metric_samples(spark, d), cpu, P.METRIC_RANGE_MS).select("labels", "ts_ms", "value"))
+
+
+@query("m_hist_quantile_by")
+def q_m_hist_quantile_by(spark, d):
+    """T6 by job and operator."""
+    return round_doubles(MT.histogram_quantile(MT.operator_buckets(mon(spark, d)), 0.95, "operator_latency_bucket", P.METRIC_RANGE_MS,
+                                               ("job", "operator")))
+
+
 @query("alert_for")
 def q_alert_for(spark, d):
     """W11 alone: p95 latency above 75 ms for 5 minutes, on hourly samples."""
