@@ -16,6 +16,12 @@ sets. The work is done on distinct sets; equal sets share their answers.
 Before full sets are compared, bit maps of the sets (a bit or two a shingle, an
 exact bound on the overlap) drop the pairs that cannot link.
 
+5. All links are inside components. There each set is held as its differences from
+   the component's leader, whose overlaps with all sets are then known; any other
+   pair's overlap is derived from those by the shingles in which the two differ.
+   Blocks of sets whose sizes are too far apart never meet. Links are counted, not
+   emitted as pairs.
+
 Sets are named by 64-bit digests of 64-bit shingle hashes.
 
 Defined results: null or empty text (and text without words) has size 0, links
@@ -34,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .components import connected_components
-from .runtime import scope, stored, texts_of
+from .runtime import discard, scope, stored, texts_of
 from .words import LOWER, SPACE_WORDS, mix, shingle_hashes, span_hashes, text_chunks, word_spans
 
 #: Buckets of the count sketch (2 ** 18 counts of 8 bytes are 2 MB, whatever the corpus).
@@ -349,15 +355,157 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stored(lower.union(upper), "roots")
 
 
+# --- links within the components ---------------------------------------------
+
+def _band(n: Column) -> Column:
+    """Size bands so wide that linked sets are in the same or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(SHARE[1] / SHARE[0])) + 1e-9).cast("int")
+
+
+def _against_leader(members: DataFrame) -> DataFrame:
+    """cls, root, n, copies, lead_n, minus, plus: each set as the leader's shingles
+    that it lacks and its own that the leader lacks (the leader is the set that names
+    the component)."""
+    leaders = members.where("cls = root").select(F.col("root").alias("_r"), F.col("shingles").alias("lead"))
+    both = members.join(leaders, F.col("root") == F.col("_r")).select("cls", "root", "copies", "shingles", "lead")
+
+    def run(batches):
+        for b in batches:
+            n, lead_n, minus, plus = [], [], [], []
+            for s, lead in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+                s, lead = np.frombuffer(s, np.uint64), np.frombuffer(lead, np.uint64)
+                n.append(len(s))
+                lead_n.append(len(lead))
+                minus.append(np.setdiff1d(lead, s, assume_unique=True).tobytes())
+                plus.append(np.setdiff1d(s, lead, assume_unique=True).tobytes())
+            yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(n, pa.int32()), pa.array(lead_n, pa.int32()),
+                                   pa.array(minus, pa.binary()), pa.array(plus, pa.binary())],
+                                  ["cls", "root", "copies", "n", "lead_n", "minus", "plus"])
+
+    return both.mapInArrow(run, "cls long, root long, copies long, n int, lead_n int, minus binary, plus binary")
+
+
+def _common(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """How many shingles each of one shares with each of two (sorted lists of them)."""
+    sides = []
+    for side in (one, two):
+        own = [np.frombuffer(x, np.uint64) for x in side]
+        token = np.concatenate(own) if own else np.zeros(0, np.uint64)
+        row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        order = np.argsort(token, kind="stable")
+        sides.append((token[order], row[order]))
+    (ta, ra), (tb, rb) = sides
+    out = np.zeros((len(one), len(two)), np.int32)
+    shared = np.intersect1d(ta, tb)
+    a0, a1 = np.searchsorted(ta, shared), np.searchsorted(ta, shared, "right")
+    b0, b1 = np.searchsorted(tb, shared), np.searchsorted(tb, shared, "right")
+    many = (a1 - a0) * (b1 - b0)
+    for i in np.flatnonzero(many > 4096).tolist():  # a shingle of many sets: a block at once
+        out[np.ix_(ra[a0[i]:a1[i]], rb[b0[i]:b1[i]])] += 1
+    few = np.flatnonzero(many <= 4096)
+    cuts = np.searchsorted(np.cumsum(many[few]), np.arange(1 << 20, int(many[few].sum()) + (1 << 20), 1 << 20))
+    for part in np.split(few, np.unique(cuts[cuts < len(few)])):
+        size = many[part]
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        wide = np.repeat(b1[part] - b0[part], size)
+        i, j = ra[np.repeat(a0[part], size) + place // np.maximum(wide, 1)], rb[np.repeat(b0[part], size) + place % np.maximum(wide, 1)]
+        out += np.bincount(i * len(two) + j, minlength=out.size).reshape(out.shape).astype(np.int32)
+    return out
+
+
+def _answers(key, rows):
+    """Links of the sets of one block with those of another (or among themselves).
+
+    The leader's answers, its overlaps with every set, are known from what each set
+    lacks of it; the overlap of any two sets follows from them by the shingles in
+    which the two differ from the leader: |L| - |lack S| - |lack T| + |lack both| +
+    |more both|."""
+    same = key[1].as_py() == key[2].as_py() and key[3].as_py() == key[4].as_py()
+    side = rows.column("side").to_numpy()
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
+    cls, n, copies = (rows.column(c).to_numpy().astype(np.int64) for c in ("cls", "n", "copies"))
+    lead = rows.column("lead_n").to_numpy().astype(np.int64)
+    minus, plus = rows.column("minus").to_pylist(), rows.column("plus").to_pylist()
+    lack = np.array([len(x) // 8 for x in minus], np.int64)
+    pick = lambda values, at: [values[i] for i in at.tolist()]
+    both = (lead[one][:, None] - lack[one][:, None] - lack[two][None, :] + _common(pick(minus, one), pick(minus, two))
+            + _common(pick(plus, one), pick(plus, two)))
+    ok = linked(n[one][:, None], n[two][None, :], both)
+    if same:
+        np.fill_diagonal(ok, False)
+    out = [(cls[one], ok @ copies[two], ok.sum(axis=1))]
+    if not same:
+        out.append((cls[two], copies[one] @ ok, ok.sum(axis=0)))
+    return pa.table([pa.array(np.concatenate([o[k] for o in out]).astype(np.int64)) for k in range(3)], names=["cls", "docs", "sets"])
+
+
+def _block_rows(members: DataFrame, block: int) -> DataFrame:
+    """A row of each member for every pair of blocks that its own is in: blocks are
+    parts of a size band of a component, and a band meets itself and its neighbours
+    only, so pairs of blocks that sizes keep apart are never made."""
+    m = members.withColumn("band", _band(F.col("n")))
+    parts = m.groupBy("root", "band").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts"))
+    wide = (parts.alias("p").join(parts.select("root", (F.col("band") - 1).alias("band"), F.col("parts").alias("above")), ["root", "band"], "left")
+            .join(parts.select("root", (F.col("band") + 1).alias("band"), F.col("parts").alias("below")), ["root", "band"], "left"))
+    m = m.join(wide, ["root", "band"]).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def place(lo, hi, i, j, s):
+        return F.struct(lo.alias("lo"), hi.alias("hi"), i.alias("i"), j.alias("j"), s.cast("int").alias("side"))
+
+    band, part = F.col("band"), F.col("part")
+    places = F.concat(
+        F.transform(upto("parts"), lambda o: place(band, band, F.least(part, o), F.greatest(part, o), part > o)),
+        F.transform(upto("above"), lambda o: place(band, band + 1, part, o, F.lit(0))),
+        F.transform(upto("below"), lambda o: place(band - 1, band, o, part, F.lit(1))))
+    return m.select("root", F.explode(places).alias("at"), "cls", "n", "copies", "lead_n", "minus", "plus").select(
+        "root", "at.*", "cls", "n", "copies", "lead_n", "minus", "plus")
+
+
+def _links(base: DataFrame, k: int, rows: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """cls, docs, sets: the documents with other sets, and the other sets, that link
+    to each set of a component of several sets."""
+    sc = base.sparkSession.sparkContext
+    inside = stored(roots.select(F.col("node").alias("cls"), "root").union(roots.select(F.col("root").alias("cls"), "root").distinct()), "members")
+    sets = _full_sets(base, k, sc.broadcast(_marks(inside.select(F.col("cls").alias("a"), F.col("root").alias("b")))))
+    copies = rows.where("cls is not null").groupBy("cls").agg(F.count("*").alias("copies"))
+    members = stored(inside.join(sets, "cls").join(copies, "cls").select("cls", "root", "copies", "shingles"), "member-sets")
+    differ = stored(_against_leader(members), "differences")
+    discard(members)
+    return (_block_rows(differ, block).groupBy("root", "lo", "hi", "i", "j")
+            .applyInArrow(_answers, "cls long, docs long, sets long")
+            .groupBy("cls").agg(F.sum("docs").alias("docs"), F.sum("sets").alias("sets")))
+
+
+def jaccard_join(docs: DataFrame, k: int = 5, sketch_bits: int = SKETCH_BITS, block: int = BLOCK) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, n_links (the other
+    documents that it links to, those with an equal set among them), n_linked_sets
+    (the different sets that its set links to) and set_id, equal for equal sets."""
+    with scope(docs.sparkSession):
+        base = texts_of(docs)
+        steps: dict[str, DataFrame] = {}
+        found = _components(base, k, sketch_bits, steps)
+        links = _links(base, k, steps["rows"], steps["roots"], block)
+        copies = steps["rows"].where("cls is not null").groupBy("cls").agg((F.count("*") - 1).alias("others"))
+        each = copies.join(links, "cls", "left").select(
+            F.col("cls").alias("set_id"), (F.col("others") + F.coalesce("docs", F.lit(0))).alias("n_links"),
+            F.coalesce("sets", F.lit(0)).cast("long").alias("n_linked_sets"))
+        out = found.join(each, "set_id", "left").select(
+            "doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.coalesce("n_linked_sets", F.lit(0)).cast("long").alias("n_linked_sets"), "set_id")
+        return stored(out, "join", outlives=True)
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """One row a document: doc_id (of any type with an order), n_shingles,
     component_id (smallest doc_id that links reach). The tables of the steps are
     removed once the result is stored."""
     with scope(docs.sparkSession):
-        return stored(_components(texts_of(docs), k, sketch_bits), "components", outlives=True)
+        return stored(_components(texts_of(docs), k, sketch_bits, {}).drop("set_id"), "components", outlives=True)
 
 
-def _components(base: DataFrame, k: int, sketch_bits: int) -> DataFrame:
+def _components(base: DataFrame, k: int, sketch_bits: int, steps: dict[str, DataFrame]) -> DataFrame:
+    """doc_id, n_shingles, component_id, set_id; ``steps`` gets the tables that links need."""
     sc = base.sparkSession.sparkContext
     survey = stored(_survey(base, k, sketch_bits), "survey")
     rows = survey.where("part is null").select("doc_id", "n", "cls")
@@ -386,12 +534,15 @@ def _components(base: DataFrame, k: int, sketch_bits: int) -> DataFrame:
         more = _full_sets(base, k, sc.broadcast(_marks(cross)))
         roots = _merged(roots, stored(_verified(cross, more), "links"))
 
+    steps |= {"rows": rows, "roots": roots}
     # a set without a link, and the root of a component, are no child of any: they name themselves
     smallest = (rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
                 .join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
                 .withColumn("root", F.coalesce("root", "cls")))
     component = smallest.groupBy("root").agg(F.min("least").alias("component_id"))
     named = smallest.select("cls", "root").join(component, "root").select("cls", "component_id")
-    full = rows.where("cls is not null").join(named, "cls").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    empty = rows.where("cls is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    full = rows.where("cls is not null").join(named, "cls").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id",
+                                                                   F.col("cls").alias("set_id"))
+    empty = rows.where("cls is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                             F.lit(None).cast("long").alias("set_id"))
     return full.unionByName(empty)

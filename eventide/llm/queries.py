@@ -25,7 +25,7 @@ def op2_idpack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(documents(spark, sf_dir))
+    return jaccard.jaccard_join(documents(spark, sf_dir))
 
 
 def op4_chunkdedup(spark: SparkSession, sf_dir: str) -> DataFrame:

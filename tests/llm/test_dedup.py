@@ -63,13 +63,72 @@ def same(df, rows):
     assert got == sorted(components(rows), key=key)
 
 
+def link_counts(rows):
+    """(doc_id, documents linked to it, different sets linked to its own) of (doc_id, text) rows."""
+    sets = [shingles(t) for _, t in rows]
+    holders, out = {}, []
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    for i, s in enumerate(sets):
+        common = {}
+        for x in s:
+            for j in holders[x]:
+                if j != i:
+                    common[j] = common.get(j, 0) + 1
+        hit = [j for j, c in common.items() if 100 * c >= 75 * (len(s) + len(sets[j]) - c)]
+        out.append((rows[i][0], len(hit), len({sets[j] for j in hit} - {s})))
+    return out
+
+
+def same_links(df, rows):
+    got = sorted((tuple(r) for r in df.select("doc_id", "n_links", "n_linked_sets").collect()), key=key)
+    assert got == sorted(link_counts(rows), key=key)
+
+
 def test_op3_whole_table(spark, sf, texts):
-    same(op3_jaccard(spark, sf), list(texts.items()))
+    out = op3_jaccard(spark, sf)
+    same(out, list(texts.items()))
+    same_links(out, list(texts.items()))
+
+
+@pytest.mark.parametrize("seed,block", [(0, 1024), (1, 4), (2, 11)])
+def test_op3_links_of_families_and_chains(frame, seed, block):
+    """Links inside components that are no cliques, in blocks smaller than a family,
+    with copies, bands of sizes and sets far from the leader."""
+    rng = random.Random(seed)
+    rows = family(rng, 30, 6) + family(rng, 20, 2, 12, 100)
+    chain = [f"c{i}" for i in range(150)]
+    rows += [(200 + i, " ".join(chain[5 * i:5 * i + 60])) for i in range(15)]
+    grow = [f"g{i}" for i in range(120)]
+    rows += [(300 + i, " ".join(grow[:20 + 4 * i])) for i in range(25)]
+    rows += [(400 + i, rows[rng.randrange(len(rows))][1]) for i in range(30)] + [(500, ""), (501, None), (None, rows[0][1]), (502, "one")]
+    rng.shuffle(rows)
+    out = jaccard.jaccard_join(frame(rows), block=block)
+    same_links(out, rows)
+    same(out, rows)
+
+
+def test_op3_common_counts():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        pool = np.sort(rng.integers(0, 1 << 63, rng.integers(1, 60), dtype=np.uint64))
+        one, two = ([np.unique(rng.choice(pool, rng.integers(0, 40))) for _ in range(rng.integers(1, 90))] for _ in "ab")
+        got = jaccard._common([x.tobytes() for x in one], [x.tobytes() for x in two])
+        assert got.tolist() == [[len(np.intersect1d(x, y)) for y in two] for x in one]
 
 
 def test_op3_edges(edge, nothing):
     same(jaccard.jaccard_components(edge), EDGE)
     assert jaccard.jaccard_components(nothing).count() == 0
+    same_links(jaccard.jaccard_join(edge), EDGE)
+    assert jaccard.jaccard_join(nothing).count() == 0
+
+
+def test_op3_ids_of_any_type(spark):
+    rows = [("b", "one two three four five six"), ("a", "one two three four five six"), ("c", "other"), (None, "other")]
+    out = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted((r["doc_id"] or "", r["component_id"], r["n_links"]) for r in out) == [("", "c", 1), ("a", "a", 1), ("b", "a", 1), ("c", "c", 1)]
 
 
 def family(rng, n, edits, words=60, at=0):
