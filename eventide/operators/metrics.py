@@ -325,6 +325,6 @@ def bands(values: DataFrame, metric_col: str = "metric", value_col: str = "value
     b = spark.createDataFrame(BANDS, "bmetric string, bound double, band string")
     steps = b.groupBy("bmetric").agg(F.array_sort(F.collect_list(F.struct("bound", "band"))).alias("_steps"))  # one row a metric
     j = values.join(F.broadcast(steps), F.col(metric_col) == F.col("bmetric"), "left")
-    reached = F.element_at(F.filter("_steps", lambda s: s["bound"] <= F.col(value_col)), -1)["band"]
+    reached = F.try_element_at(F.filter("_steps", lambda s: s["bound"] <= F.col(value_col)), F.lit(-1))["band"]
     lowest = F.when(F.col(value_col).isNotNull(), F.col("_steps")[0]["band"])
     return j.withColumn("band", F.coalesce(reached, lowest)).drop("bmetric", "_steps")

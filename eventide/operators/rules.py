@@ -64,7 +64,7 @@ class Rule:
 _HOST = ("instance",)
 _MEMORY = (Term("node_memory_MemTotal_bytes"), Term("node_memory_MemAvailable_bytes"))
 _IDLE = (Term("node_cpu_seconds_total", (("mode", "=", "idle"),), "rate"),)
-_USED = lambda total, free: (total - free) / total * 100
+_USED = lambda total, free: F.when(total != 0, (total - free) / total * 100)
 _BUSY = lambda idle: F.lit(100.0) - idle * 100
 
 # The eleven alert rules in their original order (name, series, comparison, bound, minutes, severity).
@@ -102,7 +102,7 @@ def with_ranges(samples: DataFrame, range_ms: int, step_ms: int) -> DataFrame:
     before, at = F.lag("value").over(order), F.lag("ts_ms").over(order)
     rise = F.when(before.isNull(), 0.0).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
     span = order.rangeBetween(-(range_ms - 1), 0)
-    s = samples.withColumn("_rise", rise).withColumn("_covered", F.coalesce(F.least(F.col("ts_ms") - at, F.lit(step_ms)), F.lit(0)))
+    s = samples.withColumn("_rise", rise).withColumn("_covered", F.when(at.isNull(), 0).otherwise(F.least(F.col("ts_ms") - at, F.lit(step_ms))))
     s = s.withColumn("increase", F.sum("_rise").over(span)).withColumn("_covered", F.sum("_covered").over(span))
     return s.withColumn("rate", F.when(F.col("_covered") > 0, F.col("increase") * 1000.0 / F.col("_covered"))).drop("_rise", "_covered")
 

@@ -782,7 +782,7 @@ _EVALUATED = [*METRICS, "drift AS (" + ORACLE["drift_alert"] + ")",
   UNION ALL SELECT 'data_drift_score', 'data_drift_score', day_ms + 86400000, drift_score FROM drift)""",
               f"""rng AS (SELECT metric, ts_ms, value, regexp_extract(series, '\\{{(.*)\\}}', 1) AS labels, sum(rise) OVER r AS increase,
     sum(step) OVER r AS covered FROM (SELECT *, CASE WHEN lag(value) OVER s IS NULL THEN 0.0 WHEN value < lag(value) OVER s THEN value
-      ELSE value - lag(value) OVER s END AS rise, coalesce(least(ts_ms - lag(ts_ms) OVER s, 3600000), 0) AS step
+      ELSE value - lag(value) OVER s END AS rise, CASE WHEN lag(ts_ms) OVER s IS NULL THEN 0 ELSE least(ts_ms - lag(ts_ms) OVER s, 3600000) END AS step
       FROM smp WINDOW s AS (PARTITION BY series ORDER BY ts_ms))
     WINDOW r AS (PARTITION BY series ORDER BY ts_ms RANGE BETWEEN {P.METRIC_RANGE_MS - 1} PRECEDING AND CURRENT ROW))""",
               """rt8 AS (SELECT *, increase * 1000.0 / covered AS rate FROM rng WHERE covered > 0)""",
