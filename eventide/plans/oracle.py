@@ -335,6 +335,8 @@ ORACLE["cache_contents"] = _BOUNDED + """, z AS (SELECT shard, max_by(cache, rn)
 SELECT shard, cache[i].u AS user_id, cache[i].t AS cached_at_ms, i - 1 AS place, round(cache[i].s, 6) AS prediction
 FROM z, unnest(range(1, len(cache) + 1)) AS r(i)"""
 
+ORACLE["recs_recall"] = w(EV) + "SELECT count(DISTINCT user_id) AS n_users, true AS recall_ok FROM ev WHERE product_id IS NOT NULL"
+
 ORACLE["latency_sketch"] = w(EV) + """SELECT event_type, CAST(q AS DOUBLE) AS q, true AS within
 FROM (SELECT DISTINCT event_type FROM ev WHERE event_id % 97 <> 0), (VALUES (0.5), (0.95), (0.99)) AS t(q)"""
 

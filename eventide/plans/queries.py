@@ -599,6 +599,17 @@ def q_recs_topk(spark, d):
     return RC.als_topk(ev(spark, d), P.TOP_K)
 
 
+@query("recs_recall")
+def q_recs_recall(spark, d):
+    """K2 by hashed buckets against all pairs: users searched, and whether at least
+    nine in ten of their top items were found."""
+    uf, itf, _, _ = RC.als_factors(ev(spark, d))
+    exact = RC.exact_topk(uf, itf, P.TOP_K).select("u", "i", F.lit(1).alias("e"))
+    found = RC.hashed_topk(uf, itf, P.TOP_K, bucket_items=8).select("u", "i", F.lit(1).alias("f"))
+    both = exact.join(found, ["u", "i"], "left")
+    return both.agg(F.count_distinct("u").alias("n_users"), (F.sum("f") >= 0.9 * F.sum("e")).alias("recall_ok"))
+
+
 # ---------------------------------------------------------------- drift
 
 @shared_plan
