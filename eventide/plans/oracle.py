@@ -809,7 +809,7 @@ SELECT alert, severity, labels, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, mi
 ORACLE["panels"] = w(*_EVALUATED, """now AS (SELECT name AS metric, labels, arg_max(value, ts_ms) AS value FROM vals
   WHERE name IN ('kafka_consumergroup_lag', 'ml_inference_latency_p95', 'data_drift_score', 'cpu_busy_pct', 'memory_used_pct',
     'throughput_per_s') GROUP BY ALL)""") + """
-SELECT metric, labels, round(value, 6) AS value, CASE metric
+SELECT metric, labels, round(value + 1e-9, 6) AS value, CASE metric
   WHEN 'kafka_consumergroup_lag' THEN CASE WHEN value >= 1000 THEN 'red' WHEN value >= 500 THEN 'yellow' ELSE 'green' END
   WHEN 'ml_inference_latency_p95' THEN CASE WHEN value >= 75 THEN 'red' WHEN value >= 50 THEN 'yellow' ELSE 'green' END
   WHEN 'data_drift_score' THEN CASE WHEN value >= 0.2 THEN 'red' WHEN value >= 0.1 THEN 'yellow' ELSE 'green' END
@@ -817,7 +817,7 @@ SELECT metric, labels, round(value, 6) AS value, CASE metric
   ELSE CASE WHEN value >= 90 THEN 'red' WHEN value >= 70 THEN 'yellow' ELSE 'green' END END AS band FROM now"""
 
 ORACLE["m_cpu_covered"] = w(*_EVALUATED) + """
-SELECT labels, ts_ms, round(value, 6) AS value FROM vals WHERE name = 'cpu_busy_pct'"""
+SELECT labels, ts_ms, round(value + 1e-9, 6) AS value FROM vals WHERE name = 'cpu_busy_pct'"""
 
 ORACLE["m_hist_quantile_by"] = w(EV, MON, """ob AS (SELECT load_scenario AS operator, timestamp_ms - timestamp_ms % 3600000 + 3600000 AS ts_ms,
     count(*) FILTER (WHERE latency_ms <= 10) AS b10, count(*) FILTER (WHERE latency_ms <= 20) AS b20,

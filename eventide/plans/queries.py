@@ -759,6 +759,10 @@ def q_alerts(spark, d):
         "alert", "severity", "series", "start_ms", "end_ms", "fires_from_ms", "fired")
 
 
+#: Added before rounding: percentages that end in an exact half at the last decimal go up in both engines.
+_TIE = 1e-9
+
+
 @shared_plan
 def rule_samples(spark, d):
     """The metric table and the daily drift score."""
@@ -775,14 +779,16 @@ def q_alert_rules(spark, d):
 @query("panels")
 def q_panels(spark, d):
     """The dashboard's panels with their bands (back-pressure has no source here)."""
-    return round_doubles(MT.bands(RU.panel_values(rule_samples(spark, d), P.METRIC_RANGE_MS)))
+    b = MT.bands(RU.panel_values(rule_samples(spark, d), P.METRIC_RANGE_MS))
+    return round_doubles(b.withColumn("value", F.col("value") + _TIE))
 
 
 @query("m_cpu_covered")
 def q_m_cpu_covered(spark, d):
     """T8 over covered time: hours without samples are neither busy nor idle."""
     cpu = tuple(p for p in RU.PANELS if p.name == "cpu_busy_pct")
-    return round_doubles(RU.evaluate(metric_samples(spark, d), cpu, P.METRIC_RANGE_MS).select("labels", "ts_ms", "value"))
+    v = RU.evaluate(metric_samples(spark, d), cpu, P.METRIC_RANGE_MS)
+    return round_doubles(v.select("labels", "ts_ms", (F.col("value") + _TIE).alias("value")))
 
 
 @query("m_hist_quantile_by")
