@@ -16,6 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .runtime import texts_of
 from .words import SPACE_WORDS, mix, span_hashes, text_chunks, word_spans
@@ -147,7 +148,9 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 kept.append(verdict(measures(data, off))[1])
             yield b.filter(pa.array(np.concatenate(kept)))
 
-    return docs.mapInArrow(run, docs.schema)
+    # under plain names meanwhile: Python functions do not take columns with a dot in their name
+    plain = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])
+    return docs.toDF(*plain.names).mapInArrow(run, plain).toDF(*docs.columns)
 
 
 def quality_rules(docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED,
