@@ -9,6 +9,8 @@ replayed batch after a restart replaces instead of duplicating.
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,21 +108,31 @@ RETRY_OUT = T.StructType([
 ])
 
 
+#: Entries that one call adds to the list state.
+APPEND_AT_ONCE = 10_000
+
+
 class RetryProcessor(StatefulProcessor):
     """Per-user consecutive-failure counter with back-off timers.
 
     New events: a failure raises the counter (1..max -> retry after
     1000 * 2^(n-1) ms, max+1 -> dead letter, counter reset); a success resets
-    it. Each retry is kept in a list state and replayed when its timer fires;
+    it. Each retry is kept in a list state and replayed when its time has come;
     ``replay_fails(event_id, attempt)`` decides the replay outcome (default: the
     replay succeeds, a transient failure). Replays do not touch the counter.
     ``ttl_ms`` expires idle state (processing-time mode only).
+
+    State calls go over a socket, so their number is by user and micro-batch, not
+    by failure: one timer stands at or before the user's next replay, and when it
+    fires all replays due by now run in order of time.
     """
 
-    def __init__(self, max_retries: int = 3, ttl_ms: int | None = None, replay_fails=None):
+    def __init__(self, max_retries: int = 3, ttl_ms: int | None = None, replay_fails=None,
+                 time_mode: str = "EventTime"):
         self.max_retries = max_retries
         self.ttl_ms = ttl_ms
         self.replay_fails = replay_fails or (lambda event_id, attempt: False)
+        self.by_event_time = time_mode.lower() == "eventtime"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -131,14 +143,13 @@ class RetryProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         uid = key[0]
         cnt = self.count.get()[0] if self.count.exists() else 0
+        retries = []
         for r in sorted(rows, key=lambda x: (x.timestamp_ms, x.event_id)):
             if r.failed:
                 cnt += 1
                 if cnt <= self.max_retries:
                     delay = 1000 * 2 ** (cnt - 1)
-                    at = r.timestamp_ms + delay
-                    self.pending.appendValue((r.event_id, r.timestamp_ms, at, 1))
-                    self.handle.registerTimer(at)
+                    retries.append((r.event_id, r.timestamp_ms, r.timestamp_ms + delay, 1))
                     yield Row(user_id=uid, event_id=r.event_id, timestamp_ms=r.timestamp_ms, route="retry",
                               retry_count=cnt, delay_ms=delay, attempt=0)
                 else:
@@ -150,28 +161,42 @@ class RetryProcessor(StatefulProcessor):
                 yield Row(user_id=uid, event_id=r.event_id, timestamp_ms=r.timestamp_ms, route="success",
                           retry_count=None, delay_ms=None, attempt=0)
         self.count.update((cnt,))
+        for k in range(0, len(retries), APPEND_AT_ONCE):
+            self.pending.appendList(retries[k:k + APPEND_AT_ONCE])
+        if retries:
+            self.handle.registerTimer(min(at for _, _, at, _ in retries))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         uid = key[0]
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        keep = []
-        for event_id, ts, at, attempt in self.pending.get():
-            if at > now:
-                keep.append((event_id, ts, at, attempt))
-                continue
+        # timers before the clock of the batch fire in it
+        clock = timerValues.getCurrentWatermarkInMs() if self.by_event_time else timerValues.getCurrentProcessingTimeInMs()
+        due = max(expiredTimerInfo.getExpiryTimeInMs(), clock - 1)
+        queue = [(at, n, event_id, ts, attempt) for n, (event_id, ts, at, attempt) in enumerate(self.pending.get())]
+        heapq.heapify(queue)
+        held = n = len(queue)
+        done = 0
+        while queue and queue[0][0] <= due:
+            at, _, event_id, ts, attempt = heapq.heappop(queue)
+            done += 1
             failed = self.replay_fails(event_id, attempt)
             if failed and attempt < self.max_retries:
-                nxt = now + 1000 * 2 ** attempt
-                keep.append((event_id, ts, nxt, attempt + 1))
-                self.handle.registerTimer(nxt)
+                heapq.heappush(queue, (at + 1000 * 2 ** attempt, n, event_id, ts, attempt + 1))
+                n += 1
                 route = "replay_retry"
             else:
                 route = "replay_dlq" if failed else "replay_success"
             yield Row(user_id=uid, event_id=event_id, timestamp_ms=ts, route=route,
                       retry_count=None, delay_ms=None, attempt=attempt)
-        self.pending.clear()
-        if keep:
-            self.pending.put(keep)
+        if queue:
+            # put replaces, so what is left goes in by one put and further appends
+            keep = [(event_id, ts, at, attempt) for at, _, event_id, ts, attempt in queue]
+            if done:
+                self.pending.put(keep[:APPEND_AT_ONCE])
+                for k in range(APPEND_AT_ONCE, len(keep), APPEND_AT_ONCE):
+                    self.pending.appendList(keep[k:k + APPEND_AT_ONCE])
+            self.handle.registerTimer(queue[0][0])
+        elif held:
+            self.pending.clear()
 
     def close(self) -> None:
         pass
@@ -182,7 +207,7 @@ def retry_stream(events: DataFrame, max_retries: int = 3, time_mode: str = "Even
     """W6/W8/X6 online: ``events`` needs user_id, event_id, timestamp_ms,
     failed and (for event time) a watermarked ``event_time``."""
     use_rocksdb(events.sparkSession)
-    proc = RetryProcessor(max_retries, ttl_ms, replay_fails)
+    proc = RetryProcessor(max_retries, ttl_ms, replay_fails, time_mode)
     cols = events.select("user_id", "event_id", "timestamp_ms", "failed",
                          *(["event_time"] if time_mode.lower() == "eventtime" else []))
     # timers run on the input watermark; the output carries no event-time column
