@@ -63,6 +63,63 @@ def test_prefix_table_append_and_edit(text, more, at, removed):
     assert t.ids() == single(t.text)
 
 
+def _odd_pieces(n):
+    rng = np.random.default_rng(n)
+    tokens = list(RANKS)
+    out = [rng.integers(0, 256, rng.integers(1, 30)).astype(np.uint8).tobytes() for _ in range(n)]
+    out += [b"".join(tokens[i] for i in rng.integers(0, len(tokens), 4)) for _ in range(n)]
+    return out + [b"x" * 900, b" " * 300, b"ab" * 200, "漢字仮名".encode() * 20, b"a", b"the" * 100, b""]
+
+
+@pytest.mark.parametrize("n", [2, 20, 800])
+def test_pieces_of_all_lengths_equal_the_library(n):
+    pieces = _odd_pieces(n)
+    want = [ENC._core_bpe.encode_single_piece(p) if p else [] for p in pieces]
+    assert bpe.encode_pieces(VOCAB, pieces) == want
+
+
+def test_blocks_of_bytes_equal_the_library(monkeypatch):
+    monkeypatch.setattr(bpe, "_BLOCK", 700)
+    pieces = _odd_pieces(100)
+    want = [ENC._core_bpe.encode_single_piece(p) if p else [] for p in pieces]
+    assert bpe.encode_pieces(bpe.Vocabulary(RANKS), pieces) == want
+
+
+def test_new_pieces_are_filled_together(monkeypatch):
+    """Thousands of new pieces make no table, and hardly a border check, each."""
+    pieces = [b"zq%dxk%d" % (k, k * k) for k in range(3000)]
+    want = [ENC._core_bpe.encode_single_piece(p) for p in pieces]
+    calls = []
+    for kind, name in ((bpe.PrefixTable, "__init__"), (bpe.Vocabulary, "neighbours")):
+        real = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda *a, real=real: calls.append(0) or real(*a))
+    assert bpe.encode_pieces(VOCAB, pieces) == want
+    assert len(calls) < len(pieces) / 2
+
+
+def test_array_borders_equal_the_chains():
+    rng = np.random.default_rng(3)
+    ids = np.array(list(RANKS.values()))
+    left, right = rng.choice(ids, (2, 4000))
+    # the two parts of a token merge, so they are no neighbours
+    halves = [VOCAB.halves(int(t)) for t in rng.choice(ids, 1000)]
+    left = np.concatenate((left, [h[0] for h in halves if h]))
+    right = np.concatenate((right, [h[1] for h in halves if h]))
+    want = [VOCAB.neighbours(a, b) for a, b in zip(left.tolist(), right.tolist())]
+    assert 1000 < sum(want) < len(want)
+    for _ in range(2):  # answers as made, then as held
+        VOCAB._make_tables()
+        assert VOCAB.neighbours_of(left, right).tolist() == want
+
+
+def test_vocabulary_without_a_byte_is_an_error():
+    vocab = bpe.Vocabulary({b"a": 0, b"b": 1, b"ab": 2})
+    assert bpe.encode_pieces(vocab, [b"abb"] * 60 + [b"ba"]) == [[2, 1]] * 60 + [[1, 0]]
+    for n in (1, 60):
+        with pytest.raises(ValueError, match="lacks a byte"):
+            bpe.encode_pieces(vocab, [b"abc"] * n)
+
+
 def test_cache_of_bounded_size_gives_the_same_ids():
     cache = PieceCache(lambda p: bpe.encode_pieces(VOCAB, p), limit=3)
     for text in ("a b c d e", "c d e f g", "a b"):
